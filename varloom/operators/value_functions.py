@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from varloom.functions.values import py_float, py_int, py_list_numbers, py_num, sql_double
+from varloom.functions.values import _PY_LIST_NUM_RE, _esc, py_float, py_int, py_list_numbers, py_num, sql_double
 from varloom.operators.common import (
     ERROR,
     INTENDED,
@@ -27,6 +27,9 @@ from varloom.operators.common import (
 from varloom.plans.rules import Rule
 
 
+_LIST_NUM = _esc(_PY_LIST_NUM_RE)
+
+
 def key_list(rule: Rule) -> list[str]:
     """``survey_id_a`` split on commas, not trimmed (V13)."""
     if rule.a is None:
@@ -61,15 +64,20 @@ def _subtraction(rule: Rule, ref, mode: str) -> Compiled:
 def _sum(rule: Rule, ref, mode: str) -> Compiled:
     keys = list(dict.fromkeys(key_list(rule)))  # distinct keys, absent ones skipped
     ops = [ref(k) for k in keys]
-    arrays = [f"CASE WHEN {o.p} THEN {py_list_numbers(o.r)} ELSE CAST(array() AS ARRAY<DOUBLE>) END"
-              for o in ops]
-    bad = " OR ".join(f"({arr}) IS NULL OR exists({arr}, x -> x IS NULL)" for arr in arrays)
-    allnums = f"concat({', '.join(arrays)})"
-    out = Compiled().add(bad, ERROR)
-    out.add(f"size({allnums}) = 0", RESOLVED_ELSE)
+    bad, count, total = [], [], []
+    for o in ops:
+        # fast path, no array functions: the answer is one plain number
+        plain = f"({o.r} IS NOT NULL AND trim({o.r}) RLIKE '{_LIST_NUM}')"
+        arr = py_list_numbers(o.r)
+        bad.append(f"({o.p} AND NOT {plain} AND (({arr}) IS NULL OR exists({arr}, x -> x IS NULL)))")
+        count.append(f"CASE WHEN NOT {o.p} THEN 0 WHEN {plain} THEN 1 ELSE size({arr}) END")
+        total.append(f"CASE WHEN NOT {o.p} THEN 0 WHEN {plain} THEN {o.n} "
+                     f"ELSE aggregate({arr}, CAST(0 AS DOUBLE), (acc, x) -> acc + x) END")
+    out = Compiled().add(" OR ".join(bad), ERROR)
+    out.add(f"({' + '.join(count)}) = 0", RESOLVED_ELSE)
     out.vals[RESOLVED_ELSE] = LitVal("")
     out.add("TRUE", RESOLVED)
-    out.vals[RESOLVED] = NumVal(f"aggregate({allnums}, CAST(0 AS DOUBLE), (acc, x) -> acc + x)")
+    out.vals[RESOLVED] = NumVal("(" + " + ".join(total) + ")")
     return out
 
 

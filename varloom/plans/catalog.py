@@ -153,3 +153,319 @@ register("cond_equal_string", "R3A", [
     R("eqs_q", 0, "conditional", "equal_string", a="quality", A="1", then="good"),
 ], _with(R3_SQL) + """SELECT response_id, CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS eqs,
   CASE WHEN quality = 1 THEN 'good' END AS eqs_q FROM r3""")
+
+# --------------------------------------------------- P10-P27 multi key (R1-R3)
+
+register("multi_eq_eq", "R2", [
+    R("hit", 0, "multi_conditional", "equal,equal", a="prio", A="1", b="qty_2", B="20", then="hit", otherwise="miss"),
+], _with(R2_SQL) + """SELECT response_id, survey_id,
+  CASE WHEN q2 IS NULL THEN NULL WHEN prio = 1 AND q2 = 20 THEN 'hit' ELSE 'miss' END AS hit FROM r2""")
+
+register("multi_eq_gt", "R2", [
+    R("big2", 0, "multi_conditional_and_3", "equal,greater_than", a="prio", A="2", b="qty_1", B="25",
+      then="big2", otherwise="no"),
+], _with(R2_SQL) + """SELECT response_id, survey_id,
+  CASE WHEN q1 IS NULL THEN NULL WHEN prio = 2 AND q1 > 25 THEN 'big2' ELSE 'no' END AS big2 FROM r2""")
+
+register("multi_eq_null", "R3C", [
+    R("nolab", 0, "multi_conditional", "equal,is_null", a="toxic", A="1", b="quality", then="x", otherwise="o"),
+    R("lang_nolab", 0, "multi_conditional_and", "equal,is_null", a="n_chars", A="0", b="quality", then="x"),
+], _with(R3_SQL) + """SELECT response_id,
+  CASE WHEN toxic IS NULL THEN NULL WHEN toxic = 1 AND quality IS NULL THEN 'x' ELSE 'o' END AS nolab,
+  CASE WHEN n_chars = 0 AND quality IS NULL THEN 'x' END AS lang_nolab FROM r3""")
+
+register("multi_lt_eq", "R1", [
+    R("lteq", 0, "multi_conditional_and", "less_than,equal", a="qty", A="10", b="line", B="1", then="y", otherwise="n"),
+    R("lteq2", 0, "multi_conditional_and_2", "less_than,equal", a="disc", A="0.02", b="status", B="1", then="y"),
+], _with(R1_SQL) + f"""SELECT response_id, CASE WHEN qty < 10 AND line = 1 THEN 'y' ELSE 'n' END AS lteq,
+  {NULLS} AS lteq2 FROM r1""")
+
+register("multi_in_eq_eq", "R1", [
+    R("iee", 0, "multi_conditional_and", "is_in,equal,equal", a="qty", A="1,2,3", b="line", B="1", c="tax",
+      C="0", then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN qty IN (1, 2, 3) AND line = 1 AND tax = 0 THEN 'y' ELSE 'n' END AS iee
+  FROM r1""")
+
+register("multi_in_eq_eq_observed", "R1", [
+    R("iee", 0, "multi_conditional_and", "is_in,equal,equal", a="qty", A="1,2,3", b="line", B="1", c="tax",
+      C="0", then="y", otherwise="n"),
+    R("iee_err", 0, "multi_conditional_and", "is_in,equal,equal", a="flag", A="1", b="line", B="1", c="tax",
+      C="0", then="y", otherwise="n"),
+], _with(R1_SQL) + f"""SELECT response_id, 'n' AS iee, {NULLS} AS iee_err FROM r1""", mode="observed")
+
+register("multi_in_eq", "R1", [
+    R("ie", 0, "multi_conditional_and", "is_in,equal", a="line", A="1,2", b="tax", B="0.08", then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN line IN (1, 2) AND tax = 0.08 THEN 'y' ELSE 'n' END AS ie FROM r1""")
+
+register("multi_in_in", "R1", [
+    R("ii", 0, "multi_conditional_and", "is_in,is_in", a="line", A="1,7", b="qty", B="50,49", then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN line IN (1, 7) AND qty IN (50, 49) THEN 'y' ELSE 'n' END AS ii FROM r1""")
+
+register("multi_gte_gt", "R1", [
+    R("gg", 0, "multi_conditional_and", "greater_than_equal,greater_than", a="qty", A="45", b="disc", B="0.05",
+      then="y", otherwise="n"),
+    R("gg2", 0, "multi_conditional_and_2", "greater_than_equal,greater_than", a="line", A="6", b="tax", B="0.07",
+      then="y"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN qty >= 45 AND disc > 0.05 THEN 'y' ELSE 'n' END AS gg,
+  CASE WHEN line >= 6 AND tax > 0.07 THEN 'y' END AS gg2 FROM r1""")
+
+register("multi_gte_gt_observed", "R1", [
+    R("gg", 0, "multi_conditional_and", "greater_than_equal,greater_than", a="qty", A="45", b="disc", B="0.05",
+      then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN qty = 45 AND disc > 0.05 THEN 'y' ELSE 'n' END AS gg FROM r1""",
+    mode="observed")
+
+register("multi_eq4", "R1", [
+    R("e4", 0, "multi_conditional_and_2", "equal,equal,equal,equal", a="line", A="1", b="tax", B="0", c="disc",
+      C="0", d="status", D="1", then="y", otherwise="n"),
+    R("e4b", 0, "multi_conditional_and_2", "equal,equal,equal,equal", a="line", A="1", b="tax", B="0", c="disc",
+      C="0.1", d="line", D="1", then="y", otherwise="n"),
+], _with(R1_SQL) + f"""SELECT response_id, {NULLS} AS e4,
+  CASE WHEN line = 1 AND tax = 0 AND disc = 0.1 THEN 'y' ELSE 'n' END AS e4b FROM r1""")
+
+register("multi_eq3", "R1", [
+    R("e3", 0, "multi_conditional_and_3", "equal,equal,equal", a="line", A="2", b="tax", B="0.02", c="disc",
+      C="0.04", then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN line = 2 AND tax = 0.02 AND disc = 0.04 THEN 'y' ELSE 'n' END AS e3
+  FROM r1""")
+
+register("multi_eq_lt_lt", "R1", [
+    R("ell", 0, "multi_conditional_and_2", "equal,less_than,less_than", a="line", A="3", b="qty", B="10", c="disc",
+      C="0.02", then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN line = 3 AND qty < 10 AND disc < 0.02 THEN 'y' ELSE 'n' END AS ell
+  FROM r1""")
+
+register("multi_eq_gte", "R1", [
+    R("egte", 0, "multi_conditional_and_3", "equal,greater_than_equal", a="line", A="1", b="qty", B="48",
+      then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN line = 1 AND qty >= 48 THEN 'y' ELSE 'n' END AS egte FROM r1""")
+
+register("multi_eq_gte_observed", "R1", [
+    R("egte", 0, "multi_conditional_and_3", "equal,greater_than_equal", a="line", A="1", b="qty", B="48",
+      then="y", otherwise="n"),
+    R("egte_txt", 0, "multi_conditional_and_3", "equal,greater_than_equal", a="flag", A="1", b="qty", B="48",
+      then="y", otherwise="n"),
+], _with(R1_SQL) + f"""SELECT response_id, {NULLS} AS egte, {NULLS} AS egte_txt FROM r1""", mode="observed")
+
+register("multi_eq_lt", "R1", [
+    R("elt", 0, "multi_conditional_and_3", "equal,less_than", a="line", A="4", b="qty", B="3", then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN line = 4 AND qty < 3 THEN 'y' ELSE 'n' END AS elt FROM r1""")
+
+register("multi_lt_gte", "R1", [
+    R("lg", 0, "multi_conditional_and_3", "less_than,greater_than_equal", a="qty", A="3", b="disc", B="0.09",
+      then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN qty < 3 AND disc >= 0.09 THEN 'y' ELSE 'n' END AS lg FROM r1""")
+
+register("multi_lt_lt", "R1", [
+    R("ll", 0, "multi_conditional_and_3", "less_than,less_than", a="qty", A="2", b="tax", B="0.01",
+      then="y", otherwise="n"),
+], _with(R1_SQL) + """SELECT response_id, CASE WHEN qty < 2 AND tax < 0.01 THEN 'y' ELSE 'n' END AS ll FROM r1""")
+
+# ------------------------------------------------------- V1-V12 value rules
+
+register("recode", "R1", [
+    R("rc", 0, "recode", a="line"),
+    R("rc_bad", 0, "recode", a="disc"),
+], _with(R1_SQL) + f"""SELECT response_id, {I('6 - line')} AS rc, {NULLS} AS rc_bad FROM r1""")
+
+register("recode_2", "R1", [R("rc2", 0, "recode_2", a="line")],
+         _with(R1_SQL) + f"""SELECT response_id, {I('8 - line')} AS rc2 FROM r1""")
+
+register("recode_2_observed", "R1", [R("rc2", 0, "recode_2", a="line")],
+         _with(R1_SQL) + f"""SELECT response_id, {I('6 - line')} AS rc2 FROM r1""", mode="observed")
+
+register("recode_3", "R1", [R("rc3", 0, "recode_3", a="qty")],
+         _with(R1_SQL) + f"""SELECT response_id, {I('6 - qty')} AS rc3 FROM r1""")
+
+register("subtraction", "R1", [
+    R("d1", 0, "subtraction", a="qty", b="line"),
+    R("d2", 0, "subtraction", a="disc", b="tax"),
+    R("d3", 0, "subtraction", a="flag", b="tax"),
+], _with(R1_SQL) + f"""SELECT response_id, {F('qty - line')} AS d1, {F('disc - tax')} AS d2, {NULLS} AS d3 FROM r1""")
+
+register("product", "R1", [
+    R("p1", 0, "product", a="disc", A="100"),
+    R("p2", 0, "product", a="flag", A="2"),
+    R("p3", 0, "product", a="qty", A="abc"),
+], _with(R1_SQL) + f"""SELECT response_id, {F('disc * 100.0')} AS p1, '' AS p2, '' AS p3 FROM r1""")
+
+register("sum_keys", "R2", [
+    R("tot", 0, "sum", a="qty_1,qty_2,qty_3,qty_4,qty_5,qty_6,qty_7"),
+    R("tot2", 0, "sum_2", a="qty_6,qty_7,qty_7"),
+], _with(R2_SQL) + f"""SELECT response_id, survey_id,
+  CASE WHEN len(list_filter([q1, q2, q3, q4, q5, q6, q7], lambda x: x IS NOT NULL)) = 0 THEN ''
+       ELSE {F('list_sum(list_filter([q1, q2, q3, q4, q5, q6, q7], lambda x: x IS NOT NULL))')} END AS tot,
+  CASE WHEN q6 IS NULL AND q7 IS NULL THEN '' ELSE {F('coalesce(q6, 0) + coalesce(q7, 0)')} END AS tot2 FROM r2""")
+
+register("sum_list_text", "R4", [
+    R("tot", 0, "sum", a="vals"),
+    R("tot_click", 0, "sum_3", a="vals,click"),
+    R("k_sum", 0, "sum_4", a="k,nokey"),
+], _with(R4_SQL, """kk AS (SELECT CAST(user_id AS VARCHAR) AS response_id,
+  max(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k FROM events GROUP BY user_id)""")
+    + f"""SELECT r4.response_id, {F('total')} AS tot, {F('total + click')} AS tot_click, {F('k')} AS k_sum
+  FROM r4 JOIN kk ON r4.response_id = kk.response_id""")
+
+register("mean_all", "R1", [
+    R("m1", 0, "mean", a="qty,line"),
+    R("m2", 0, "mean", a="qty,qty,line"),
+    R("m3", 0, "mean", a="qty,nokey"),
+], _with(R1_SQL) + f"""SELECT response_id, {F('(qty + line) / 2')} AS m1, {F('(qty + qty + line) / 3')} AS m2,
+  {NULLS} AS m3 FROM r1""")
+
+MEAN_TEXT = ("CASE WHEN {s} / {c} = floor({s} / {c}) THEN CAST(CAST({s} / {c} AS BIGINT) AS VARCHAR) "
+             "ELSE CAST(CAST({s} AS DOUBLE) / {c} AS VARCHAR) END")
+
+register("mean_n_or_more", "R2", [
+    R("m3", 0, "mean_3_or_more", a="qty_1,qty_2,qty_3,qty_4"),
+    R("m2", 0, "mean_2_or_more", a="qty_5,qty_6,qty_7"),
+], _with(R2_SQL, """c AS (SELECT *, (q1 IS NOT NULL)::INT + (q2 IS NOT NULL)::INT + (q3 IS NOT NULL)::INT
+  + (q4 IS NOT NULL)::INT AS c4, coalesce(q1, 0) + coalesce(q2, 0) + coalesce(q3, 0) + coalesce(q4, 0) AS s4,
+  (q5 IS NOT NULL)::INT + (q6 IS NOT NULL)::INT + (q7 IS NOT NULL)::INT AS c3,
+  coalesce(q5, 0) + coalesce(q6, 0) + coalesce(q7, 0) AS s3 FROM r2)""") + f"""SELECT response_id, survey_id,
+  CASE WHEN 4 - c4 >= 3 THEN '' ELSE {MEAN_TEXT.format(s='s4', c='c4')} END AS m3,
+  CASE WHEN 3 - c3 >= 2 THEN '' ELSE {MEAN_TEXT.format(s='s3', c='c3')} END AS m2 FROM c""")
+
+register("mean_skipna", "R1", [
+    R("ms1", 0, "mean_skipna", a="qty,line"),
+    R("ms2", 0, "mean_skipna", a="qty,disc"),
+    R("ms3", 0, "mean_skipna", a="flag,nokey"),
+], _with(R1_SQL) + f"""SELECT response_id, {F('(qty + line) / 2')} AS ms1, {F('(qty + disc) / 2')} AS ms2,
+  '' AS ms3 FROM r1""")
+
+register("mean_skipna_observed", "R1", [
+    R("ms1", 0, "mean_skipna", a="qty,line"),
+    R("ms2", 0, "mean_skipna", a="qty,disc"),
+    R("ms3", 0, "mean_skipna", a="nokey,flag"),
+], _with(R1_SQL) + f"""SELECT response_id, {F('(qty + line) / 2')} AS ms1, '' AS ms2, {NULLS} AS ms3 FROM r1""",
+    mode="observed")
+
+register("merge", "R1", [
+    R("fs", 0, "merge", a="flag", b="status"),
+    R("ql", 0, "merge", a="qty", b="line"),
+    R("qn", 0, "merge", a="qty", b="nokey"),
+], _with(R1_SQL) + f"""SELECT response_id, flag || status AS fs, {I('qty')} || {I('line')} AS ql, {NULLS} AS qn
+  FROM r1""")
+
+register("copy", "R1", [
+    R("cflag", 0, None, a="flag"),
+    R("cdisc", 0, None, a="disc"),
+], _with(R1_SQL) + f"""SELECT response_id, flag AS cflag, {F('disc')} AS cdisc FROM r1""")
+
+register("count_items", "R4", [
+    R("n_vals", 0, "count", a="vals"),
+    R("n_click", 0, "count", a="click"),
+], _with(R4_SQL) + f"""SELECT response_id, {I('ntypes')} AS n_vals, '1' AS n_click FROM r4""")
+
+# ------------------------------------------ O11-O18 passes and rule order
+
+register("first_match", "R1", [
+    R("size", 0, "conditional", "greater_than", a="qty", A="40", then="L"),
+    R("size", 0, "conditional", "greater_than", a="qty", A="20", then="M"),
+    R("size", 0, "conditional", "equal", a="flag", A="1", then="never"),
+    R("size", 0, "conditional", "less_than_equal", a="qty", A="20", then="S"),
+], _with(R1_SQL) + """SELECT response_id,
+  CASE WHEN qty > 40 THEN 'L' WHEN qty > 20 THEN 'M' END AS size FROM r1""")
+
+register("later_pass_overwrites", "R1", [
+    R("v", 0, "conditional", "greater_than_equal", a="qty", A="0", then="base"),
+    R("v", 1, "conditional", "equal", a="line", A="1", then="line1"),
+    R("v", 3, "conditional", "equal", a="line", A="2", then="line2", otherwise="other"),
+    R("w", 2, "conditional", "equal", a="line", A="7", then="seven"),
+], _with(R1_SQL) + """SELECT response_id,
+  CASE WHEN line = 2 THEN 'line2' ELSE 'other' END AS v,
+  CASE WHEN line = 7 THEN 'seven' END AS w FROM r1""")
+
+register("drop_on_missing", "R3A", [
+    R("q", 0, "conditional", "equal", a="quality", A="1", then="good", otherwise="bad"),
+    R("q", 1, None, a="lang"),
+    R("t", 0, "conditional", "equal", a="toxic", A="1", then="toxic"),
+    R("t", 1, "merge", a="lang", b="source"),
+], _with(R3_SQL) + """SELECT response_id,
+  CASE WHEN quality IS NULL THEN NULL ELSE lang END AS q,
+  CASE WHEN toxic IS NULL THEN NULL ELSE lang || source END AS t FROM r3""")
+
+register("chained_vars", "R1", [
+    R("a", 0, "subtraction", a="qty", b="line"),
+    R("b", 0, "conditional", "greater_than", a="a", A="20", then="big", otherwise="small"),
+    R("c", 0, "merge", a="b", b="flag"),
+    R("a", 1, "product", a="a", A="2"),
+    R("d", 1, "merge", a="a", b="c"),
+    R("flag", 1, "conditional", "equal", a="line", A="1", then="first"),
+    R("e", 2, "merge", a="flag", b="status"),
+], _with(R1_SQL) + f"""SELECT response_id, {F('(qty - line) * 2')} AS a,
+  CASE WHEN qty - line > 20 THEN 'big' ELSE 'small' END AS b,
+  CASE WHEN qty - line > 20 THEN 'big' ELSE 'small' END || flag AS c,
+  {F('(qty - line) * 2')} || CASE WHEN qty - line > 20 THEN 'big' ELSE 'small' END || flag AS d,
+  CASE WHEN line = 1 THEN 'first' ELSE flag END AS flag,
+  CASE WHEN line = 1 THEN 'first' ELSE flag END || status AS e FROM r1""")
+
+register("unset_absent", "R1", [
+    R("never", 0, "conditional", "equal", a="qty", A="999", then="x"),
+    R("some", 0, "conditional", "equal", a="line", A="7", then="seven"),
+], _with(R1_SQL) + f"""SELECT response_id, key, value FROM (
+  SELECT response_id, 'qty' AS key, {I('qty')} AS value FROM r1
+  UNION ALL SELECT response_id, 'disc', {F('disc')} FROM r1
+  UNION ALL SELECT response_id, 'tax', {F('tax')} FROM r1
+  UNION ALL SELECT response_id, 'line', {I('line')} FROM r1
+  UNION ALL SELECT response_id, 'flag', flag FROM r1
+  UNION ALL SELECT response_id, 'status', status FROM r1
+  UNION ALL SELECT response_id, 'some', 'seven' FROM r1 WHERE line = 7)""", output="long")
+
+# ------------------------------------------------------------- flagship (R2)
+
+FLAGSHIP_RULES = [
+    R("tot", 0, "sum", a="qty_1,qty_2,qty_3,qty_4,qty_5,qty_6,qty_7"),
+    R("avg4", 0, "mean_3_or_more", a="qty_1,qty_2,qty_3,qty_4"),
+    R("size", 0, "conditional", "greater_than", a="tot", A="150", then="large"),
+    R("size", 0, "conditional", "greater_than", a="tot", A="75", then="medium"),
+    R("size", 0, "conditional", "less_than_equal", a="tot", A="75", then="small"),
+    R("urgent", 0, "multi_conditional", "equal,greater_than", a="prio", A="1", b="qty_1", B="25",
+      then="urgent_big", otherwise="normal"),
+    R("size", 1, "conditional", "equal", a="prio", A="5", then="low_prio"),
+    R("label", 1, "merge", a="size", b="ostatus"),
+    R("tot", 2, "product", a="tot", A="2"),
+]
+
+FLAGSHIP_SQL = _with(R2_SQL, """b AS (SELECT *, list_filter([q1, q2, q3, q4, q5, q6, q7], lambda x: x IS NOT NULL) AS qs,
+  (q1 IS NOT NULL)::INT + (q2 IS NOT NULL)::INT + (q3 IS NOT NULL)::INT + (q4 IS NOT NULL)::INT AS c4,
+  coalesce(q1, 0) + coalesce(q2, 0) + coalesce(q3, 0) + coalesce(q4, 0) AS s4 FROM r2)""",
+    """c AS (SELECT *, CASE WHEN len(qs) > 0 THEN list_sum(qs) END AS tot_n FROM b)""",
+    """d AS (SELECT *, CASE WHEN tot_n IS NULL THEN NULL WHEN tot_n > 150 THEN 'large' WHEN tot_n > 75 THEN 'medium'
+  ELSE 'small' END AS size0 FROM c)""",
+    """e AS (SELECT *, CASE WHEN size0 IS NOT NULL AND prio = 5 THEN 'low_prio' ELSE size0 END AS size1 FROM d)""") + f"""
+SELECT response_id, survey_id,
+  CASE WHEN tot_n IS NULL THEN '' ELSE {F('tot_n * 2')} END AS tot,
+  CASE WHEN 4 - c4 >= 3 THEN '' ELSE {MEAN_TEXT.format(s='s4', c='c4')} END AS avg4,
+  size1 AS size,
+  CASE WHEN q1 IS NULL THEN NULL WHEN prio = 1 AND q1 > 25 THEN 'urgent_big' ELSE 'normal' END AS urgent,
+  size1 || ostatus AS label FROM e"""
+
+register("flagship_derive", "R2", FLAGSHIP_RULES, FLAGSHIP_SQL)
+
+# ------------------------------------------------- O21-O22 long form, trace
+
+register("long_form", "R3A", [
+    R("q", 0, "conditional", "equal", a="quality", A="1", then="good", otherwise="bad"),
+], _with(R3_SQL) + f"""SELECT response_id, key, value FROM (
+  SELECT response_id, 'lang' AS key, lang AS value FROM r3
+  UNION ALL SELECT response_id, 'source', source FROM r3
+  UNION ALL SELECT response_id, 'n_chars', {I('n_chars')} FROM r3
+  UNION ALL SELECT response_id, 'quality', {I('quality')} FROM r3 WHERE quality IS NOT NULL
+  UNION ALL SELECT response_id, 'toxic', {I('toxic')} FROM r3 WHERE quality IS NOT NULL
+  UNION ALL SELECT response_id, 'q', CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END FROM r3
+    WHERE quality IS NOT NULL)""", output="long")
+
+register("trace_counts", "R1", [
+    R("size", 0, "conditional", "greater_than", a="qty", A="40", then="L"),
+    R("size", 0, "conditional", "greater_than", a="qty", A="20", then="M"),
+    R("size", 0, "conditional", "equal", a="flag", A="1", then="never"),
+    R("size", 1, "conditional", "equal", a="line", A="1", then="one"),
+], _with(R1_SQL) + """SELECT variable, pass_number, rule_no, outcome, count(*) AS n FROM (
+  SELECT 'size' AS variable, 0 AS pass_number,
+    CASE WHEN qty > 40 THEN 0 WHEN qty > 20 THEN 1 ELSE 2 END AS rule_no,
+    CASE WHEN qty > 20 THEN 1 ELSE 3 END AS outcome FROM r1
+  UNION ALL
+  SELECT 'size', 1, CASE WHEN qty > 20 AND line = 1 THEN 3 END,
+    CASE WHEN qty <= 20 THEN 0 WHEN line = 1 THEN 1 ELSE 2 END FROM r1)
+  GROUP BY variable, pass_number, rule_no, outcome""", output="trace")

@@ -21,6 +21,7 @@ def get_spark(master: str | None = None, app: str = "varloom", shuffle_partition
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
