@@ -93,30 +93,38 @@ def py_float_text(num_sql: str) -> str:
     """
     x = num_sql
     s = f"CAST({x} AS STRING)"
-    parts = f"regexp_extract({s}, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', {{g}})"
-    sign, d1, frac, exp = (parts.format(g=i) for i in (1, 2, 3, 4))
-    e = f"CAST({exp} AS INT)"
-    digits = f"concat({d1}, CASE WHEN {frac} = '0' THEN '' ELSE {frac} END)"
-    fixed_pos = (
-        f"CASE WHEN length({digits}) <= {e} + 1 "
-        f"THEN concat({sign}, {digits}, repeat('0', {e} + 1 - length({digits})), '.0') "
-        f"ELSE concat({sign}, substr({digits}, 1, {e} + 1), '.', substr({digits}, {e} + 2)) END"
-    )
-    fixed_neg = f"concat({sign}, '0.', repeat('0', -{e} - 1), {digits})"
-    sci = (
-        f"concat({sign}, {d1}, CASE WHEN {frac} = '0' THEN '' ELSE concat('.', {frac}) END, 'e', "
-        f"CASE WHEN {e} < 0 THEN '-' ELSE '+' END, lpad(CAST(abs({e}) AS STRING), 2, '0'))"
-    )
     return (
         f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) "
         f"WHEN isnan({x}) THEN 'nan' "
         f"WHEN {x} = double('Infinity') THEN 'inf' "
         f"WHEN {x} = double('-Infinity') THEN '-inf' "
         f"WHEN NOT contains({s}, 'E') THEN {s} "
-        f"WHEN {e} >= 0 AND {e} < 16 THEN {fixed_pos} "
-        f"WHEN {e} < 0 AND {e} >= -4 THEN {fixed_neg} "
-        f"ELSE {sci} END"
+        f"ELSE {_exp_text(s)} END"
+    )
+
+
+def _exp_text(s: str) -> str:
+    """Java ``d.dddEn`` text rewritten the Python way (the rare branch).
+
+    The parts are bound once through a lambda so the expression stays small
+    in generated code; only numbers outside [1e-3, 1e7) take this path.
+    """
+    parts = ("named_struct("
+             "'sg', regexp_extract(t, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', 1), "
+             "'d1', regexp_extract(t, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', 2), "
+             "'fr', regexp_extract(t, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', 3), "
+             "'e', CAST(regexp_extract(t, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', 4) AS INT))")
+    digits = "concat(m.d1, CASE WHEN m.fr = '0' THEN '' ELSE m.fr END)"
+    body = (
+        f"CASE WHEN m.e >= 0 AND m.e < 16 THEN "
+        f"CASE WHEN length({digits}) <= m.e + 1 "
+        f"THEN concat(m.sg, {digits}, repeat('0', m.e + 1 - length({digits})), '.0') "
+        f"ELSE concat(m.sg, substr({digits}, 1, m.e + 1), '.', substr({digits}, m.e + 2)) END "
+        f"WHEN m.e < 0 AND m.e >= -4 THEN concat(m.sg, '0.', repeat('0', -m.e - 1), {digits}) "
+        f"ELSE concat(m.sg, m.d1, CASE WHEN m.fr = '0' THEN '' ELSE concat('.', m.fr) END, 'e', "
+        f"CASE WHEN m.e < 0 THEN '-' ELSE '+' END, CASE WHEN abs(m.e) < 10 THEN '0' ELSE '' END, CAST(abs(m.e) AS STRING)) END"
     )
+    return f"element_at(transform(transform(array({s}), t -> {parts}), m -> {body}), 1)"
 
 
 def py_int_text(num_sql: str) -> str:

@@ -469,3 +469,129 @@ register("trace_counts", "R1", [
   SELECT 'size', 1, CASE WHEN qty > 20 AND line = 1 THEN 3 END,
     CASE WHEN qty <= 20 THEN 0 WHEN line = 1 THEN 1 ELSE 2 END FROM r1)
   GROUP BY variable, pass_number, rule_no, outcome""", output="trace")
+
+# ------------------------------------------- O1-O10 ingestion and catalogue
+
+from pyspark.sql import functions as _F  # noqa: E402
+
+from varloom.plans.all_surveys import derive_all_surveys  # noqa: E402
+from varloom.plans.rules import rules_dataframe  # noqa: E402
+from varloom.session import work_dir  # noqa: E402
+from varloom.sources import snapshots as snap  # noqa: E402
+from varloom.sources import surveys as sv  # noqa: E402
+from varloom.sources import tokens as tk  # noqa: E402
+from varloom.streaming.ingest import ingest_available  # noqa: E402
+
+LATEST_SQL = """SELECT CAST(user_id AS VARCHAR) AS survey_id, CAST(event_id AS VARCHAR) AS continuation_token
+  FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id
+        ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS rn FROM events) WHERE rn = 1"""
+
+
+def _latest_token(spark, sf_dir):
+    return tk.latest_tokens(fx.token_history(spark, sf_dir), fx.survey_catalogue(spark, sf_dir))
+
+
+QUERIES["latest_token"] = _latest_token
+ORACLES["latest_token"] = LATEST_SQL
+
+
+def _active_only(spark, sf_dir):
+    return sv.active_surveys(fx.survey_catalogue(spark, sf_dir))
+
+
+QUERIES["active_only"] = _active_only
+ORACLES["active_only"] = """SELECT DISTINCT CAST(user_id AS VARCHAR) AS survey_id, TRUE AS is_active
+  FROM events WHERE user_id % 2 = 0"""
+
+
+def _token_append(spark, sf_dir):
+    """Append the latest token of every survey to a fresh store twice, read back the latest."""
+    store = work_dir(spark, "tokens")
+    latest = _latest_token(spark, sf_dir)
+    tk.append_tokens(latest.withColumn("continuation_token", _F.concat("continuation_token", _F.lit("-old"))), store)
+    tk.append_tokens(latest, store)
+    return tk.latest_tokens(tk.read_tokens(spark, store))
+
+
+QUERIES["token_append"] = _token_append
+ORACLES["token_append"] = LATEST_SQL
+
+
+def _snapshot_roundtrip(spark, sf_dir):
+    """Land R2 as partitioned JSON snapshots, read them back, derive the flagship."""
+    root = work_dir(spark, "snapshots")
+    snap.write_snapshot(fx.order_responses(spark, sf_dir), root, "20240101 000000")
+    back = snap.read_snapshot(spark, root).drop("process_timestamp")
+    return derive(back, FLAGSHIP_RULES, output="wide")
+
+
+QUERIES["snapshot_roundtrip"] = _snapshot_roundtrip
+ORACLES["snapshot_roundtrip"] = FLAGSHIP_SQL
+
+
+def _incremental_ingest(spark, sf_dir):
+    """Two landing runs and one idle run of the availableNow stream; sink holds each row once."""
+    landing, sink, ckpt = work_dir(spark, "landing"), work_dir(spark, "sink"), work_dir(spark, "ckpt")
+    r2 = fx.order_responses(spark, sf_dir)
+    first = _F.col("survey_id").isin("SV_1", "SV_2")
+    snap.write_snapshot(r2.filter(first), landing, "20240101 000000")
+    ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
+    snap.write_snapshot(r2.filter(~first), landing, "20240102 000000")
+    ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
+    ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
+    return spark.read.parquet(sink).drop("process_timestamp")
+
+
+QUERIES["incremental_ingest"] = _incremental_ingest
+ORACLES["incremental_ingest"] = FLAGSHIP_SQL
+
+
+def _survey_list(spark, sf_dir):
+    """Write the R2 survey catalogue as list documents, read it, keep active surveys."""
+    path = work_dir(spark, "survey_list")
+    sv.write_survey_list(fx.order_survey_catalogue(spark, sf_dir), path)
+    return sv.active_surveys(sv.read_survey_list(spark, path))
+
+
+QUERIES["survey_list"] = _survey_list
+ORACLES["survey_list"] = """SELECT DISTINCT 'SV_' || substr(o_orderpriority, 1, 1) AS survey_id, TRUE AS is_active
+  FROM orders WHERE substr(o_orderpriority, 1, 1) <> '3'"""
+
+
+def _csv_header(spark, sf_dir):
+    """Write a header-only CSV per R2 survey and read back key/label pairs."""
+    path = work_dir(spark, "csv_header")
+    snap.write_csv_header(fx.order_responses(spark, sf_dir), path)
+    return snap.read_csv_header(spark, path)
+
+
+QUERIES["csv_header"] = _csv_header
+ORACLES["csv_header"] = _with(R2_SQL, """k AS (SELECT DISTINCT survey_id, key FROM (
+  SELECT survey_id, 'prio' AS key FROM r2 UNION ALL SELECT survey_id, 'ostatus' FROM r2
+  UNION ALL SELECT survey_id, 'qty_1' FROM r2 WHERE q1 IS NOT NULL UNION ALL SELECT survey_id, 'qty_2' FROM r2 WHERE q2 IS NOT NULL
+  UNION ALL SELECT survey_id, 'qty_3' FROM r2 WHERE q3 IS NOT NULL UNION ALL SELECT survey_id, 'qty_4' FROM r2 WHERE q4 IS NOT NULL
+  UNION ALL SELECT survey_id, 'qty_5' FROM r2 WHERE q5 IS NOT NULL UNION ALL SELECT survey_id, 'qty_6' FROM r2 WHERE q6 IS NOT NULL
+  UNION ALL SELECT survey_id, 'qty_7' FROM r2 WHERE q7 IS NOT NULL))""") + """SELECT survey_id,
+  CAST(row_number() OVER (PARTITION BY survey_id ORDER BY key) - 1 AS INTEGER) AS position, key, upper(key) AS label FROM k"""
+
+ALL_SURVEY_RULES = (
+    [dict(R("big", 0, "conditional", "greater_than", a="qty_1", A="25", then="y", otherwise="n"), survey_id="SV_1")]
+    + [dict(R("tot", 0, "sum", a="qty_1,qty_2,qty_3"), survey_id="SV_2")]
+    + [dict(R("lbl", 0, "merge", a="prio", b="ostatus"), survey_id=s) for s in ("SV_3", "SV_4", "SV_5")]
+)
+
+
+def _all_surveys(spark, sf_dir):
+    rules = rules_dataframe(spark, [{k: v for k, v in r.items() if k != "survey_id"} for r in ALL_SURVEY_RULES])
+    ids = spark.createDataFrame([(i, r["survey_id"]) for i, r in enumerate(ALL_SURVEY_RULES)], "rule_no int, survey_id string")
+    return derive_all_surveys(fx.order_responses(spark, sf_dir), rules.join(ids, "rule_no"),
+                              fx.order_survey_catalogue(spark, sf_dir))
+
+
+QUERIES["all_surveys"] = _all_surveys
+ORACLES["all_surveys"] = _with(R2_SQL) + f"""SELECT response_id, survey_id,
+  CASE WHEN survey_id = 'SV_1' AND q1 IS NOT NULL THEN CASE WHEN q1 > 25 THEN 'y' ELSE 'n' END END AS big,
+  CASE WHEN survey_id = 'SV_2' THEN CASE WHEN q1 IS NULL AND q2 IS NULL AND q3 IS NULL THEN ''
+    ELSE {F('coalesce(q1, 0) + coalesce(q2, 0) + coalesce(q3, 0)')} END END AS tot,
+  CASE WHEN survey_id IN ('SV_4', 'SV_5') THEN CAST(prio AS VARCHAR) || ostatus END AS lbl
+  FROM r2 WHERE survey_id <> 'SV_3'"""

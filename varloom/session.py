@@ -51,3 +51,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/varloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df):
+    """Round-robin a scan over the cluster's cores when it has fewer splits.
+
+    Derivation is CPU-bound per row, so a table read as fewer splits than
+    there are cores (small files, one parquet row group) would run on a
+    few cores only. This only fires when the input is smaller than
+    ``cores x split size``, which bounds the extra shuffle; a large input
+    already has more splits than cores and is left untouched (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -11,18 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varloom.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scan(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Read only ``cols`` of a table, spread over the cores if under-split."""
+    return spread(table(spark, sf_dir, name).select(*cols))
+
+
 def _num_text(c):
     return F.col(c).cast("string")
 
 
 def lineitem_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1: one response per ``lineitem`` row; answers are the row's fields as text."""
-    li = table(spark, sf_dir, "lineitem")
+    li = scan(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+              "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     rid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     values = F.create_map(
         F.lit("qty"), F.col("l_quantity").cast("bigint").cast("string"),
@@ -50,7 +58,7 @@ def order_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     pivot = li.groupBy("l_orderkey").agg(
         *[F.max(F.when(F.col("l_linenumber") == i, F.col("l_quantity"))).alias(f"q{i}") for i in LINES]
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders = scan(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority")
     joined = orders.join(pivot, orders.o_orderkey == pivot.l_orderkey, "left")
     prio = F.substring("o_orderpriority", 1, 1)
     kv = []
@@ -71,7 +79,7 @@ def document_responses(spark: SparkSession, sf_dir: str, variant: str = "A") ->
     Unlabelled documents have ``quality``/``toxic`` absent (A), null (B) or
     ``""`` (C). Only the needed columns are read (no document text).
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    docs = scan(spark, sf_dir, "documents", "doc_id", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = docs.join(labels, "doc_id", "left")
     labelled = F.col("quality").isNotNull()
