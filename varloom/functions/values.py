@@ -68,12 +68,22 @@ def py_num(text_sql: str) -> str:
     underscores are stripped and a signed NaN loses its sign before the cast.
     """
     t = text_sql
+    # Fast path: text made only of digits, '.', 'e', signs and spaces is read
+    # identically by Java's parser and Python's float(); no regex needed.
     return (
-        f"CASE WHEN {t} RLIKE '{_esc(_PY_FLOAT_RE)}' THEN "
+        f"CASE WHEN {t} IS NULL THEN CAST(NULL AS DOUBLE) "
+        f"WHEN translate({t}, '0123456789.eE+- ', '') = '' THEN try_cast({t} AS DOUBLE) "
+        f"WHEN {t} RLIKE '{_esc(_PY_FLOAT_RE)}' THEN "
         f"try_cast(regexp_replace(replace(trim({t}), '_', ''), '^[+-](?i:nan)$', 'NaN') AS DOUBLE) END"
     )
 
 
+def is_digits(text_sql: str) -> str:
+    """SQL: Python ``str.isnumeric()`` for ASCII text (non-empty, digits only)."""
+    t = text_sql
+    return f"({t} <> '' AND translate({t}, '0123456789', '') = '')"
+
+
 def py_int(text_sql: str) -> str:
     """SQL: Python int(text) as a double (ints only), else NULL."""
     t = text_sql

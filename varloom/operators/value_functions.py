@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from varloom.functions.values import _PY_LIST_NUM_RE, _esc, py_float, py_int, py_list_numbers, py_num, sql_double
+from varloom.functions.values import _PY_LIST_NUM_RE, _esc, is_digits, py_float, py_int, py_list_numbers, py_num, sql_double
 from varloom.operators.common import (
     ERROR,
     INTENDED,
@@ -44,7 +44,7 @@ def _recode(base_observed: int, base_intended: int) -> Callable:
         out = Compiled().add(f"NOT {o.p}", NOT_FOUND)
         digits = f"try_cast({o.t} AS BIGINT)"
         # isnumeric() fails: the reference's result is unbound (raises)
-        out.add(f"NOT ({o.t} RLIKE '^[0-9]+$') OR {digits} IS NULL", ERROR)
+        out.add(f"NOT {is_digits(o.t)} OR {digits} IS NULL", ERROR)
         out.add("TRUE", RESOLVED)
         out.vals[RESOLVED] = NumVal(f"CAST({base} - {digits} AS DOUBLE)", "int")
         return out
@@ -67,7 +67,7 @@ def _sum(rule: Rule, ref, mode: str) -> Compiled:
     bad, count, total = [], [], []
     for o in ops:
         # fast path, no array functions: the answer is one plain number
-        plain = f"({o.r} IS NOT NULL AND trim({o.r}) RLIKE '{_LIST_NUM}')"
+        plain = f"({o.r} IS NOT NULL AND translate({o.r}, '0123456789.eE+- ', '') = '' AND {o.n} IS NOT NULL)"
         arr = py_list_numbers(o.r)
         bad.append(f"({o.p} AND NOT {plain} AND (({arr}) IS NULL OR exists({arr}, x -> x IS NULL)))")
         count.append(f"CASE WHEN NOT {o.p} THEN 0 WHEN {plain} THEN 1 ELSE size({arr}) END")
@@ -114,8 +114,8 @@ def _mean_n_or_more(n_missing: int) -> Callable:
         if mode == OBSERVED:
             out.add("TRUE", RESOLVED_ALT)
         else:
-            ints = " AND ".join(f"(NOT {g} OR {o.r} RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$')"
-                                for g, o in zip(given, ops))
+            ints = " AND ".join(f"(NOT {g} OR (translate({o.r}, '0123456789+- ', '') = '' "
+                                f"AND try_cast(trim({o.r}) AS BIGINT) IS NOT NULL))" for g, o in zip(given, ops))
             out.add(ints, RESOLVED_ALT)
             out.add("TRUE", RESOLVED)
             out.vals[RESOLVED] = NumVal(mean)
@@ -132,7 +132,7 @@ def _mean_skipna(rule: Rule, ref, mode: str) -> Compiled:
     for o in ops:  # keys are read in order: the first absent or non-numeric decides
         out.add(f"NOT {o.p}", NOT_FOUND)
         if mode == OBSERVED:
-            out.add(f"NOT ({o.t} RLIKE '^[0-9]+$')", RESOLVED_ELSE)
+            out.add(f"NOT {is_digits(o.t)}", RESOLVED_ELSE)
             kept.append((f"{o.n}", "TRUE"))
         else:
             skip = f"({o.n} IS NOT NULL AND {o.n} = -99)"
