@@ -99,44 +99,28 @@ def py_float_text(num_sql: str) -> str:
 
     Spark writes doubles the Java way (``1.0E7``); Python switches to
     exponent notation only below 1e-4 and from 1e16, and writes ``1e+16``.
-    The common case (no exponent) is a plain cast.
+    The common case (no exponent) is a plain cast. The rewrite keeps Java's
+    digits: inside Python's fixed range the text is read back as an exact
+    decimal, outside it the exponent is reformatted. No lambda functions, so
+    the projection stays inside whole-stage codegen.
     """
     x = num_sql
     s = f"CAST({x} AS STRING)"
+    fixed = (f"regexp_replace(regexp_replace(CAST(CAST({s} AS DECIMAL(38,21)) AS STRING), "
+             f"'0+$', ''), '\\\\.$', '.0')")
+    sci = (f"replace(regexp_replace(regexp_replace(regexp_replace({s}, '\\\\.0E', 'E'), "
+           f"'E(-?)([0-9])$', 'E$10$2'), 'E([0-9])', 'e+$1'), 'E-', 'e-')")
     return (
         f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) "
         f"WHEN isnan({x}) THEN 'nan' "
         f"WHEN {x} = double('Infinity') THEN 'inf' "
         f"WHEN {x} = double('-Infinity') THEN '-inf' "
         f"WHEN NOT contains({s}, 'E') THEN {s} "
-        f"ELSE {_exp_text(s)} END"
+        f"WHEN abs({x}) >= 1e-4 AND abs({x}) < 1e16 THEN {fixed} "
+        f"ELSE {sci} END"
     )
 
 
-def _exp_text(s: str) -> str:
-    """Java ``d.dddEn`` text rewritten the Python way (the rare branch).
-
-    The parts are bound once through a lambda so the expression stays small
-    in generated code; only numbers outside [1e-3, 1e7) take this path.
-    """
-    parts = ("named_struct("
-             "'sg', regexp_extract(t, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', 1), "
-             "'d1', regexp_extract(t, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', 2), "
-             "'fr', regexp_extract(t, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', 3), "
-             "'e', CAST(regexp_extract(t, '^(-?)(\\\\d)\\\\.(\\\\d+)E(-?\\\\d+)$', 4) AS INT))")
-    digits = "concat(m.d1, CASE WHEN m.fr = '0' THEN '' ELSE m.fr END)"
-    body = (
-        f"CASE WHEN m.e >= 0 AND m.e < 16 THEN "
-        f"CASE WHEN length({digits}) <= m.e + 1 "
-        f"THEN concat(m.sg, {digits}, repeat('0', m.e + 1 - length({digits})), '.0') "
-        f"ELSE concat(m.sg, substr({digits}, 1, m.e + 1), '.', substr({digits}, m.e + 2)) END "
-        f"WHEN m.e < 0 AND m.e >= -4 THEN concat(m.sg, '0.', repeat('0', -m.e - 1), {digits}) "
-        f"ELSE concat(m.sg, m.d1, CASE WHEN m.fr = '0' THEN '' ELSE concat('.', m.fr) END, 'e', "
-        f"CASE WHEN m.e < 0 THEN '-' ELSE '+' END, CASE WHEN abs(m.e) < 10 THEN '0' ELSE '' END, CAST(abs(m.e) AS STRING)) END"
-    )
-    return f"element_at(transform(transform(array({s}), t -> {parts}), m -> {body}), 1)"
-
-
 def py_int_text(num_sql: str) -> str:
     """SQL: text of an integral double as Python's ``str(int)``."""
     return f"CAST(CAST({num_sql} AS DECIMAL(38,0)) AS STRING)"
