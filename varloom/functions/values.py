@@ -144,7 +144,7 @@ def py_list_numbers(text_sql: str) -> str:
     list is empty. Returns NULL (whole array) when the text is not one flat
     list; the caller treats NULL or any NULL element as an error.
     """
-    t = f"coalesce({text_sql}, 'None')"
+    t = f"regexp_replace(coalesce({text_sql}, 'None'), '[\\\\t\\\\n\\\\r]', ' ')"
     w = f"trim(CASE WHEN instr({t}, '[') > 0 THEN {t} ELSE concat('[', {t}, ']') END)"
     inner = f"substr({w}, 2, length({w}) - 2)"
     raw = f"split({inner}, ',', -1)"
