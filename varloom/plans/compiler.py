@@ -9,11 +9,12 @@ That loop is static: which version of each key a rule sees does not depend
 on the data. So the compiler walks the loop ONCE at compile time in SSA
 style - every block (pass, variable) produces a new version of its variable
 as three flat columns (present, text, number) - and groups blocks into
-dependency levels. Each level becomes three ``selectExpr`` projections:
+dependency levels. Each level becomes two or three ``selectExpr`` projections:
 
 1. ``s``  - the block selector: one searched CASE over all rules of the
    block (first match wins by fall-through), ``16 * rule_index + sub``;
-2. tmp   - computed values of the matching rule (sums, means, text);
+2. tmp   - computed values that are large or use lambdas (sums, long means);
+   small values are computed inside the final projection instead;
 3. final - the new version (present, text, number) and the drop flag.
 
 Everything is a narrow, row-local projection: no shuffle, no Python UDF,
@@ -201,14 +202,18 @@ class Compiler:
                     r_whens.append(f"WHEN {code} THEN {val.r()}")
                     n_whens.append(f"WHEN {code} THEN {val.n()}")
                 elif isinstance(val, TextVal):
-                    text_whens.append(f"WHEN {code} THEN {val.sql}")
-                    r_whens.append(f"WHEN {code} THEN `{tmp_r}`")
-                    n_whens.append(f"WHEN {code} THEN {py_num(f'`{tmp_r}`')}")
+                    ref_r = f"({val.sql})" if _inline(val.sql) else f"`{tmp_r}`"
+                    if not _inline(val.sql):
+                        text_whens.append(f"WHEN {code} THEN {val.sql}")
+                    r_whens.append(f"WHEN {code} THEN {ref_r}")
+                    n_whens.append(f"WHEN {code} THEN {py_num(ref_r)}")
                 elif isinstance(val, NumVal):
-                    num_whens.append(f"WHEN {code} THEN {val.sql}")
+                    ref_n = f"({val.sql})" if _inline(val.sql) else f"`{tmp_n}`"
+                    if not _inline(val.sql):
+                        num_whens.append(f"WHEN {code} THEN {val.sql}")
                     fmt = {"float": py_float_text, "int": py_int_text, "mean": py_mean_text}[val.kind]
-                    r_whens.append(f"WHEN {code} THEN {fmt(f'`{tmp_n}`')}")
-                    n_whens.append(f"WHEN {code} THEN `{tmp_n}`")
+                    r_whens.append(f"WHEN {code} THEN {fmt(ref_n)}")
+                    n_whens.append(f"WHEN {code} THEN {ref_n}")
         skip = f"WHEN `{drop[0]}` THEN 0 " if drop else ""
         s_sql = [(sel, f"CASE {skip}{' '.join(whens)} ELSE 2 END")]
         s = f"`{sel}`"
@@ -232,5 +237,11 @@ class Compiler:
         return s_sql, v_cols, f_cols, Version(var, p, r, n, level), d
 
 
+def _inline(sql: str) -> bool:
+    """Small, lambda-free values are computed in the final projection itself,
+    saving one projection per level; others get their own (tmp) projection."""
+    return len(sql) <= 200 and "->" not in sql
+
+
 def compile_rules(rules, mode: str = INTENDED, map_col: str = "values") -> CompiledPlan:
     return Compiler(rules, mode, map_col).compile()
