@@ -107,7 +107,6 @@ class _State:
     versions: dict[str, Version] = field(default_factory=dict)  # current version per key
     raw: dict[str, Version] = field(default_factory=dict)
     drop: dict[str, tuple[str, int]] = field(default_factory=dict)  # variable -> (col, level)
-    lift: list[tuple[str, str]] = field(default_factory=list)
 
 
 class Compiler:
@@ -126,16 +125,35 @@ class Compiler:
     def _raw(self, st: _State, key: str) -> Version:
         if key not in st.raw:
             base = self._id("k")
-            m = f"`{self.map_col}`"
-            p, r, n = base + "_p", base + "_r", base + "_n"
-            st.lift += [
-                (p, f"coalesce(map_contains_key({m}, {sql_str(key)}), FALSE)"),
-                (r, f"try_element_at({m}, {sql_str(key)})"),
-                (n, py_num(f"try_element_at({m}, {sql_str(key)})")),
-            ]
-            st.raw[key] = Version(key, p, r, n, 0)
+            st.raw[key] = Version(key, base + "_p", base + "_r", base + "_n", 0)
         return st.raw[key]
 
+    def _lift(self, st: _State) -> list[list[tuple[str, str]]]:
+        """Projections that lift the referenced keys out of the answer map.
+
+        Variable names are lifted too (a variable may overwrite an answer),
+        but usually are not answer keys: one ``arrays_overlap`` per row tells
+        whether any is, and only then are they probed one by one.
+        """
+        m = f"`{self.map_col}`"
+        variables = set(self.ruleset.variables)
+        any_var = f"{PFX}anyvar"
+        lift, pre = [], []
+        names = [k for k in st.raw if k in variables]
+        if names:
+            arr = ", ".join(sql_str(k) for k in names)
+            pre = [(any_var, f"coalesce(arrays_overlap(map_keys({m}), array({arr})), FALSE)")]
+        for key, v in st.raw.items():
+            k = sql_str(key)
+            if key in variables:
+                r = f"CASE WHEN `{any_var}` THEN try_element_at({m}, {k}) END"
+                p = f"(`{any_var}` AND coalesce(map_contains_key({m}, {k}), FALSE))"
+            else:
+                r = f"try_element_at({m}, {k})"
+                p = f"coalesce(map_contains_key({m}, {k}), FALSE)"
+            lift += [(v.p, p), (v.r, r), (v.n, py_num(r))]
+        return [x for x in (pre, lift) if x]
+
     def _current(self, st: _State, key: str) -> Version:
         return st.versions.get(key) or self._raw(st, key)
 
@@ -171,9 +189,7 @@ class Compiler:
                 st.drop[var] = (new_drop, level)
                 blocks.append(Block(var, pass_number, rules, sel, level))
 
-        layers: list[list[tuple[str, str]]] = []
-        if st.lift:
-            layers.append(st.lift)
+        layers: list[list[tuple[str, str]]] = self._lift(st)
         for level in sorted(per_level):
             items = per_level[level]
             layers.append([x for s_sql, _, _ in items for x in s_sql])
