@@ -62,7 +62,9 @@ def spread(df):
     ``cores x split size``, which bounds the extra shuffle; a large input
     already has more splits than cores and is left untouched (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+        return df
+    return df.repartition(cores) if splits < cores else df
