@@ -595,3 +595,27 @@ ORACLES["all_surveys"] = _with(R2_SQL) + f"""SELECT response_id, survey_id,
     ELSE {F('coalesce(q1, 0) + coalesce(q2, 0) + coalesce(q3, 0)')} END END AS tot,
   CASE WHEN survey_id IN ('SV_4', 'SV_5') THEN CAST(prio AS VARCHAR) || ostatus END AS lbl
   FROM r2 WHERE survey_id <> 'SV_3'"""
+
+# ---------------------------------------------- breadth and depth (bench shapes)
+
+_WIDE_KEYS = [("qty", "25"), ("disc", "0.05"), ("tax", "0.04"), ("line", "4")]
+WIDE_RULES = [R(f"v{i}", 0, "conditional", "greater_than_equal", a=_WIDE_KEYS[i % 4][0], A=_WIDE_KEYS[i % 4][1],
+                then="y", otherwise="n") for i in range(50)]
+register("wide_rules_50", "R1", WIDE_RULES, _with(R1_SQL) + "SELECT response_id, " + ", ".join(
+    f"CASE WHEN {_WIDE_KEYS[i % 4][0]} >= {_WIDE_KEYS[i % 4][1]} THEN 'y' ELSE 'n' END AS v{i}" for i in range(50))
+    + " FROM r1")
+
+CHAIN_RULES = [R("c0", 0, "product", a="qty", A="1")] + [
+    R(f"c{i}", 0, "product" if i % 2 else "subtraction", a=f"c{i - 1}", A="2", b="line") for i in range(1, 10)]
+
+
+def _chain_sql() -> str:
+    exprs, cur = [], "qty * 1.0"
+    exprs.append(f"{F(cur)} AS c0")
+    for i in range(1, 10):
+        cur = f"({cur}) * 2.0" if i % 2 else f"({cur}) - line"
+        exprs.append(f"{F(cur)} AS c{i}")
+    return _with(R1_SQL) + "SELECT response_id, " + ", ".join(exprs) + " FROM r1"
+
+
+register("chain_10", "R1", CHAIN_RULES, _chain_sql())
