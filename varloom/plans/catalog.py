@@ -618,4 +618,4 @@ def _chain_sql() -> str:
     return _with(R1_SQL) + "SELECT response_id, " + ", ".join(exprs) + " FROM r1"
 
 
-register("chain_10", "R1", CHAIN_RULES, _chain_sql())
+register("chain_depth_10", "R1", CHAIN_RULES, _chain_sql())
