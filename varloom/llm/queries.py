@@ -6,16 +6,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varloom.llm import imatch
 from varloom.llm.common import documents
+from varloom.llm.imatch import fingerprints
 from varloom.llm.ngram_join import ngram_components
+from varloom.llm.pii import personal_data
+from varloom.llm.token_counts import token_counts
+
+
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_ngram_join": op2_ngram_join,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_pii": op10_pii,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_fingerprints": imatch.ORACLE}
