@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from varloom.llm import imatch
+from varloom.llm.ann import nearest
 from varloom.llm.common import documents
 from varloom.llm.imatch import fingerprints
+from varloom.llm.line_dedup import dedup_lines
 from varloom.llm.ngram_join import ngram_components
+from varloom.llm.packing import pack
 from varloom.llm.pii import personal_data
+from varloom.llm.quality import classify
 from varloom.llm.token_counts import token_counts
 
 
@@ -29,6 +34,24 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(documents(spark, sf_dir))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), 0.7)
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
@@ -40,6 +63,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_join": op2_ngram_join,
+    "op3_packing": op3_packing,
+    "op4_nearest": op4_nearest,
+    "op7_quality": op7_quality,
+    "op8_line_dedup": op8_line_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
 }
