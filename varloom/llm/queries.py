@@ -14,8 +14,10 @@ from varloom.llm.imatch import fingerprints
 from varloom.llm.line_dedup import dedup_lines
 from varloom.llm.ngram_join import ngram_components
 from varloom.llm.packing import pack
+from varloom.llm.piece_sampling import sample_pieces
 from varloom.llm.pii import personal_data
 from varloom.llm.quality import classify
+from varloom.llm.suffix_dedup import dedup_substrings
 from varloom.llm.token_counts import token_counts
 
 
@@ -43,6 +45,14 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(documents(spark, sf_dir)).drop("kept")
+
+
+def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_pieces(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"), keep_ids=False)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), 0.7)
 
@@ -65,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op3_packing": op3_packing,
     "op4_nearest": op4_nearest,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_piece_sampling": op6_piece_sampling,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
     "op9_fingerprints": op9_fingerprints,
