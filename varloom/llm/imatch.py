@@ -32,6 +32,7 @@ COMMON, RARE, LEXICON = 10, 1000, 1 << 18
 SUBSETS = [(8, "1"), (10, "04"), (12, "01"), (10, "004")]
 SLOTS = [bound for n, bound in SUBSETS for _ in range(n)]
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+SIDE = 1000  # slots of the edited text are numbered from here on
 KEY = ["doc_id", "h"]
 
 
@@ -50,7 +51,7 @@ def lexicon(docs: DataFrame) -> DataFrame:
     within = [F.when(F.substring(F.md5(F.concat(F.lit(f"{r}:"), "term").cast("binary")), 1, len(bound)) < bound, F.lit(r))
               for r, bound in enumerate(SLOTS)]
     return (df.filter((F.col("df") >= min_df) & (F.col("df") * COMMON <= n_docs))
-            .select("term", F.array_compact(F.array(*within)).alias("subsets")))
+            .select("term", F.array_compact(F.array(*within)).alias("subsets")).filter(F.size("subsets") > 0))
 
 
 def in_document_order(docs: DataFrame) -> DataFrame:
@@ -65,19 +66,24 @@ def in_document_order(docs: DataFrame) -> DataFrame:
         *KEY, "n_chars", (F.coalesce("base", F.lit(0)) + F.col("m") - F.col("first")).alias("at"))
 
 
-def slot_hashes(found: Column) -> Column:
-    """Per subset the hash of its sorted terms, null without terms. ``found``: sorted structs (term, subsets)."""
-    return F.array(*[_slot(found, r) for r in range(len(SLOTS))])
+def slot_hashes(hits: Column) -> Column:
+    """map<slot, hash> of sorted structs (slot, term): per slot the hash of its terms, in one pass."""
+    digest = lambda acc: F.concat(acc["out"], F.array(F.struct(
+        acc["slot"].alias("slot"), F.substring(F.md5(acc["text"].cast("binary")), 1, 8).alias("hash"))))
+    zero = F.struct(F.lit(-1).alias("slot"), F.lit("").alias("text"), F.array().cast("array<struct<slot:int,hash:string>>").alias("out"))
 
+    def step(acc, x):
+        same = acc["slot"] == x["slot"]
+        return F.struct(x["slot"].alias("slot"), F.when(same, F.concat(acc["text"], F.lit(" "), x["term"])).otherwise(x["term"]).alias("text"),
+                        F.when(same | (acc["slot"] < 0), acc["out"]).otherwise(digest(acc)).alias("out"))
 
-def _slot(found: Column, r: int) -> Column:
-    mine = F.filter(found, lambda x: F.array_contains(x["subsets"], r))
-    return F.when(F.size(mine) > 0, F.substring(F.md5(F.array_join(F.transform(mine, lambda x: x["term"]), " ").cast("binary")), 1, 8))
+    return F.map_from_entries(F.aggregate(hits, zero, step, digest))
 
 
-def _print(slots: Column, text_sha: Column) -> Column:
-    has = F.size(F.array_compact(slots)) > 0
-    return F.when(has, F.array_join(slots, "-", "")).otherwise(F.concat(F.lit("w"), F.substring(text_sha, 1, 16)))
+def _print(slots: Column, side: int, text_sha: Column) -> Column:
+    own = F.transform(F.sequence(F.lit(side * SIDE), F.lit(side * SIDE + len(SLOTS) - 1)), lambda r: F.coalesce(F.try_element_at(slots, r), F.lit("")))
+    text = F.array_join(own, "-")
+    return F.when(F.length(text) >= len(SLOTS), text).otherwise(F.concat(F.lit("w"), F.substring(text_sha, 1, 16)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -92,7 +98,8 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     docs = id_text(docs)
-    lex = lexicon(docs).unionByName(docs.sparkSession.sql("SELECT '' AS term, CAST(array() AS array<int>) AS subsets"))
+    lex = lexicon(docs).unionByName(docs.sparkSession.sql("SELECT '' AS term, array(-1) AS subsets")
+                                    .withColumn("subsets", F.array(F.lit(len(SLOTS)))))
 
     order = in_document_order(docs)
     n = order.count()
@@ -110,20 +117,20 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             .withColumn("edited", F.concat(F.left("text", (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int")), "tail"))
             .withColumn("sha", F.sha2("text", 256)).withColumn("edited_sha256", F.sha2("edited", 256)))
 
-    blank = F.array(F.lit(""))  # a term every document has, so that none is lost in the join
+    blank = F.array(F.lit(""))  # a term that every document has, so that none is lost; its row carries the other columns
     sided = both.select(*KEY, "n_chars", "sha", "edited_sha256", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.array_union(blank, terms(F.col("text"))).alias("terms")),
-        F.struct(F.lit(1).alias("side"), F.array_union(blank, terms(F.col("edited"))).alias("terms")))).alias("s"))
+        F.struct(F.lit(SIDE).alias("side"), F.array_union(blank, terms(F.col("edited"))).alias("terms")))).alias("s"))
     hits = (sided.select(*KEY, "n_chars", "sha", "edited_sha256", "s.side", F.explode("s.terms").alias("term"))
-            .join(F.broadcast(lex), "term"))
-    one = lambda side: F.sort_array(F.collect_list(F.when(
-        (F.col("side") == side) & (F.size("subsets") > 0), F.struct("term", "subsets"))))
+            .join(F.broadcast(lex), "term")
+            .select(*KEY, *(F.when(F.col("term") == "", F.col(c)).alias(c) for c in ("n_chars", "sha", "edited_sha256")),
+                    "side", "term", F.explode("subsets").alias("slot")))
     prints = (hits.groupBy(*KEY)
-              .agg(F.first("n_chars").alias("n_chars"), F.first("sha").alias("sha"), F.first("edited_sha256").alias("edited_sha256"),
-                   one(0).alias("own"), one(1).alias("changed"))
-              .select(*KEY, "n_chars", "edited_sha256",
-                      _print(slot_hashes(F.col("own")), F.col("sha")).alias("fingerprint"),
-                      _print(slot_hashes(F.col("changed")), F.col("edited_sha256")).alias("edited_fingerprint")))
+              .agg(F.max("n_chars").alias("n_chars"), F.max("sha").alias("sha"), F.max("edited_sha256").alias("edited_sha256"),
+                   F.sort_array(F.collect_list(F.struct((F.col("side") + F.col("slot")).alias("slot"), "term"))).alias("hits"))
+              .withColumn("slots", slot_hashes(F.col("hits")))
+              .select(*KEY, "n_chars", "edited_sha256", _print(F.col("slots"), 0, F.col("sha")).alias("fingerprint"),
+                      _print(F.col("slots"), 1, F.col("edited_sha256")).alias("edited_fingerprint")))
     prints = stage(prints, "imatch-prints")
     following = prints.select(F.col("doc_id").alias("next_doc_id"), F.col("h").alias("next_h"), F.col("fingerprint").alias("next_print"))
     return (prints.join(chain.select(*KEY, "next_doc_id", "next_h"), KEY).join(following, ["next_doc_id", "next_h"])
