@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import zipfile
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varloom.llm.hashing import mix
 from varloom.session import work_dir
 
 
@@ -56,9 +61,61 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    # the write's own plan is garbage now; collecting it lets Spark's cleaner delete its shuffle files
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+FILTER_BITS = 1 << 24
+
+
+def _bits(columns) -> list[np.ndarray]:
+    h = np.zeros(len(columns[0]), np.uint64)
+    for x in columns:
+        h = mix(h + np.asarray(x, np.int64).view(np.uint64))
+    return [(h >> np.uint64(40)).astype(np.int64), (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
+
+
+def bloom(ids: DataFrame):
+    """Broadcast Bloom filter of the long columns of ``ids``: a fixed 2 MiB, built by eight tasks.
+
+    Has no false negatives. Beyond some million rows more and more others pass, so it saves work but
+    never replaces the exact join that follows.
+    """
+
+    def build(batches):
+        bits = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            for at in _bits(batch.columns):
+                bits[at] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+
+    merged = np.zeros(FILTER_BITS // 8, np.uint8)
+    for (part,) in ids.repartition(8).mapInArrow(build, "bits binary").collect():
+        merged |= np.frombuffer(part, np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(merged)
+
+
+def bloom_hits(bits: np.ndarray, *columns) -> np.ndarray:
+    """Which rows may be in the filter."""
+    out = np.ones(len(columns[0]), bool)
+    for at in _bits(columns):
+        out &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    return out
+
+
+def only_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids``, and possibly a few others; no row of ``docs`` is shuffled."""
+    shared = bloom(ids)
+
+    @F.pandas_udf("boolean")
+    def hit(x: pd.Series) -> pd.Series:
+        return pd.Series(bloom_hits(shared.value, x))
+
+    return docs.filter(hit(column))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
     """Smallest reachable id of every node in ``edges`` (undirected): (node, component).
 
@@ -100,3 +157,16 @@ def _shape(edges: DataFrame) -> tuple[int, int, int]:
 def overlap_needed(nx: Column, ny: Column) -> Column:
     """Smallest intersection for 100 * i >= 75 * (nx + ny - i)."""
     return F.ceil(3 * (nx + ny) / F.lit(7.0)).cast("long")
+
+
+def aside(docs: DataFrame, name_of: str | None = None):
+    """(frame with doc_id, text and all other columns under names nobody else uses, function back to ``docs``'s columns).
+
+    With ``name_of`` only the name given to that column, None where there is none.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    names = {c: f"__aside_{i}" for i, c in enumerate(others)}
+    if name_of:
+        return names.get(name_of)
+    inner = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    return inner, lambda df: df.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
