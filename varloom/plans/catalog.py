@@ -8,6 +8,7 @@ raw tables, written independently of the compiler.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -517,33 +518,107 @@ QUERIES["token_append"] = _token_append
 ORACLES["token_append"] = LATEST_SQL
 
 
+RUN_1, RUN_2 = (snap.process_timestamp(datetime(2024, 1, d)) for d in (1, 2))
+_TS = "process_timestamp"
+
+
 def _snapshot_roundtrip(spark, sf_dir):
     """Land R2 as partitioned JSON snapshots, read them back, derive the flagship."""
     root = work_dir(spark, "snapshots")
-    snap.write_snapshot(fx.order_responses(spark, sf_dir), root, "20240101 000000")
-    back = snap.read_snapshot(spark, root).drop("process_timestamp")
-    return derive(back, FLAGSHIP_RULES, output="wide")
+    snap.write_snapshot(fx.order_responses(spark, sf_dir), root, RUN_1)
+    return derive(snap.read_snapshot(spark, root).drop("response"), FLAGSHIP_RULES, output="wide")
 
 
 QUERIES["snapshot_roundtrip"] = _snapshot_roundtrip
-ORACLES["snapshot_roundtrip"] = FLAGSHIP_SQL
+ORACLES["snapshot_roundtrip"] = f"SELECT *, TIMESTAMP '2024-01-01' AS process_timestamp FROM ({FLAGSHIP_SQL})"
+
+
+def _land_plain(responses, root):
+    """Land responses as in an export: one JSON document per survey, four levels below the root."""
+    doc = _F.concat(_F.lit('{"responses":['), _F.array_join(_F.sort_array(_F.collect_list("r")), ",\n "), _F.lit("]}"))
+    one = _F.to_json(_F.struct(_F.col("response_id").alias("responseId"), "values", _F.lit("en").alias("language")))
+    (responses.select("survey_id", one.alias("r")).groupBy("survey_id").agg(doc.alias("value"))
+     .write.mode("overwrite").partitionBy("survey_id").text(root))
+
+
+def _plain_tree(spark, sf_dir):
+    """Copy what ``_land_plain`` wrote to ``surveys/<system>/<namespace>/<timestamp>/<survey>/survey_responses.json``."""
+    flat, root = work_dir(spark, "plain-flat"), work_dir(spark, "plain")
+    _land_plain(fx.order_responses(spark, sf_dir), flat)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(flat).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(path(flat)):  # one per survey
+        name = folder.getPath().getName()
+        if name.startswith("survey_id="):
+            target = f"{root}/surveys/system/namespace/{RUN_1}/{name.removeprefix('survey_id=')}"
+            fs.mkdirs(path(target))
+            for part in fs.listStatus(folder.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    fs.rename(part.getPath(), path(f"{target}/{snap.JSON_NAME}"))
+    return root
+
+
+def _snapshot_plain(spark, sf_dir):
+    """R2 as a landed tree of four levels, read and derived; a field beside the answers comes along."""
+    rows = snap.read_snapshot(spark, _plain_tree(spark, sf_dir), layout="plain")
+    other = _F.get_json_object("response", "$.language").alias("language")
+    return derive(rows.select("response_id", "survey_id", _TS, "values", other), FLAGSHIP_RULES, output="wide")
+
+
+QUERIES["snapshot_plain"] = _snapshot_plain
+ORACLES["snapshot_plain"] = f"SELECT *, TIMESTAMP '2024-01-01' AS process_timestamp, 'en' AS language FROM ({FLAGSHIP_SQL})"
+
+
+def _typed_answers(spark, sf_dir):
+    """List, boolean and number answers have the text that Python prints."""
+    r2 = fx.order_responses(spark, sf_dir)
+    flat = work_dir(spark, "typed")
+    answers = _F.struct(_F.array(_F.concat(_F.lit("o"), "response_id"), _F.lit("b")).alias("l"), (_F.col("response_id") % 2 == 0).alias("t"),
+                        _F.col("response_id").cast("double").alias("x"), _F.array(_F.lit(1), _F.lit(2)).alias("n"))
+    snap.write_snapshot(r2.withColumn("values", answers), flat, RUN_1)
+    rules = [R("list", 0, None, a="l"), R("truth", 0, "conditional", "is_in", a="t", A="True", then="y", otherwise="n"),
+             R("number", 0, None, a="x"), R("total", 0, "sum", a="n")]
+    return derive(snap.read_snapshot(spark, flat).drop("response"), rules, output="wide").drop(_TS)
+
+
+QUERIES["typed_answers"] = _typed_answers
+ORACLES["typed_answers"] = """SELECT CAST(o_orderkey AS VARCHAR) AS response_id, 'SV_' || substr(o_orderpriority, 1, 1) AS survey_id,
+  '[' || chr(39) || 'o' || CAST(o_orderkey AS VARCHAR) || chr(39) || ', ' || chr(39) || 'b' || chr(39) || ']' AS list, CASE WHEN o_orderkey % 2 = 0 THEN 'y' ELSE 'n' END AS truth,
+  CAST(CAST(o_orderkey AS DOUBLE) AS VARCHAR) AS number, '3.0' AS total FROM orders"""
 
 
 def _incremental_ingest(spark, sf_dir):
-    """Two landing runs and one idle run of the availableNow stream; sink holds each row once."""
+    """Two landing runs and one idle run of the availableNow stream; the sink holds each row once."""
     landing, sink, ckpt = work_dir(spark, "landing"), work_dir(spark, "sink"), work_dir(spark, "ckpt")
     r2 = fx.order_responses(spark, sf_dir)
     first = _F.col("survey_id").isin("SV_1", "SV_2")
-    snap.write_snapshot(r2.filter(first), landing, "20240101 000000")
+    snap.write_snapshot(r2.filter(first), landing, RUN_1)
     ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
-    snap.write_snapshot(r2.filter(~first), landing, "20240102 000000")
+    snap.write_snapshot(r2.filter(~first), landing, RUN_2)
     ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
     ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
-    return spark.read.parquet(sink).drop("process_timestamp")
+    return spark.read.parquet(sink)
 
 
 QUERIES["incremental_ingest"] = _incremental_ingest
-ORACLES["incremental_ingest"] = FLAGSHIP_SQL
+ORACLES["incremental_ingest"] = f"""SELECT *, CASE WHEN survey_id IN ('SV_1', 'SV_2') THEN TIMESTAMP '2024-01-01'
+  ELSE TIMESTAMP '2024-01-02' END AS process_timestamp FROM ({FLAGSHIP_SQL})"""
+
+
+def _incremental_reland(spark, sf_dir):
+    """The same timestamp lands twice, the second time whole: the sink holds each row once."""
+    landing, sink, ckpt = work_dir(spark, "landing"), work_dir(spark, "sink"), work_dir(spark, "ckpt")
+    r2 = fx.order_responses(spark, sf_dir)
+    snap.write_snapshot(r2.filter(_F.col("response_id").cast("long") % 2 == 0), landing, RUN_1)
+    ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
+    snap.write_snapshot(r2, landing, RUN_1)
+    ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide", max_files_per_trigger=2)
+    return spark.read.parquet(sink)
+
+
+QUERIES["incremental_reland"] = _incremental_reland
+ORACLES["incremental_reland"] = ORACLES["snapshot_roundtrip"]
 
 
 def _survey_list(spark, sf_dir):
@@ -562,10 +637,28 @@ def _csv_header(spark, sf_dir):
     """Write a header-only CSV per R2 survey and read back key/label pairs."""
     path = work_dir(spark, "csv_header")
     snap.write_csv_header(fx.order_responses(spark, sf_dir), path)
-    return snap.read_csv_header(spark, path)
+    return snap.read_csv_header(spark, path).drop("import_id")
+
+
+def _csv_header_plain(spark, sf_dir):
+    """The same from a landed tree of four levels."""
+    flat, root = work_dir(spark, "csv-flat"), work_dir(spark, "csv-plain")
+    snap.write_csv_header(fx.order_responses(spark, sf_dir), flat)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(flat).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(path(flat)):  # one per survey
+        name = folder.getPath().getName()
+        for part in fs.listStatus(folder.getPath()) if name.startswith("survey_id=") else ():
+            if part.getPath().getName().startswith("part-"):
+                target = f"{root}/surveys/system/namespace/{RUN_1}/{name.removeprefix('survey_id=')}"
+                fs.mkdirs(path(target))
+                fs.rename(part.getPath(), path(f"{target}/{snap.CSV_NAME}"))
+    return snap.read_csv_header(spark, root, layout="plain").drop("import_id")
 
 
 QUERIES["csv_header"] = _csv_header
+QUERIES["csv_header_plain"] = _csv_header_plain
 ORACLES["csv_header"] = _with(R2_SQL, """k AS (SELECT DISTINCT survey_id, key FROM (
   SELECT survey_id, 'prio' AS key FROM r2 UNION ALL SELECT survey_id, 'ostatus' FROM r2
   UNION ALL SELECT survey_id, 'qty_1' FROM r2 WHERE q1 IS NOT NULL UNION ALL SELECT survey_id, 'qty_2' FROM r2 WHERE q2 IS NOT NULL
@@ -573,6 +666,7 @@ ORACLES["csv_header"] = _with(R2_SQL, """k AS (SELECT DISTINCT survey_id, key FR
   UNION ALL SELECT survey_id, 'qty_5' FROM r2 WHERE q5 IS NOT NULL UNION ALL SELECT survey_id, 'qty_6' FROM r2 WHERE q6 IS NOT NULL
   UNION ALL SELECT survey_id, 'qty_7' FROM r2 WHERE q7 IS NOT NULL))""") + """SELECT survey_id,
   CAST(row_number() OVER (PARTITION BY survey_id ORDER BY key) - 1 AS INTEGER) AS position, key, upper(key) AS label FROM k"""
+ORACLES["csv_header_plain"] = ORACLES["csv_header"]
 
 ALL_SURVEY_RULES = (
     [dict(R("big", 0, "conditional", "greater_than", a="qty_1", A="25", then="y", otherwise="n"), survey_id="SV_1")]

@@ -1,23 +1,31 @@
 """Landed survey snapshots (O5-O7, O9).
 
-Responses land as JSON under
-``<root>/surveys/<namespace>/<process_timestamp>/<survey_id>/survey_responses.json``
-(each file an array of ``{"responseId", "values"}``), plus a header-only CSV
-per survey mapping question keys to labels. Our own writer uses Spark's
-partitioned layout (``process_timestamp=…/survey_id=…``) so that readers prune
-partitions; the reader accepts both layouts.
+Responses land below some root as
+``<any folders>/<run timestamp>/<survey>/survey_responses.json``, one document per
+survey (an array of responses, or an object with one under ``responses``), beside a
+header-only ``survey_responses.csv`` that names the questions. Our own writer uses Spark's
+partitioned layout (``process_timestamp=…/survey_id=…``, a response per
+line) so that readers prune partitions; the readers accept both.
+
+A response's fields are kept whole: the reader gives the response's JSON text
+beside the answer map, the writer writes every column it is given. Answers become the text that
+Python's ``str`` gives for the JSON value (``True``, ``['a', 'b']``, ``2.0``).
 """
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varloom.functions.values import py_float_text
+
 TS_FORMAT = "%Y%m%d %H%M%S"  # fixed value: run timestamp text
 TS_PATTERN = "yyyyMMdd HHmmss"
-RESPONSE_SCHEMA = "responseId string, `values` map<string,string>"
+JSON_NAME, CSV_NAME = "survey_responses.json", "survey_responses.csv"  # fixed values: landed file names
+ROWS_PER_FILE = 200_000
 
 
 def process_timestamp(now: datetime | None = None) -> str:
@@ -25,43 +33,86 @@ def process_timestamp(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime(TS_FORMAT)
 
 
-def write_snapshot(responses: DataFrame, root: str, ts: str) -> None:
+def write_snapshot(responses: DataFrame, root: str, ts: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write responses as JSON, one folder per (run timestamp, survey) (O5).
 
-    Dynamic partition overwrite replaces only the partitions written, so a
-    re-run of one survey overwrites that survey's snapshot only.
+    Every column is written. Dynamic partition overwrite (an option of this write, not of the
+    session) replaces only the surveys written. A survey's rows are dealt to as many tasks as
+    it has ``rows_per_file`` blocks, so a survey with a third of all rows is spread and a
+    small one is one file.
     """
-    spark = responses.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (responses.select(F.col("response_id").alias("responseId"), "values", "survey_id")
-     .withColumn("process_timestamp", F.lit(ts))
-     .write.mode("overwrite").partitionBy("process_timestamp", "survey_id").json(root))
+    blocks = responses.groupBy(F.col("survey_id").alias("__survey")).agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("__blocks"))
+    dealt = (responses.join(blocks, F.col("survey_id").eqNullSafe(F.col("__survey"))).drop("__survey")
+             .withColumn("__block", F.pmod(F.xxhash64("response_id"), "__blocks")))
+    (dealt.repartition("survey_id", "__block").drop("__blocks", "__block")
+     .withColumnRenamed("response_id", "responseId").withColumn("process_timestamp", F.lit(ts))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file)
+     .option("ignoreNullFields", False).partitionBy("process_timestamp", "survey_id").json(root))
+
+
+def landed_path(path: Column) -> tuple[Column, Column]:
+    """(run timestamp, survey) of a landed file: its last two folders, with or without ``name=``."""
+    folders = r"/(?:process_timestamp=)?([^/]+)/(?:survey_id=)?([^/]+)/[^/]+$"
+    return F.regexp_extract(path, folders, 1), F.regexp_extract(path, folders, 2)
+
+
+# str() of one JSON value whose text is `t` and whose typed form is the variant `v`.
+_NUMBER = f"CASE WHEN t RLIKE '^-?[0-9]+$' THEN t ELSE {py_float_text('try_cast(t AS DOUBLE)')} END"
+_SCALAR = ("CASE WHEN v IS NULL OR is_variant_null(v) THEN {null} WHEN schema_of_variant(v) = 'BOOLEAN' THEN if(t = 'true', 'True', 'False') "
+           "WHEN schema_of_variant(v) = 'STRING' THEN {string} WHEN schema_of_variant(v) RLIKE '^(ARRAY|OBJECT)' THEN {nested} ELSE {number} END")
+_QUOTED = ("if(contains(t, '\\'') AND NOT contains(t, '\"'), concat('\"', replace(t, '\\\\', '\\\\\\\\'), '\"'), "
+           "concat('\\'', replace(replace(t, '\\\\', '\\\\\\\\'), '\\'', '\\\\\\''), '\\''))")
+_ELEMENT = _SCALAR.format(null="'None'", string=_QUOTED, nested="t", number=_NUMBER)
+
+
+def _answers(response: str) -> Column:
+    """The answer map of a response's JSON text: key -> Python text, null for JSON null."""
+    texts = f"from_json({response}, '`values` map<string,string>').`values`"
+    typed = f"from_json({response}, '`values` map<string,variant>').`values`"
+    items = f"transform(arrays_zip(from_json(t, 'array<string>'), CAST(v AS array<variant>)), e -> {_of_element()})"
+    nested = f"CASE WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN concat('[', array_join({items}, ', '), ']') ELSE t END"
+    one = _SCALAR.format(null="CAST(NULL AS STRING)", string="t", nested=nested, number=_NUMBER)
+    return F.expr(f"map_zip_with({texts}, {typed}, (k, t, v) -> {one})")
+
+
+def _of_element() -> str:
+    # the element's two parts are fields 0 and 1 of the zipped struct
+    return re.sub(r"\bv\b", "e.`1`", re.sub(r"\bt\b", "e.`0`", _ELEMENT))
+
+
+def parse_responses(files: DataFrame, ts: Column, survey: Column) -> DataFrame:
+    """Rows (value, ...) of JSON text to response_id, survey_id, process_timestamp, values, response.
+
+    ``value`` is a response, an array of responses or an object that holds one under ``responses``.
+    """
+    whole = F.trim(F.regexp_replace("value", "^﻿", ""))
+    listed = F.from_json("value", "array<string>")
+    held = F.from_json("value", "responses array<string>")["responses"]
+    parts = F.when(whole.startswith("["), listed).when(held.isNotNull(), held).otherwise(F.array("value"))
+    rows = (files.withColumn("value", whole).filter("value <> ''")
+            .select(F.to_timestamp(ts, TS_PATTERN).alias("process_timestamp"), survey.alias("survey_id"), F.explode(parts).alias("response")))
+    return rows.select(F.get_json_object("response", "$.responseId").alias("response_id"), "survey_id", "process_timestamp",
+                       _answers("response").alias("values"), "response")
+
+
+def _files(spark, root: str, name: str) -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name)
+    return reader.text(root, wholetext=True).select("value", F.expr("url_decode(_metadata.file_path)").alias("path"))
 
 
 def read_snapshot(spark, root: str, layout: str = "partitioned") -> DataFrame:
-    """Responses with ``survey_id`` and ``process_timestamp`` columns (O6).
+    """response_id, survey_id, process_timestamp, values and response (its JSON text, all fields) (O6).
 
-    ``layout="partitioned"`` reads our writer's folders (partition pruning on
-    both keys); ``layout="plain"`` reads the landed tree, taking the two
-    keys from the file path and each file as one JSON array.
+    ``layout="partitioned"`` reads our writer's folders, a response per line (partition pruning on
+    both keys); ``layout="plain"`` reads a landed tree of any depth, each
+    file whole: a landed document is one JSON value, which cannot be split.
     """
-    if layout == "partitioned":
-        df = (spark.read.schema(RESPONSE_SCHEMA + ", process_timestamp string, survey_id string")
-              .option("basePath", root).json(root))
-        ts = F.col("process_timestamp")
-    elif layout == "plain":
-        df = (spark.read.schema(RESPONSE_SCHEMA).option("multiLine", True)
-              .json(f"{root.rstrip('/')}/surveys/*/*/*/survey_responses.json")
-              .withColumn("_path", F.expr("url_decode(_metadata.file_path)")))
-        parts = r"/([^/]+)/([^/]+)/survey_responses\.json$"
-        df = (df.withColumn("process_timestamp", F.regexp_extract("_path", parts, 1))
-              .withColumn("survey_id", F.regexp_extract("_path", parts, 2)).drop("_path"))
-        ts = F.col("process_timestamp")
-    else:
+    if layout == "plain":
+        return parse_responses(_files(spark, root, JSON_NAME), *landed_path(F.col("path")))
+    if layout != "partitioned":
         raise ValueError("layout must be 'partitioned' or 'plain'")
-    return df.select(
-        F.col("responseId").alias("response_id"), "survey_id",
-        F.to_timestamp(ts, TS_PATTERN).alias("process_timestamp"), "values")
+    lines = spark.read.schema("value string, process_timestamp string, survey_id string").option("basePath", root).text(root)
+    return parse_responses(lines, F.col("process_timestamp"), F.col("survey_id"))  # partition columns, so filters on them prune
 
 
 def write_csv_header(responses: DataFrame, path: str) -> None:
@@ -82,21 +133,26 @@ def write_csv_header(responses: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("survey_id").text(path))
 
 
-def read_csv_header(spark, path: str, header_rows: int = 2) -> DataFrame:
-    """``(survey_id, position, key, label)`` from header-only CSV files (O7).
+def read_csv_header(spark, path: str, header_rows: int = 2, layout: str = "partitioned") -> DataFrame:
+    """``(survey_id, position, key, label, import_id)`` from header-only CSV files (O7).
 
-    Each file is read whole (``wholetext``): header-only exports are a few
-    lines; the first ``header_rows`` lines are split on commas outside
-    quotes and transposed with ``posexplode``.
+    The first row holds the keys, the second the labels, the third the
+    import ids; ``header_rows`` (1 to 3) says how many the files have, what they lack is null.
+    Header-only exports are a few lines, so each file is read whole. ``layout="plain"`` takes the survey from the
+    file's folder in a landed tree of any depth.
     """
-    files = (spark.read.text(path, wholetext=True)
-             .withColumn("_path", F.expr("url_decode(_metadata.file_path)")))
+    if header_rows not in (1, 2, 3):
+        raise ValueError("header_rows must be 1, 2 or 3")
+    if layout == "plain":
+        files = _files(spark, path, CSV_NAME)
+        survey = landed_path(F.col("path"))[1]
+    else:
+        files = spark.read.text(path, wholetext=True).withColumn("path", F.expr("url_decode(_metadata.file_path)"))
+        survey = F.regexp_extract("path", r"survey_id=([^/]+)/", 1)
     split_re = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
     unq = lambda c: F.transform(c, lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"'))
-    lines = F.split(F.col("value"), "\r?\n")
-    df = files.select(
-        F.regexp_extract("_path", r"survey_id=([^/]+)/", 1).alias("survey_id"),
-        unq(F.split(lines.getItem(0), split_re)).alias("keys"),
-        (unq(F.split(lines.getItem(1), split_re)) if header_rows >= 2 else F.lit(None)).alias("labels"))
-    return df.select("survey_id", F.posexplode(F.arrays_zip("keys", "labels")).alias("position", "z")) \
-        .select("survey_id", "position", F.col("z.keys").alias("key"), F.col("z.labels").alias("label"))
+    lines = F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n")
+    row = lambda i: unq(F.split(F.get(lines, F.lit(i)), split_re)) if i < header_rows else F.lit(None).cast("array<string>")
+    table = files.select(survey.alias("survey_id"), row(0).alias("keys"), row(1).alias("labels"), row(2).alias("ids"))
+    return (table.select("survey_id", "labels", "ids", F.posexplode("keys").alias("position", "key"))
+            .select("survey_id", "position", "key", F.get("labels", F.col("position")).alias("label"), F.get("ids", F.col("position")).alias("import_id")))

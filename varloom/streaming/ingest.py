@@ -3,12 +3,14 @@
 The reference stores a continuation token per survey and asks the source for
 what is new since. Landed files play the source here: a file stream with a
 checkpoint remembers which files were processed, so each run picks up only
-new snapshots, exactly once, and a re-run after a failure resumes from the
-checkpoint. ``trigger(availableNow=True)`` processes everything available
+new ones and a re-run after a failure resumes from the checkpoint.
+``trigger(availableNow=True)`` processes everything available
 and stops, which is the batch-job shape of the reference notebooks.
 
-The derivation is a stateless projection, so the same ``derive`` runs on the
-stream before the sink.
+A snapshot may land again under the same timestamp and replaces the first one. So a batch
+does not append its rows: it takes the (timestamp, survey) folders that it
+saw files of, reads these folders whole and overwrites exactly their partitions of the
+sink. That stays right when a batch holds part of a folder and when a batch is run twice.
 """
 
 from __future__ import annotations
@@ -17,34 +19,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varloom.operators.derive import derive
-from varloom.sources.snapshots import RESPONSE_SCHEMA, TS_PATTERN
+from varloom.sources.snapshots import landed_path, parse_responses, read_snapshot
+
+KEYS = ["process_timestamp", "survey_id"]
 
 
 def snapshot_stream(spark, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A stream of responses from snapshot folders written by ``write_snapshot``."""
-    reader = spark.readStream.schema(RESPONSE_SCHEMA)
+    lines = _lines(spark, root, max_files_per_trigger)
+    return parse_responses(lines, *landed_path(F.expr("url_decode(path)")))
+
+
+def _lines(spark, root: str, max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.json(f"{root.rstrip('/')}/*/*/")
-    path = F.expr("url_decode(_metadata.file_path)")
-    return df.select(
-        F.col("responseId").alias("response_id"),
-        F.regexp_extract(path, r"survey_id=([^/]+)/", 1).alias("survey_id"),
-        F.to_timestamp(F.regexp_extract(path, r"process_timestamp=([^/]+)/", 1), TS_PATTERN)
-        .alias("process_timestamp"),
-        "values",
-    )
+    return reader.text(f"{root.rstrip('/')}/*/*/").select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def ingest_available(spark, landing_root: str, sink_path: str, checkpoint_path: str,
-                     rules=None, mode: str = "intended", output: str = "map") -> int:
-    """Process all snapshot files not yet seen; return the number of new rows."""
-    stream = snapshot_stream(spark, landing_root)
-    if rules is not None:
-        stream = derive(stream, rules, mode=mode, output=output)
-    query = (stream.writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint_path)
-             .trigger(availableNow=True)
-             .start(sink_path))
+                     rules=None, mode: str = "intended", output: str = "map",
+                     max_files_per_trigger: int | None = 10_000) -> int:
+    """Bring the sink up to date with all landed files; return the rows of the snapshots written.
+
+    The sink is partitioned by run timestamp and survey. ``max_files_per_trigger`` bounds a batch, so a
+    first run over a large landing zone is many batches, each safe to repeat.
+    """
+    written = 0
+
+    def refresh(batch: DataFrame, _: int) -> None:
+        nonlocal written
+        session = batch.sparkSession
+        ts, survey = landed_path(F.expr("url_decode(path)"))
+        # a few per batch: the folders that its files lie in
+        touched = batch.select(ts.alias("ts"), survey.alias("survey_id")).distinct().collect()
+        for name in sorted({r["ts"] for r in touched}):
+            surveys = [r["survey_id"] for r in touched if r["ts"] == name]
+            rows = (read_snapshot(session, landing_root)
+                    .filter((F.date_format("process_timestamp", "yyyyMMdd HHmmss") == name) & F.col("survey_id").isin(surveys)))
+            written += rows.count()
+            if rules is not None:
+                rows = derive(rows.drop("response"), rules, mode=mode, output=output)
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*KEYS).parquet(sink_path))
+
+    query = (_lines(spark, landing_root, max_files_per_trigger).writeStream.foreachBatch(refresh)
+             .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return written
