@@ -32,7 +32,7 @@ COMMON, RARE, LEXICON = 10, 1000, 1 << 18
 SUBSETS = [(8, "1"), (10, "04"), (12, "01"), (10, "004")]
 SLOTS = [bound for n, bound in SUBSETS for _ in range(n)]
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-SIDE = 1000  # slots of the edited text are numbered from here on
+SIDE = len(SLOTS) + 1  # the edited text's slots are numbered from here on; each side ends with the blank term's slot
 KEY = ["doc_id", "h"]
 
 
@@ -50,8 +50,9 @@ def lexicon(docs: DataFrame) -> DataFrame:
     min_df = max(2, -(-n_docs // RARE), -(-total // LEXICON))
     within = [F.when(F.substring(F.md5(F.concat(F.lit(f"{r}:"), "term").cast("binary")), 1, len(bound)) < bound, F.lit(r))
               for r, bound in enumerate(SLOTS)]
-    return (df.filter((F.col("df") >= min_df) & (F.col("df") * COMMON <= n_docs))
-            .select("term", F.array_compact(F.array(*within)).alias("subsets")).filter(F.size("subsets") > 0))
+    band = stage(df.filter((F.col("df") >= min_df) & (F.col("df") * COMMON <= n_docs))
+                 .select("term", F.array_compact(F.array(*within)).alias("subsets")), "imatch-lexicon")
+    return band.filter(F.size("subsets") > 0)  # on the stored column: the optimizer would unfold the expression
 
 
 def in_document_order(docs: DataFrame) -> DataFrame:
@@ -67,22 +68,24 @@ def in_document_order(docs: DataFrame) -> DataFrame:
 
 
 def slot_hashes(hits: Column) -> Column:
-    """map<slot, hash> of sorted structs (slot, term): per slot the hash of its terms, in one pass."""
-    digest = lambda acc: F.concat(acc["out"], F.array(F.struct(
-        acc["slot"].alias("slot"), F.substring(F.md5(acc["text"].cast("binary")), 1, 8).alias("hash"))))
-    zero = F.struct(F.lit(-1).alias("slot"), F.lit("").alias("text"), F.array().cast("array<struct<slot:int,hash:string>>").alias("out"))
+    """Per slot the hash of its terms, or nothing, joined by "-". ``hits``: sorted structs (slot, term).
+
+    One pass: a new slot closes the one before it and adds the dashes up to itself. The blank term closes each side.
+    """
+    zero = F.struct(F.lit(0).alias("slot"), F.lit("").alias("text"), F.lit("").alias("out"))
+    digest = lambda acc: F.when(acc["text"] == "", F.lit("")).otherwise(F.substring(F.md5(acc["text"].cast("binary")), 1, 8))
 
     def step(acc, x):
         same = acc["slot"] == x["slot"]
-        return F.struct(x["slot"].alias("slot"), F.when(same, F.concat(acc["text"], F.lit(" "), x["term"])).otherwise(x["term"]).alias("text"),
-                        F.when(same | (acc["slot"] < 0), acc["out"]).otherwise(digest(acc)).alias("out"))
+        return F.struct(x["slot"].alias("slot"),
+                        F.when(same & (acc["text"] != ""), F.concat(acc["text"], F.lit(" "), x["term"])).otherwise(x["term"]).alias("text"),
+                        F.when(same, acc["out"]).otherwise(F.concat(acc["out"], digest(acc), F.repeat(F.lit("-"), x["slot"] - acc["slot"]))).alias("out"))
 
-    return F.map_from_entries(F.aggregate(hits, zero, step, digest))
+    return F.aggregate(hits, zero, step, lambda acc: acc["out"])
 
 
 def _print(slots: Column, side: int, text_sha: Column) -> Column:
-    own = F.transform(F.sequence(F.lit(side * SIDE), F.lit(side * SIDE + len(SLOTS) - 1)), lambda r: F.coalesce(F.try_element_at(slots, r), F.lit("")))
-    text = F.array_join(own, "-")
+    text = F.array_join(F.slice(F.split(slots, "-"), side * SIDE + 1, len(SLOTS)), "-")
     return F.when(F.length(text) >= len(SLOTS), text).otherwise(F.concat(F.lit("w"), F.substring(text_sha, 1, 16)))
 
 
@@ -128,10 +131,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     prints = (hits.groupBy(*KEY)
               .agg(F.max("n_chars").alias("n_chars"), F.max("sha").alias("sha"), F.max("edited_sha256").alias("edited_sha256"),
                    F.sort_array(F.collect_list(F.struct((F.col("side") + F.col("slot")).alias("slot"), "term"))).alias("hits"))
-              .withColumn("slots", slot_hashes(F.col("hits")))
-              .select(*KEY, "n_chars", "edited_sha256", _print(F.col("slots"), 0, F.col("sha")).alias("fingerprint"),
-                      _print(F.col("slots"), 1, F.col("edited_sha256")).alias("edited_fingerprint")))
-    prints = stage(prints, "imatch-prints")
+              .select(*KEY, "n_chars", "sha", "edited_sha256", slot_hashes(F.col("hits")).alias("slots")))
+    prints = stage(prints, "imatch-prints").select(
+        *KEY, "n_chars", "edited_sha256", _print(F.col("slots"), 0, F.col("sha")).alias("fingerprint"),
+        _print(F.col("slots"), 1, F.col("edited_sha256")).alias("edited_fingerprint"))
     following = prints.select(F.col("doc_id").alias("next_doc_id"), F.col("h").alias("next_h"), F.col("fingerprint").alias("next_print"))
     return (prints.join(chain.select(*KEY, "next_doc_id", "next_h"), KEY).join(following, ["next_doc_id", "next_h"])
             .select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
