@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from varloom.functions.values import py_float_text, py_list_numbers, py_num, sql_str
+from varloom.functions.values import exact_mean, list_numbers, list_text, py_float_text, py_num, sql_double, sql_str
 
 # Edge literals from FIXTURES.md.
 NUMERIC_TEXT = ["1", "1.0", " 1 ", "+5", "-3", ".5", "5.", "1e5", "1_000", "inf", "nan", "-inf",
@@ -46,11 +46,30 @@ def test_float_text_matches_repr(spark):
 @pytest.mark.parametrize("text,want", [
     ("1,2", [1.0, 2.0]), ("[1, 2]", [1.0, 2.0]), ('["1","2"]', [1.0, 2.0]), ("[]", []), ("", []),
     ("1,2,", [1.0, 2.0]), ("3.5", [3.5]), ("[1,,2]", "error"), ("abc", "error"), (None, "error"),
-    ("[[1]]", "error"), ("'4'", [4.0]),
+    ("[[1]]", "error"), ("'4'", [4.0]), ("[,]", "error"), ("[1, '2', \"3\" ,]", [1.0, 2.0, 3.0]), ("[ ]", []), ("1_0", [10.0]),
 ])
 def test_list_numbers(spark, text, want):
-    got = spark.sql(f"SELECT {py_list_numbers(sql_str(text))} AS a").first().a
+    got = spark.sql(f"SELECT {list_numbers('w')} AS a FROM (SELECT {list_text(sql_str(text))} AS w)").first().a
     if want == "error":
         assert got is None or any(x is None for x in got)
     else:
         assert got == want
+
+
+def test_exact_mean_matches_statistics(spark):
+    import random
+    import statistics
+
+    rng = random.Random(8)
+    lists = [[0.1, 0.2, 0.3], [1e16, 1.0, -1e16], [5.0], [1e-300, 1e300], [0.1] * 10, [-0.3, 0.1, 0.2]]
+    lists += [[round(rng.uniform(-50, 50), rng.choice([1, 2, 3, 17])) for _ in range(rng.randrange(1, 9))] for _ in range(400)]
+    got = [spark.createDataFrame([tuple(x)], ", ".join(f"c{i} double" for i in range(len(x)))).selectExpr(
+        exact_mean([f"c{i}" for i in range(len(x))])) for x in lists[:6]]
+    assert [g.first()[0] for g in got] == [statistics.mean(x) for x in lists[:6]]
+    width = 8
+    rows = [tuple(x) + (None,) * (width - len(x)) for x in lists if len(x) <= width]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(width)))
+    got = [r[0] for r in df.coalesce(1).selectExpr(exact_mean([f"c{i}" for i in range(width)])).collect()]
+    want = [statistics.mean(v for v in r if v is not None) for r in rows]
+    assert got == want
+    assert sql_double(1.5)

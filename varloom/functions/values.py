@@ -10,7 +10,6 @@ for those views so that the whole rule set compiles to JVM-side expressions
 from __future__ import annotations
 
 import math
-import re
 
 # The text grammar Python's float() accepts (ASCII digits only),
 # written as a Java regex. Underscores are allowed between digits.
@@ -23,13 +22,6 @@ _PY_INT_RE = r"^\s*[+-]?\d+(_\d+)*\s*$"
 # A bare (unquoted) number inside a Python list literal: no inf/nan names.
 _PY_LIST_NUM_RE = r"^[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 
-_PY_FLOAT_RE_PY = re.compile(
-    r"^\s*[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
-    r"|^\s*[+-]?(inf(inity)?|nan)\s*$",
-    re.IGNORECASE,
-)
-
-
 def sql_str(value: str | None) -> str:
     """Quote a Python string as a Spark SQL string literal."""
     if value is None:
@@ -56,11 +48,6 @@ def py_float(text) -> float | None:
         return None
 
 
-def is_py_float_text(text: str) -> bool:
-    """True when ``text`` is accepted by Python float() within our ASCII scope."""
-    return bool(_PY_FLOAT_RE_PY.match(text))
-
-
 def py_num(text_sql: str) -> str:
     """SQL: the double Python's float() reads from ``text_sql``, else NULL.
 
@@ -135,31 +122,50 @@ def py_mean_text(num_sql: str) -> str:
     )
 
 
-def py_list_numbers(text_sql: str) -> str:
-    """SQL: ``array<double>`` of a list answer, with NULL elements for bad parts.
+def plain_number(text_sql: str, num_sql: str) -> str:
+    """SQL: the answer is one number in its plain form, no list."""
+    return f"({text_sql} IS NOT NULL AND translate({text_sql}, '0123456789.eE+- ', '') = '' AND {num_sql} IS NOT NULL)"
+
+
+def list_text(text_sql: str) -> str:
+    """SQL: a list answer as the text of one Python list literal.
+
+    Mirrors the reference reading of list answers: text without ``[`` is wrapped in brackets.
+    """
+    t = f"translate(coalesce({text_sql}, 'None'), '\\t\\n\\r', '   ')"
+    return f"trim(CASE WHEN instr({t}, '[') > 0 THEN {t} ELSE concat('[', {t}, ']') END)"
+
+
+def list_numbers(list_sql: str) -> str:
+    """SQL: ``array<double>`` of the text of a list literal, with NULL elements for bad parts.
 
-    Mirrors the reference reading of list answers: text without ``[`` is
-    wrapped in brackets and read as a Python list literal; each element,
-    quoted or not, must be a number. A trailing comma is allowed, an empty
-    list is empty. Returns NULL (whole array) when the text is not one flat
+    Each element, quoted or not, must be a number. A trailing comma is allowed, an empty
+    list is empty. NULL (whole array) when the text is not one flat
     list; the caller treats NULL or any NULL element as an error.
     """
-    t = f"regexp_replace(coalesce({text_sql}, 'None'), '[\\\\t\\\\n\\\\r]', ' ')"
-    w = f"trim(CASE WHEN instr({t}, '[') > 0 THEN {t} ELSE concat('[', {t}, ']') END)"
-    inner = f"substr({w}, 2, length({w}) - 2)"
-    raw = f"split({inner}, ',', -1)"
-    parts = (
-        f"CASE WHEN trim({inner}) = '' THEN CAST(array() AS ARRAY<STRING>) "
-        f"WHEN trim(element_at({raw}, -1)) = '' THEN slice({raw}, 1, size({raw}) - 1) "
-        f"ELSE {raw} END"
-    )
-    elem = (
-        "CASE WHEN trim(x) RLIKE '^\"[^\"]*\"$' OR trim(x) RLIKE \"^'[^']*'$\" "
-        f"THEN {py_num('substr(trim(x), 2, length(trim(x)) - 2)')} "
-        f"WHEN trim(x) RLIKE '{_esc(_PY_LIST_NUM_RE)}' "
-        "THEN try_cast(replace(trim(x), '_', '') AS DOUBLE) END"
-    )
-    return (
-        f"CASE WHEN {w} RLIKE '^\\\\[[^\\\\[\\\\]]*\\\\]$' "
-        f"THEN transform({parts}, x -> {elem}) END"
-    )
+    inner = f"substr({list_sql}, 2, length({list_sql}) - 2)"
+    quoted = "^\"([^\"]*)\"$|^\\'([^\\']*)\\'$"
+    parts = f"split(regexp_replace({inner}, ', *$', ''), ',', -1)"
+    parts = f"transform({parts}, x -> struct(trim(x) RLIKE '{quoted}' AS q, regexp_replace(trim(x), '{quoted}', '$1$2') AS z))"
+    number = f"CASE WHEN e.q THEN {py_num('e.z')} WHEN e.z RLIKE '{_esc(_PY_LIST_NUM_RE)}' THEN try_cast(replace(e.z, '_', '') AS DOUBLE) END"
+    return (f"CASE WHEN {list_sql} RLIKE '^\\\\[ *\\\\]$' THEN CAST(array() AS ARRAY<DOUBLE>) "
+            f"WHEN {list_sql} RLIKE '^\\\\[[^\\\\[\\\\]]*\\\\]$' THEN transform({parts}, e -> {number}) END")
+
+
+def exact_mean(items: list[str]) -> str:
+    """SQL: the mean of the non-null items as ``statistics.mean`` gives it: exact sum, rounded once.
+
+    Whole numbers add up exactly as they are. Otherwise the sum is carried with its rounding error (two-sum) and the
+    quotient is corrected by its exact remainder (the quotient is split in halves whose products with the count are exact).
+    """
+    given = f"filter(array({', '.join(items)}), x -> x IS NOT NULL)"
+    whole = " AND ".join(f"({x} IS NULL OR ({x} = floor({x}) AND abs({x}) < 1e12))" for x in items)
+    plain = f"({' + '.join(f'coalesce({x}, 0D)' for x in items)}) / ({' + '.join(f'if({x} IS NULL, 0, 1)' for x in items)})"
+    t = "(a.s + x - a.s)"
+    step = f"named_struct('s', a.s + x, 'e', a.e + ((a.s - (a.s + x - {t})) + (x - {t})), 'n', a.n + 1D)"
+    q = "(a.s / a.n)"
+    high = f"(134217729D * {q} - (134217729D * {q} - {q}))"
+    rest = f"((((a.s - {high} * a.n) - ({q} - {high}) * a.n) + a.e) / a.n)"
+    done = f"CASE WHEN a.n = 0D THEN CAST(NULL AS DOUBLE) WHEN isnan({rest}) OR abs(a.s) > 1e290 THEN {q} ELSE {q} + {rest} END"
+    zero = "named_struct('s', 0D, 'e', 0D, 'n', 0D)"
+    return f"CASE WHEN {whole} THEN {plain} ELSE aggregate({given}, {zero}, (a, x) -> {step}, a -> {done}) END"

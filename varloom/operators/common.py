@@ -13,6 +13,7 @@ Outcome 2 ("conditions not met") is the implicit fall-through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from varloom.functions.values import py_float, sql_double, sql_str
@@ -31,18 +32,28 @@ OBSERVED = "observed"
 
 @dataclass(frozen=True)
 class Operand:
-    """Current version of a key: SQL for presence, raw text and number."""
+    """Current version of a key: SQL for presence and number; text and shared helper columns on demand."""
 
     key: str
     p: str  # BOOLEAN, never null
-    r: str  # STRING, null = JSON null
     n: str  # DOUBLE, Python float() of the text, null if not a number
+    extra: Callable[[str], str]  # name of a helper column of this version, added to the plan when asked for
+
+    @property
+    def r(self) -> str:
+        """STRING, null = JSON null."""
+        return self.extra("text")
 
     @property
     def t(self) -> str:
         """Python ``str(x)`` of the answer (``None`` for a null)."""
         return f"coalesce({self.r}, 'None')"
 
+    @property
+    def listed(self) -> tuple[str, str, str]:
+        """Of the answer read as a list of numbers: unreadable (BOOLEAN), how many, their sum; parsed once per version."""
+        return self.extra("list_bad"), self.extra("list_count"), self.extra("list_sum")
+
 
 @dataclass(frozen=True)
 class LitVal:
@@ -70,6 +81,7 @@ class NumVal:
 
     sql: str
     kind: str = "float"  # float | int | mean
+    own_layer: bool = False  # long, or used several times by its text: computed in a projection of its own
 
 
 @dataclass

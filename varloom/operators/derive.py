@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varloom.functions.values import sql_str
-from varloom.operators.common import INTENDED
+from varloom.operators.common import INTENDED, RESOLVED_SUBS
 from varloom.plans.compiler import PFX, CompiledPlan, compile_rules
 
 OUTPUTS = ("map", "wide", "long", "trace", "outcomes")
@@ -23,9 +23,10 @@ def apply_plan(df: DataFrame, plan: CompiledPlan) -> DataFrame:
     return df
 
 
-def _present_text(plan: CompiledPlan, var: str) -> str:
+def present_text(plan: CompiledPlan, var: str) -> str:
+    """SQL: a variable's final text, null when it is not set."""
     v = plan.final[var]
-    return f"CASE WHEN `{v.p}` THEN `{v.r}` END"
+    return f"CASE WHEN `{v.p}` THEN {v.extra('text')} END"
 
 
 def merged_map_sql(plan: CompiledPlan) -> str:
@@ -39,7 +40,7 @@ def merged_map_sql(plan: CompiledPlan) -> str:
         return m
     names = ", ".join(sql_str(v) for v in plan.variables)
     entries = ", ".join(
-        f"named_struct('k', {sql_str(v)}, 'v', `{plan.final[v].r}`, 'p', `{plan.final[v].p}`)"
+        f"named_struct('k', {sql_str(v)}, 'v', {plan.final[v].extra('text')}, 'p', `{plan.final[v].p}`)"
         for v in plan.variables
     )
     kept = f"map_filter({m}, (k, x) -> NOT array_contains(array({names}), k))"
@@ -49,7 +50,7 @@ def merged_map_sql(plan: CompiledPlan) -> str:
 
 
 def derive(responses: DataFrame, rules, *, mode: str = INTENDED, output: str = "map",
-           map_col: str = "values", prefix: str = "") -> DataFrame:
+           map_col: str = "values", prefix: str = "", on_error: str | None = None) -> DataFrame:
     """Run a rule table over every response.
 
     ``output``:
@@ -60,10 +61,14 @@ def derive(responses: DataFrame, rules, *, mode: str = INTENDED, output: str = "
       * ``trace``    - ``(variable, pass_number, rule_no, outcome, n)`` counts;
       * ``outcomes`` - input columns without the map, plus one outcome code per
                        block, named ``<variable>__p<pass>`` (0 = skipped).
+
+    ``on_error``: what happens where the reference would raise. By default an unsupported rule is refused
+    here and an unreadable answer drops the variable for its response (outcome 9); ``"quarantine"`` treats an unsupported
+    rule that a response reaches in the same way; ``"fail"`` raises as soon as a response reaches either, as the reference does.
     """
     if output not in OUTPUTS:
         raise ValueError(f"output must be one of {OUTPUTS}")
-    plan = rules if isinstance(rules, CompiledPlan) else compile_rules(rules, mode, map_col)
+    plan = rules if isinstance(rules, CompiledPlan) else compile_rules(rules, mode, map_col, on_error)
     base_cols = [c for c in responses.columns if c != map_col]
     df = apply_plan(responses, plan)
     q = [f"`{c}`" for c in base_cols]
@@ -71,7 +76,7 @@ def derive(responses: DataFrame, rules, *, mode: str = INTENDED, output: str = "
         return df.selectExpr(*[f"`{c}`" for c in responses.columns if c != map_col],
                              f"{merged_map_sql(plan)} AS `{map_col}`")
     if output == "wide":
-        return df.selectExpr(*q, *[f"{_present_text(plan, v)} AS `{prefix}{v}`" for v in plan.variables])
+        return df.selectExpr(*q, *[f"{present_text(plan, v)} AS `{prefix}{v}`" for v in plan.variables])
     if output == "long":
         merged = df.selectExpr(*q, f"{merged_map_sql(plan)} AS `{PFX}m`")
         return merged.select(*[F.col(f"`{c}`") for c in base_cols],
@@ -83,20 +88,27 @@ def derive(responses: DataFrame, rules, *, mode: str = INTENDED, output: str = "
 
 
 def trace(applied: DataFrame, plan: CompiledPlan) -> DataFrame:
-    """Per-rule outcome counts (O22): how often each rule decided its block.
+    """Per-rule outcome counts (O22): how often each rule was evaluated, with which outcome.
 
-    One struct per block and row is exploded and counted; the group space is
-    bounded by the rule table, so the partial (map-side) aggregation leaves a
-    tiny shuffle regardless of the number of responses.
+    A rule is evaluated when no rule before it in its block decided; outcome 2 is "conditions not met". One global aggregate
+    with a conditional count per rule and outcome, so a task sends one row; that row is
+    unfolded at the end.
     """
-    if not plan.blocks:
+    counts = []
+    for b in plan.blocks:
+        s = f"`{b.selector}`"
+        for i, (rule, subs) in enumerate(zip(b.rules, b.subs, strict=True), start=1):
+            met: dict[int, list[int]] = {}
+            for sub in sorted(subs):
+                met.setdefault(1 if sub in RESOLVED_SUBS else sub, []).append(16 * i + sub)
+            counts.append((b, rule, 2, f"{s} = 2 OR {s} >= {16 * (i + 1)}"))
+            counts += [(b, rule, outcome, f"{s} IN ({', '.join(map(str, codes))})") for outcome, codes in met.items()]
+    if not counts:
         return applied.sparkSession.createDataFrame(
             [], "variable string, pass_number int, rule_no int, outcome int, n bigint")
+    one = applied.selectExpr(*(f"{test} AS c{j}" for j, (*_, test) in enumerate(counts))).agg(
+        *(F.count_if(F.col(f"c{j}")).alias(f"n{j}") for j in range(len(counts))))
     items = ", ".join(
-        f"named_struct('variable', {sql_str(b.variable)}, 'pass_number', {b.pass_number}, "
-        f"'rule_no', {plan.rule_no_sql(b)}, 'outcome', {plan.outcome_sql(b)})"
-        for b in plan.blocks
-    )
-    return (applied.selectExpr(f"inline(array({items}))")
-            .groupBy("variable", "pass_number", "rule_no", "outcome")
-            .agg(F.count(F.lit(1)).alias("n")))
+        f"named_struct('variable', {sql_str(b.variable)}, 'pass_number', {b.pass_number}, 'rule_no', {rule.rule_no}, 'outcome', {outcome}, 'n', n{j})"
+        for j, (b, rule, outcome, _) in enumerate(counts))
+    return one.selectExpr(f"inline(array({items}))").filter("n > 0")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from varloom.functions.values import _PY_LIST_NUM_RE, _esc, is_digits, py_float, py_int, py_list_numbers, py_num, sql_double
+from varloom.functions.values import exact_mean, is_digits, py_float, py_int, sql_double
 from varloom.operators.common import (
     ERROR,
     INTENDED,
@@ -27,9 +27,6 @@ from varloom.operators.common import (
 from varloom.plans.rules import Rule
 
 
-_LIST_NUM = _esc(_PY_LIST_NUM_RE)
-
-
 def key_list(rule: Rule) -> list[str]:
     """``survey_id_a`` split on commas, not trimmed (V13)."""
     if rule.a is None:
@@ -63,21 +60,12 @@ def _subtraction(rule: Rule, ref, mode: str) -> Compiled:
 
 def _sum(rule: Rule, ref, mode: str) -> Compiled:
     keys = list(dict.fromkeys(key_list(rule)))  # distinct keys, absent ones skipped
-    ops = [ref(k) for k in keys]
-    bad, count, total = [], [], []
-    for o in ops:
-        # fast path, no array functions: the answer is one plain number
-        plain = f"({o.r} IS NOT NULL AND translate({o.r}, '0123456789.eE+- ', '') = '' AND {o.n} IS NOT NULL)"
-        arr = py_list_numbers(o.r)
-        bad.append(f"({o.p} AND NOT {plain} AND (({arr}) IS NULL OR exists({arr}, x -> x IS NULL)))")
-        count.append(f"CASE WHEN NOT {o.p} THEN 0 WHEN {plain} THEN 1 ELSE size({arr}) END")
-        total.append(f"CASE WHEN NOT {o.p} THEN 0 WHEN {plain} THEN {o.n} "
-                     f"ELSE aggregate({arr}, CAST(0 AS DOUBLE), (acc, x) -> acc + x) END")
+    bad, count, total = zip(*(ref(k).listed for k in keys), strict=True)
     out = Compiled().add(" OR ".join(bad), ERROR)
     out.add(f"({' + '.join(count)}) = 0", RESOLVED_ELSE)
     out.vals[RESOLVED_ELSE] = LitVal("")
     out.add("TRUE", RESOLVED)
-    out.vals[RESOLVED] = NumVal("(" + " + ".join(total) + ")")
+    out.vals[RESOLVED] = NumVal("(" + " + ".join(total) + ")", own_layer=len(keys) > 1)
     return out
 
 
@@ -86,8 +74,7 @@ def _mean(rule: Rule, ref, mode: str) -> Compiled:
     out = Compiled().add(any_absent(ops), NOT_FOUND)
     out.add(" OR ".join(f"{o.n} IS NULL" for o in ops), ERROR)
     out.add("TRUE", RESOLVED)
-    total = " + ".join(o.n for o in ops)
-    out.vals[RESOLVED] = NumVal(f"(({total}) / {len(ops)})")
+    out.vals[RESOLVED] = NumVal(exact_mean([o.n for o in ops]), own_layer=True)
     return out
 
 
@@ -104,13 +91,12 @@ def _mean_n_or_more(n_missing: int) -> Callable:
             nums = [o.n for o in ops]
         count = " + ".join(f"CASE WHEN {g} THEN 1 ELSE 0 END" for g in given)
         bad = " OR ".join(f"({g} AND {x} IS NULL)" for g, x in zip(given, nums))
-        total = " + ".join(f"CASE WHEN {g} THEN {x} ELSE 0 END" for g, x in zip(given, nums))
         out = Compiled().add(bad, ERROR)
         out.add(f"{len(ops)} - ({count}) >= {n_missing}", RESOLVED_ELSE)
         out.vals[RESOLVED_ELSE] = LitVal("")
         # nothing given and fewer missing than N: mean of nothing raises in the reference
         out.add(f"({count}) = 0", ERROR if mode == OBSERVED else RESOLVED_ELSE)
-        mean = f"(({total}) / ({count}))"
+        mean = exact_mean([f"CASE WHEN {g} THEN {x} END" for g, x in zip(given, nums)])
         if mode == OBSERVED:
             out.add("TRUE", RESOLVED_ALT)
         else:
@@ -118,8 +104,8 @@ def _mean_n_or_more(n_missing: int) -> Callable:
                                 f"AND try_cast(trim({o.r}) AS BIGINT) IS NOT NULL))" for g, o in zip(given, ops))
             out.add(ints, RESOLVED_ALT)
             out.add("TRUE", RESOLVED)
-            out.vals[RESOLVED] = NumVal(mean)
-        out.vals[RESOLVED_ALT] = NumVal(mean, "mean")
+            out.vals[RESOLVED] = NumVal(mean, own_layer=True)
+        out.vals[RESOLVED_ALT] = NumVal(mean, "mean", own_layer=True)
         return out
 
     return build
@@ -140,10 +126,9 @@ def _mean_skipna(rule: Rule, ref, mode: str) -> Compiled:
             kept.append((o.n, f"NOT {skip}"))
     out.vals[RESOLVED_ELSE] = LitVal("")
     count = " + ".join(f"CASE WHEN {k} THEN 1 ELSE 0 END" for _, k in kept)
-    total = " + ".join(f"CASE WHEN {k} THEN {x} ELSE 0 END" for x, k in kept)
     out.add(f"({count}) = 0", RESOLVED_ELSE)
     out.add("TRUE", RESOLVED)
-    out.vals[RESOLVED] = NumVal(f"(({total}) / ({count}))")
+    out.vals[RESOLVED] = NumVal(exact_mean([f"CASE WHEN {k} THEN {x} END" for x, k in kept]), own_layer=True)
     return out
 
 
@@ -207,5 +192,3 @@ VALUE_FUNCTIONS: dict[str | None, Callable] = {
     None: _copy,
     "count": _count,
 }
-
-_ = py_num  # re-exported for operators that read numbers directly

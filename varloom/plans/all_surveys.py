@@ -1,38 +1,77 @@
 """All-surveys derivation (O10).
 
 The reference runs one derivation job per active survey, eight at a time.
-Here it is one DataFrame: the rule table carries a ``survey_id``; each active
-survey's rule set is compiled once and applied to that survey's responses,
-and the branches are unioned. Each branch filters on ``survey_id``, which
-prunes to that survey's files when responses are partitioned by survey (the
-snapshot layout), so the data is read once in total; there is no shuffle.
+Here it is one projection over one scan: surveys with the same rules form a
+group, each group's rules are compiled once against the answer map of its own
+surveys (null for all others), and the groups' projections of the same depth are put side by
+side. The number of scans does not depend on the number of surveys, and there is no shuffle.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import warnings
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.operators.derive import derive
-from varloom.plans.rules import MAX_RULES
+from varloom.functions.values import sql_str
+from varloom.operators.derive import merged_map_sql, present_text
+from varloom.plans.compiler import PFX, CompiledPlan, Compiler
 from varloom.sources.surveys import active_surveys
 
 
+def compile_groups(rules: dict[str, list[dict]], mode: str, failed: dict[str, str] | None) -> list[tuple[list[str], CompiledPlan]]:
+    """(surveys, plan) per distinct rule set; a survey whose rules do not compile goes to ``failed``, or raises without it."""
+    groups: dict[tuple, list[str]] = {}
+    for survey, rows in sorted(rules.items()):
+        groups.setdefault(tuple(tuple(sorted((k, repr(v)) for k, v in r.items() if k != "rule_no")) for r in rows), []).append(survey)
+    out = []
+    for i, surveys in enumerate(groups.values()):
+        try:
+            plan = Compiler(rules[surveys[0]], mode, f"{PFX}g{i}", f"g{i}_").compile()
+        except ValueError as e:
+            if failed is None:
+                raise
+            failed.update({s: str(e) for s in surveys})
+            warnings.warn(f"surveys {surveys} are left out: {e}", stacklevel=3)
+            continue
+        out.append((surveys, plan))
+    return out
+
+
 def derive_all_surveys(responses: DataFrame, rules: DataFrame, surveys: DataFrame | None = None, *,
-                       mode: str = "intended", output: str = "wide") -> DataFrame:
+                       mode: str = "intended", output: str = "wide", failed: dict[str, str] | None = None) -> DataFrame:
+    """Responses of all (active) surveys that have rules, with their derived variables.
+
+    ``output``: ``wide`` (a column per variable of any survey), ``map`` or ``long``, as in ``derive``.
+    With a dict as ``failed`` a survey with an unsupported rule is reported there and left out, and the rest is
+    derived; without one it raises.
+    """
+    if output not in ("wide", "map", "long"):
+        raise ValueError("output must be 'wide', 'map' or 'long'")
     if surveys is not None:
         rules = rules.join(active_surveys(surveys).select("survey_id"), "survey_id", "left_semi")
-    n = rules.limit(MAX_RULES + 1).count()
-    if n > MAX_RULES:
-        raise ValueError(f"rule tables hold more than {MAX_RULES} rules")
     by_survey: dict[str, list[dict]] = {}
-    for row in rules.orderBy("survey_id", "rule_no").collect():
+    for row in rules.orderBy("survey_id", "rule_no").collect():  # the rule tables themselves
         d = row.asDict()
         by_survey.setdefault(d.pop("survey_id"), []).append(d)
-    if not by_survey:
+    groups = compile_groups(by_survey, mode, failed)
+    if not groups:
         raise ValueError("no active survey has rules")
-    parts = [derive(responses.filter(F.col("survey_id") == sid), rs, mode=mode, output=output)
-             for sid, rs in sorted(by_survey.items())]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    mine = [f"survey_id IN ({', '.join(sql_str(s) for s in ids)})" for ids, _ in groups]
+    df = responses.filter(" OR ".join(mine))
+    df = df.selectExpr("*", *(f"CASE WHEN {m} THEN `values` END AS `{plan.map_col}`" for m, (_, plan) in zip(mine, groups, strict=True)))
+    for layer in zip_longest(*(plan.layers for _, plan in groups), fillvalue=[]):
+        df = df.selectExpr("*", *(f"{sql} AS `{alias}`" for part in layer for alias, sql in part))
+    columns = [f"`{c}`" for c in responses.columns if c != "values"]
+    if output == "wide":
+        names = list(dict.fromkeys(v for _, plan in groups for v in plan.variables))
+        pick = lambda v: " ".join(f"WHEN {m} THEN {present_text(plan, v)}" for m, (_, plan) in zip(mine, groups, strict=True) if v in plan.variables)
+        return df.selectExpr(*columns, *(f"CASE {pick(v)} END AS `{v}`" for v in names))
+    merged = "CASE " + " ".join(f"WHEN {m} THEN {merged_map_sql(plan)}" for m, (_, plan) in zip(mine, groups, strict=True)) + " END"
+    if output == "map":
+        return df.selectExpr(*columns, f"{merged} AS `values`")
+    return df.selectExpr(*columns, f"{merged} AS `{PFX}m`").select(
+        *(F.col(c) for c in columns), F.explode(F.col(f"`{PFX}m`")).alias("key", "value"))

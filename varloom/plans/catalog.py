@@ -462,14 +462,12 @@ register("trace_counts", "R1", [
     R("size", 0, "conditional", "greater_than", a="qty", A="20", then="M"),
     R("size", 0, "conditional", "equal", a="flag", A="1", then="never"),
     R("size", 1, "conditional", "equal", a="line", A="1", then="one"),
-], _with(R1_SQL) + """SELECT variable, pass_number, rule_no, outcome, count(*) AS n FROM (
-  SELECT 'size' AS variable, 0 AS pass_number,
-    CASE WHEN qty > 40 THEN 0 WHEN qty > 20 THEN 1 ELSE 2 END AS rule_no,
-    CASE WHEN qty > 20 THEN 1 ELSE 3 END AS outcome FROM r1
-  UNION ALL
-  SELECT 'size', 1, CASE WHEN qty > 20 AND line = 1 THEN 3 END,
-    CASE WHEN qty <= 20 THEN 0 WHEN line = 1 THEN 1 ELSE 2 END FROM r1)
-  GROUP BY variable, pass_number, rule_no, outcome""", output="trace")
+], _with(R1_SQL) + """SELECT 'size' AS variable, pass_number, rule_no, outcome, count(*) AS n FROM (
+  SELECT 0 AS pass_number, 0 AS rule_no, CASE WHEN qty > 40 THEN 1 ELSE 2 END AS outcome FROM r1
+  UNION ALL SELECT 0, 1, CASE WHEN qty > 20 THEN 1 ELSE 2 END FROM r1 WHERE qty <= 40
+  UNION ALL SELECT 0, 2, 3 FROM r1 WHERE qty <= 20
+  UNION ALL SELECT 1, 3, CASE WHEN line = 1 THEN 1 ELSE 2 END FROM r1 WHERE qty > 20)
+  GROUP BY ALL""", output="trace")
 
 # ------------------------------------------- O1-O10 ingestion and catalogue
 
@@ -713,3 +711,28 @@ def _chain_sql() -> str:
 
 
 register("chain_depth_10", "R1", CHAIN_RULES, _chain_sql())
+
+CHAIN_20 = [R("c0", 0, "product", a="qty", A="1")] + [R(f"c{i}", 0, "product", a=f"c{i - 1}", A="1") for i in range(1, 20)]
+register("chain_depth_20", "R1", CHAIN_20, _with(R1_SQL) + "SELECT response_id, " + ", ".join(
+    f"{F('qty')} AS c{i}" for i in range(20)) + " FROM r1")
+
+register("mean_three_decimals", "R1", [
+    R("m3", 0, "mean", a="disc,tax,qty"),
+    R("m3s", 0, "mean_skipna", a="disc,tax,qty"),
+], _with(R1_SQL, """whole AS (SELECT response_id, CAST(disc * pow(2, 60) AS HUGEINT) + CAST(tax * pow(2, 60) AS HUGEINT)
+  + CAST(qty * pow(2, 60) AS HUGEINT) AS s FROM r1)""", """third AS (SELECT response_id,
+  (s * 1099511627776) // 3 + CASE WHEN (s * 1099511627776) % 3 = 0 THEN 0 ELSE 1 END AS q3 FROM whole)""") + f"""SELECT response_id,
+  {F('CAST(q3 AS DOUBLE) / pow(2, 100)')} AS m3, {F('CAST(q3 AS DOUBLE) / pow(2, 100)')} AS m3s FROM third""")
+
+# One key of each document is empty while its guard key is a number: the null tests have something to find.
+FIXTURE["R3D"] = lambda s, d: fx.document_responses(s, d, "D")
+register("null_guards", "R3D", [
+    R("multi", 0, "multi_conditional", "equal,is_null", a="quality", A="1", b="toxic", then="x", otherwise="o"),
+    R("both", 0, "multi_conditional_and", "equal,is_null", a="quality", A="1", b="toxic", then="x", otherwise="o"),
+    R("pair", 0, "multi_conditional_and", "equal,equal", a="quality", A="1", b="n_even", B="1", then="x", otherwise="o"),
+    R("over", 0, "multi_conditional_and", "equal,greater_than", a="quality", A="1", b="n_even", B="0", then="x", otherwise="o"),
+], _with(R3_SQL) + """SELECT response_id,
+  CASE WHEN quality IS NULL THEN NULL WHEN quality = 1 AND CAST(response_id AS BIGINT) % 2 = 0 THEN 'x' ELSE 'o' END AS multi,
+  CASE WHEN quality IS NULL THEN NULL WHEN quality = 1 AND CAST(response_id AS BIGINT) % 2 = 0 THEN 'x' ELSE 'o' END AS "both",
+  CASE WHEN quality IS NULL THEN NULL WHEN quality = 1 AND n_chars % 2 = 0 THEN 'x' ELSE 'o' END AS pair,
+  CASE WHEN quality IS NULL THEN NULL WHEN quality = 1 AND n_chars % 2 = 0 THEN 'x' ELSE 'o' END AS over FROM r3""")

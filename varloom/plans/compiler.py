@@ -13,12 +13,14 @@ dependency levels. Each level becomes two or three ``selectExpr`` projections:
 
 1. ``s``  - the block selector: one searched CASE over all rules of the
    block (first match wins by fall-through), ``16 * rule_index + sub``;
-2. tmp   - computed values that are large or use lambdas (sums, long means);
-   small values are computed inside the final projection instead;
-3. final - the new version (present, text, number) and the drop flag.
-
-Everything is a narrow, row-local projection: no shuffle, no Python UDF,
-whole-stage codegen end to end.
+2. tmp   - computed texts, and numbers whose operator asks for a projection of their own
+   (sums, means); other values are computed inside the final projection;
+3. final - the new version (present, text, number, kind of number) and the drop flag;
+4. extra - helper columns of the new version that a later rule or the output
+   asked for: the text of a number, the parts of an answer read as a list.
+
+Everything is a narrow, row-local projection: no shuffle, no Python UDF. Projections without array functions
+stay inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from varloom.functions.values import (
+    list_numbers,
+    list_text,
+    plain_number,
     py_float_text,
     py_int_text,
     py_mean_text,
@@ -33,6 +38,7 @@ from varloom.functions.values import (
     sql_str,
 )
 from varloom.operators.common import (
+    ERROR,
     INTENDED,
     OBSERVED,
     RESOLVED_SUBS,
@@ -50,28 +56,82 @@ from varloom.plans.rules import Rule, RuleSet, load_rules
 PFX = "__vl_"
 
 
-def dispatch(rule: Rule):
-    """The builder for a rule's (action, detail); unsupported pairs raise."""
+def _unsupported(rule: Rule, ref, mode: str) -> Compiled:
+    """A rule that the reference only stumbles over when a response reaches it."""
+    return Compiled().add("TRUE", ERROR)
+
+
+def dispatch(rule: Rule, on_error: str | None = None):
+    """The builder for a rule's (action, detail); unsupported pairs raise, or become an error of the rows that reach them."""
     if rule.action in VALUE_FUNCTIONS:
         return VALUE_FUNCTIONS[rule.action]
     builder = PREDICATES.get((rule.action, rule.detail))
     if builder is None:
+        if on_error is not None:
+            return _unsupported
         raise UnsupportedRule(
             f"rule {rule.rule_no}: unsupported action {rule.action!r} / detail {rule.detail!r}"
         )
     return builder
 
 
+#: How a version's text comes about: as it stands, or as the text of its number.
+TEXT, FLOAT, INT, MEAN = 0, 1, 2, 3
+_KIND = {"float": FLOAT, "int": INT, "mean": MEAN}
+
+
 @dataclass
 class Version:
+    """One version of a key as flat columns: presence, text or kind of number, number.
+
+    A number's text is long to write (Python's ``repr``), so it is no column of the chain: ``extras``
+    holds the helper columns that somebody asked for, each a projection after this version's own.
+    """
+
     key: str
     p: str
     r: str
     n: str
     level: int
+    k: str | None = None  # column with the kind; None: always text
+    extras: dict[str, tuple[str, int, str]] = field(default_factory=dict)  # name -> (column, step, sql)
+
+    def extra(self, name: str) -> str:
+        """Column (quoted) of a helper of this version."""
+        if name == "text" and self.k is None:
+            return f"`{self.r}`"
+        if name not in self.extras:
+            step, sql = getattr(self, f"_{name}")()
+            self.extras[name] = (f"{self.p[:-2]}_{name}", step, sql)
+        return f"`{self.extras[name][0]}`"
+
+    def _text(self):
+        n = f"`{self.n}`"
+        return 1, (f"CASE `{self.k}` WHEN {FLOAT} THEN {py_float_text(n)} WHEN {INT} THEN {py_int_text(n)} "
+                   f"WHEN {MEAN} THEN {py_mean_text(n)} ELSE `{self.r}` END")
+
+    def _list_plain(self):
+        return 2, f"(`{self.p}` AND {plain_number(self.extra('text'), f'`{self.n}`')})"
+
+    def _list_literal(self):
+        return 3, f"CASE WHEN `{self.p}` AND NOT {self.extra('list_plain')} THEN {list_text(self.extra('text'))} END"
+
+    def _list(self):
+        return 4, list_numbers(self.extra("list_literal"))
+
+    def _list_bad(self):
+        a, plain = self.extra("list"), self.extra("list_plain")
+        return 5, f"(`{self.p}` AND NOT {plain} AND ({a} IS NULL OR array_contains(transform({a}, x -> x IS NULL), TRUE)))"
+
+    def _list_count(self):
+        return 5, f"CASE WHEN NOT `{self.p}` THEN 0 WHEN {self.extra('list_plain')} THEN 1 ELSE coalesce(size({self.extra('list')}), 0) END"
+
+    def _list_sum(self):
+        return 5, (f"CASE WHEN NOT `{self.p}` THEN 0D WHEN {self.extra('list_plain')} THEN `{self.n}` "
+                   f"ELSE aggregate({self.extra('list')}, 0D, (acc, x) -> acc + x) END")
 
     def operand(self) -> Operand:
-        return Operand(self.key, f"`{self.p}`", f"`{self.r}`", f"`{self.n}`")
+        return Operand(self.key, f"`{self.p}`", f"`{self.n}`", self.extra)
 
 
 @dataclass
@@ -81,6 +141,7 @@ class Block:
     rules: list[Rule]
     selector: str  # column name
     level: int
+    subs: list[set[int]]  # per rule the outcomes it may have
 
 
 @dataclass
@@ -96,11 +157,6 @@ class CompiledPlan:
         resolved = ", ".join(str(x) for x in RESOLVED_SUBS)
         return f"CASE WHEN {s} = 0 THEN 0 WHEN {s} % 16 IN ({resolved}) THEN 1 ELSE {s} % 16 END"
 
-    def rule_no_sql(self, b: Block) -> str:
-        s = f"`{b.selector}`"
-        whens = " ".join(f"WHEN {i} THEN {r.rule_no}" for i, r in enumerate(b.rules, start=1))
-        return f"CASE {s} DIV 16 {whens} END"
-
 
 @dataclass
 class _State:
@@ -110,17 +166,21 @@ class _State:
 
 
 class Compiler:
-    def __init__(self, rules, mode: str = INTENDED, map_col: str = "values"):
+    def __init__(self, rules, mode: str = INTENDED, map_col: str = "values", stem: str = "", on_error: str | None = None):
+        """``stem``: put into all column names, so that several plans can share a projection."""
+        if on_error not in (None, "quarantine", "fail"):
+            raise ValueError("on_error must be None, 'quarantine' or 'fail'")
         if mode not in (INTENDED, OBSERVED):
             raise ValueError(f"mode must be {INTENDED!r} or {OBSERVED!r}")
         self.ruleset: RuleSet = load_rules(rules)
         self.mode = mode
         self.map_col = map_col
+        self.stem, self.on_error = stem, on_error
         self._ids = 0
 
-    def _id(self, stem: str) -> str:
+    def _id(self, name: str) -> str:
         self._ids += 1
-        return f"{PFX}{stem}{self._ids}"
+        return f"{PFX}{self.stem}{name}{self._ids}"
 
     def _raw(self, st: _State, key: str) -> Version:
         if key not in st.raw:
@@ -137,7 +197,7 @@ class Compiler:
         """
         m = f"`{self.map_col}`"
         variables = set(self.ruleset.variables)
-        any_var = f"{PFX}anyvar"
+        any_var = f"{PFX}{self.stem}anyvar"
         lift, pre = [], []
         names = [k for k in st.raw if k in variables]
         if names:
@@ -149,10 +209,12 @@ class Compiler:
                 r = f"CASE WHEN `{any_var}` THEN try_element_at({m}, {k}) END"
                 p = f"(`{any_var}` AND coalesce(map_contains_key({m}, {k}), FALSE))"
             else:
+                # the map is searched once for a value; only a null needs the second search
                 r = f"try_element_at({m}, {k})"
-                p = f"coalesce(map_contains_key({m}, {k}), FALSE)"
-            lift += [(v.p, p), (v.r, r), (v.n, py_num(r))]
-        return [x for x in (pre, lift) if x]
+                p = f"({r} IS NOT NULL OR coalesce(map_contains_key({m}, {k}), FALSE))"
+            lift += [(v.p, p), (v.r, r)]
+        numbers = [(v.n, py_num(f"`{v.r}`")) for v in st.raw.values()]
+        return [x for x in (pre, lift, numbers) if x]
 
     def _current(self, st: _State, key: str) -> Version:
         return st.versions.get(key) or self._raw(st, key)
@@ -162,6 +224,7 @@ class Compiler:
         st = _State()
         blocks: list[Block] = []
         per_level: dict[int, list[tuple[list, list, list]]] = {}
+        made: list[Version] = []
 
         for pass_number in range(0, rs.max_pass + 1):
             for var in rs.variables:
@@ -177,19 +240,23 @@ class Compiler:
                     _used.append(v)
                     return v.operand()
 
-                compiled: list[Compiled] = [dispatch(r)(r, ref, self.mode) for r in rules]
+                compiled: list[Compiled] = [dispatch(r, self.on_error)(r, ref, self.mode) for r in rules]
                 prev = self._current(st, var)
                 drop = st.drop.get(var)
                 level = 1 + max([v.level for v in used] + [prev.level, drop[1] if drop else 0])
                 sel = self._id("s")
                 s_sql, v_cols, f_cols, new_version, new_drop = self._block_sql(
-                    sel, compiled, prev, drop, var, level)
+                    sel, compiled, prev, drop, var, level, [r.rule_no for r in rules])
                 per_level.setdefault(level, []).append((s_sql, v_cols, f_cols))
                 st.versions[var] = new_version
+                made.append(new_version)
                 st.drop[var] = (new_drop, level)
-                blocks.append(Block(var, pass_number, rules, sel, level))
+                blocks.append(Block(var, pass_number, rules, sel, level, [{sub for _, sub in c.branches} for c in compiled]))
 
+        final = {v: self._current(st, v) for v in rs.variables}
+        made.extend(st.raw.values())
         layers: list[list[tuple[str, str]]] = self._lift(st)
+        layers += self._extras(made, 0)
         for level in sorted(per_level):
             items = per_level[level]
             layers.append([x for s_sql, _, _ in items for x in s_sql])
@@ -197,18 +264,50 @@ class Compiler:
             if tmp:
                 layers.append(tmp)
             layers.append([x for _, _, f_cols in items for x in f_cols])
-        final = {v: self._current(st, v) for v in rs.variables}
+            layers += self._extras(made, level)
+        layers += self._final_texts(list(final.values()))
         return CompiledPlan(layers, list(rs.variables), final, blocks, self.map_col)
 
-    def _block_sql(self, sel, compiled, prev: Version, drop, var, level):
+    def _final_texts(self, versions: list[Version]) -> list[list[tuple[str, str]]]:
+        """Texts of the final numbers that no rule has read as text: one expression for all of them, at the end.
+
+        Written out per variable, the texts of a dozen numbers outgrow the method size limit of generated code.
+        """
+        late = [v for v in versions if v.k is not None and "text" not in v.extras]
+        if not late:
+            return []
+        texts = f"{PFX}{self.stem}texts"
+        numbers = ", ".join(f"named_struct('k', `{v.k}`, 'n', `{v.n}`)" for v in late)
+        text = f"CASE e.k WHEN {FLOAT} THEN {py_float_text('e.n')} WHEN {INT} THEN {py_int_text('e.n')} WHEN {MEAN} THEN {py_mean_text('e.n')} END"
+        own = []
+        for i, v in enumerate(late):
+            column = f"{v.p[:-2]}_text"
+            own.append((column, f"CASE WHEN `{v.k}` = {TEXT} THEN `{v.r}` ELSE `{texts}`[{i}] END"))
+            v.extras["text"] = (column, 0, "")
+        return [[(texts, f"transform(array({numbers}), e -> {text})")], own]
+
+    def _extras(self, versions: list[Version], level: int) -> list[list[tuple[str, str]]]:
+        """Projections of the helper columns asked for of the versions of one level."""
+        steps: dict[int, list[tuple[str, str]]] = {}
+        for v in versions:
+            if v.level == level:
+                for column, step, sql in v.extras.values():
+                    # texts of numbers nobody reads before the end are only made where they are used
+                    steps.setdefault(step, []).append((column, sql))
+        return [steps[i] for i in sorted(steps)]
+
+    def _block_sql(self, sel, compiled, prev: Version, drop, var, level, rule_nos):
         whens = []
         text_whens, num_whens = [], []
-        r_whens, n_whens = [], []
+        r_whens, n_whens, k_whens = [], [], []
         resolved_codes = []
         tmp_r, tmp_n = self._id("tr"), self._id("tn")
         for idx, comp in enumerate(compiled, start=1):
             for cond, sub in comp.branches:
-                whens.append(f"WHEN {cond} THEN {16 * idx + sub}")
+                code = str(16 * idx + sub)
+                if sub == ERROR and self.on_error == "fail":
+                    code = f"CAST(raise_error('rule {rule_nos[idx - 1]}: the answer or the rule cannot be read') AS INT)"
+                whens.append(f"WHEN {cond} THEN {code}")
             for sub, val in comp.vals.items():
                 code = 16 * idx + sub
                 if not any(code == 16 * idx + s for _, s in comp.branches):
@@ -217,19 +316,18 @@ class Compiler:
                 if isinstance(val, LitVal):
                     r_whens.append(f"WHEN {code} THEN {val.r()}")
                     n_whens.append(f"WHEN {code} THEN {val.n()}")
+                    k_whens.append(f"WHEN {code} THEN {TEXT}")
                 elif isinstance(val, TextVal):
-                    ref_r = f"({val.sql})" if _inline(val.sql) else f"`{tmp_r}`"
-                    if not _inline(val.sql):
-                        text_whens.append(f"WHEN {code} THEN {val.sql}")
-                    r_whens.append(f"WHEN {code} THEN {ref_r}")
-                    n_whens.append(f"WHEN {code} THEN {py_num(ref_r)}")
+                    text_whens.append(f"WHEN {code} THEN {val.sql}")
+                    r_whens.append(f"WHEN {code} THEN `{tmp_r}`")
+                    n_whens.append(f"WHEN {code} THEN {py_num(f'`{tmp_r}`')}")
+                    k_whens.append(f"WHEN {code} THEN {TEXT}")
                 elif isinstance(val, NumVal):
-                    ref_n = f"({val.sql})" if _inline(val.sql) else f"`{tmp_n}`"
-                    if not _inline(val.sql):
+                    if val.own_layer:
                         num_whens.append(f"WHEN {code} THEN {val.sql}")
-                    fmt = {"float": py_float_text, "int": py_int_text, "mean": py_mean_text}[val.kind]
-                    r_whens.append(f"WHEN {code} THEN {fmt(ref_n)}")
-                    n_whens.append(f"WHEN {code} THEN {ref_n}")
+                    r_whens.append(f"WHEN {code} THEN CAST(NULL AS STRING)")
+                    n_whens.append(f"WHEN {code} THEN {f'`{tmp_n}`' if val.own_layer else f'({val.sql})'}")
+                    k_whens.append(f"WHEN {code} THEN {_KIND[val.kind]}")
         skip = f"WHEN `{drop[0]}` THEN 0 " if drop else ""
         s_sql = [(sel, f"CASE {skip}{' '.join(whens)} ELSE 2 END")]
         s = f"`{sel}`"
@@ -239,7 +337,7 @@ class Compiler:
         if num_whens:
             v_cols.append((tmp_n, f"CAST(CASE {s} {' '.join(num_whens)} END AS DOUBLE)"))
         base = self._id("v")
-        p, r, n, d = base + "_p", base + "_r", base + "_n", base + "_d"
+        p, r, n, d, k = base + "_p", base + "_r", base + "_n", base + "_d", base + "_k"
         codes = ", ".join(str(c) for c in resolved_codes) or "-1"
         f_cols = [
             (p, f"CASE WHEN {s} IN ({codes}) THEN TRUE ELSE `{prev.p}` END"),
@@ -248,16 +346,14 @@ class Compiler:
             (n, f"CAST(CASE {s} {' '.join(n_whens)} ELSE `{prev.n}` END AS DOUBLE)"
                 if n_whens else f"`{prev.n}`"),
         ]
+        numbers = prev.k is not None or any(isinstance(v, NumVal) for c in compiled for v in c.vals.values())
+        if numbers:
+            before = f"`{prev.k}`" if prev.k else str(TEXT)
+            f_cols.append((k, f"CASE {s} {' '.join(k_whens)} ELSE {before} END" if k_whens else before))
         lost = f"{s} % 16 IN (3, 9)"
         f_cols.append((d, f"(`{drop[0]}` OR {lost})" if drop else lost))
-        return s_sql, v_cols, f_cols, Version(var, p, r, n, level), d
-
-
-def _inline(sql: str) -> bool:
-    """Small, lambda-free values are computed in the final projection itself,
-    saving one projection per level; others get their own (tmp) projection."""
-    return len(sql) <= 200 and "->" not in sql
+        return s_sql, v_cols, f_cols, Version(var, p, r, n, level, k if numbers else None), d
 
 
-def compile_rules(rules, mode: str = INTENDED, map_col: str = "values") -> CompiledPlan:
-    return Compiler(rules, mode, map_col).compile()
+def compile_rules(rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None) -> CompiledPlan:
+    return Compiler(rules, mode, map_col, on_error=on_error).compile()

@@ -1,12 +1,17 @@
 """Rule table: schema, validation and the block structure of a rule set.
 
 A rule table is small by nature (a hand-written file of rules). It is
-collected to the driver once, behind a size check, and compiled into column
-expressions; the responses never leave the executors.
+collected to the driver once and compiled into column expressions; the
+responses never leave the executors. ``max_rules`` can bound it (default: no bound).
+
+Blank cells of a flat file come as NaN. As in the reference a NaN is not a missing cell: as a
+literal it reads as a number that compares false, as an action it is unsupported. Keys and variable names of NaN
+count as blank.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -39,11 +44,6 @@ RULE_SCHEMA = T.StructType(
     ]
 )
 
-# A rule set is compiled into one expression per rule; this bound keeps the
-# collect to the driver and the generated plan a proven, small size.
-MAX_RULES = 5000
-
-
 @dataclass(frozen=True)
 class Rule:
     rule_no: int
@@ -80,69 +80,57 @@ class RuleSet:
         return [r for r in self.rules if r.pass_number == pass_number and r.new_variable == variable]
 
 
+def _is_nan(v) -> bool:
+    return isinstance(v, float) and math.isnan(v)
+
+
 def _text(v) -> str | None:
-    if v is None:
-        return None
-    try:
-        import math
+    """A cell's text; NaN keeps its Python text "nan"."""
+    return None if v is None else str(v)
+
 
-        if isinstance(v, float) and math.isnan(v):
-            return None
-    except TypeError:
-        pass
-    return str(v)
+def _name(v) -> str | None:
+    """A key or variable name; a blank cell is none."""
+    return None if _is_nan(v) else _text(v)
 
 
-def _from_mapping(i: int, row: dict) -> Rule | None:
-    var = _text(row.get("new_variable"))
+def _from_mapping(i: int, row: dict) -> Rule:
     pn = row.get("pass_number")
-    if pn is None:
+    if pn is None or _is_nan(pn):
         raise ValueError(f"rule {i}: pass_number is required")
     if int(pn) != float(pn):
         raise ValueError(f"rule {i}: pass_number must be an integer, got {pn!r}")
     rule_no = row.get("rule_no")
-    return Rule(
-        rule_no=int(rule_no) if rule_no is not None else i,
-        new_variable=var,
-        pass_number=int(pn),
-        action=_text(row.get("action")),
-        detail=_text(row.get("detail")),
-        a=_text(row.get("survey_id_a")),
-        a_value_1=_text(row.get("survey_id_a_value_1")),
-        a_value_2=_text(row.get("survey_id_a_value_2")),
-        b=_text(row.get("survey_id_b")),
-        b_value=_text(row.get("survey_id_b_value")),
-        c=_text(row.get("survey_id_c")),
-        c_value=_text(row.get("survey_id_c_value")),
-        d=_text(row.get("survey_id_d")),
-        d_value=_text(row.get("survey_id_d_value")),
-        fill_with_this=_text(row.get("fill_with_this")),
-        else_value=_text(row.get("else")),
-    )
-
-
-def load_rules(rules) -> RuleSet:
+    names = {f: _name(row.get(c)) for f, c in (("new_variable", "new_variable"), ("a", "survey_id_a"), ("b", "survey_id_b"),
+                                               ("c", "survey_id_c"), ("d", "survey_id_d"))}
+    cells = {f: _text(row.get(c)) for f, c in (("action", "action"), ("detail", "detail"), ("a_value_1", "survey_id_a_value_1"),
+                                               ("a_value_2", "survey_id_a_value_2"), ("b_value", "survey_id_b_value"), ("c_value", "survey_id_c_value"),
+                                               ("d_value", "survey_id_d_value"), ("fill_with_this", "fill_with_this"), ("else_value", "else"))}
+    return Rule(rule_no=int(rule_no) if rule_no is not None else i, pass_number=int(pn), **names, **cells)
+
+
+def load_rules(rules, max_rules: int | None = None) -> RuleSet:
     """Normalise a rule table (Spark DataFrame, pandas frame or list of dicts).
 
-    Row order defines rule order (``rule_no`` when given). Variables are
+    Row order defines rule order (``rule_no`` when given; a Spark table has no row order, so it must have one). Variables are
     listed in order of first appearance, rows without a variable are kept
     only for the pass count, as in the reference loop.
     """
     if isinstance(rules, RuleSet):
         return rules
     if isinstance(rules, DataFrame):
-        n = rules.limit(MAX_RULES + 1).count()
-        if n > MAX_RULES:
-            raise ValueError(f"rule table has more than {MAX_RULES} rows")
-        if "rule_no" in rules.columns:
-            rules = rules.orderBy("rule_no")
+        if "rule_no" not in rules.columns:
+            raise ValueError("a Spark rule table needs rule_no: the order of rules decides the answer")
+        if max_rules is not None and rules.limit(max_rules + 1).count() > max_rules:
+            raise ValueError(f"rule table has more than {max_rules} rows")
+        rules = rules.orderBy("rule_no")
         rows = [r.asDict() for r in rules.collect()]
     elif hasattr(rules, "to_dict") and hasattr(rules, "columns"):
         rows = rules.to_dict("records")
     else:
         rows = [dict(r) for r in rules]
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"rule table has more than {MAX_RULES} rows")
+    if max_rules is not None and len(rows) > max_rules:
+        raise ValueError(f"rule table has more than {max_rules} rows")
     missing = [c for c in ("new_variable", "pass_number") if rows and c not in rows[0]]
     if missing:
         raise ValueError(f"rule table lacks columns {missing}")

@@ -33,16 +33,17 @@ def get_spark(master: str | None = None, app: str = "varloom", shuffle_partition
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); only
-    when neither is set, as in local tests, a private temporary folder is
-    created and registered.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Where neither is set a
+    private temporary folder is made, on a local master only: on a cluster each executor would
+    write to a disk of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="varloom-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
@@ -51,20 +52,3 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/varloom/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df):
-    """Round-robin a scan over the cluster's cores when it has fewer splits.
-
-    Derivation is CPU-bound per row, so a table read as fewer splits than
-    there are cores (small files, one parquet row group) would run on a
-    few cores only. This only fires when the input is smaller than
-    ``cores x split size``, which bounds the extra shuffle; a large input
-    already has more splits than cores and is left untouched (no shuffle).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
-        return df
-    return df.repartition(cores) if splits < cores else df

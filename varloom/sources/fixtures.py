@@ -11,16 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.session import spread
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def scan(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Read only ``cols`` of a table, spread over the cores if under-split."""
-    return spread(table(spark, sf_dir, name).select(*cols))
+    """Read only ``cols`` of a table."""
+    return table(spark, sf_dir, name).select(*cols)
 
 
 def _num_text(c):
@@ -76,8 +74,8 @@ def order_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_responses(spark: SparkSession, sf_dir: str, variant: str = "A") -> DataFrame:
     """R3: ``documents`` with their ``labels``.
 
-    Unlabelled documents have ``quality``/``toxic`` absent (A), null (B) or
-    ``""`` (C). Only the needed columns are read (no document text).
+    Unlabelled documents have ``quality``/``toxic`` absent (A, D), null (B) or
+    ``""`` (C); in D a labelled one with an even id has an empty ``toxic``. Only the needed columns are read (no document text).
     """
     docs = scan(spark, sf_dir, "documents", "doc_id", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
@@ -94,8 +92,13 @@ def document_responses(spark: SparkSession, sf_dir: str, variant: str = "A") ->
         empty = [F.lit("quality"), F.coalesce(F.col("quality").cast("string"), F.lit("")),
                  F.lit("toxic"), F.coalesce(F.col("toxic").cast("string"), F.lit(""))]
         values = F.create_map(*base, *empty)
+    elif variant == "D":
+        even = [F.lit("n_even"), F.when(F.col("n_chars") % 2 == 0, "1").otherwise("0")]
+        half = [F.lit("quality"), F.col("quality").cast("string"),
+                F.lit("toxic"), F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("toxic").cast("string"))]
+        values = F.when(labelled, F.create_map(*base, *even, *half)).otherwise(F.create_map(*base, *even))
     else:
-        raise ValueError("variant must be A, B or C")
+        raise ValueError("variant must be A, B, C or D")
     return j.select(F.col("doc_id").cast("string").alias("response_id"), values.alias("values"))
 
 

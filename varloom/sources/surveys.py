@@ -18,10 +18,10 @@ def read_survey_list(spark, path: str) -> DataFrame:
             .select(F.col("e.id").alias("survey_id"), F.col("e.isActive").alias("is_active")))
 
 
-def write_survey_list(catalogue: DataFrame, path: str) -> None:
-    """Write a catalogue as list documents, one page per partition (bounded)."""
-    page = catalogue.withColumn("page", F.spark_partition_id())
-    docs = page.groupBy("page").agg(
+def write_survey_list(catalogue: DataFrame, path: str, page_size: int = 1000) -> None:
+    """Write a catalogue as list documents, pages of about ``page_size`` surveys."""
+    pages = max(1, -(-catalogue.count() // page_size))
+    docs = catalogue.groupBy(F.pmod(F.xxhash64("survey_id"), F.lit(pages)).alias("page")).agg(
         F.collect_list(F.struct(F.col("survey_id").alias("id"), F.col("survey_id").alias("name"),
                                 F.col("is_active").alias("isActive"))).alias("elements"))
     docs.select(F.struct("elements").alias("result")).write.mode("overwrite").json(path)
