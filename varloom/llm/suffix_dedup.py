@@ -12,8 +12,8 @@ Equal strings must meet in one shard, and only strings that can repeat need sort
 2. A second pass cuts the segment of all strings around each remaining anchor.
    Segments are sharded and sorted by anchor hash; an equal segment that is not the first one repeats as a whole, and is
    known for that without being sorted, in its task or when the sorted stream meets it.
-3. The different segments of the same anchors are concatenated to texts of about ``SHARD`` bytes and
-   sorted by external induced sorting (``induced``: queues that go to disk, recursion
+3. The different segments of an anchor (held by one task) lose the bytes that no other one shares with them; what is left, if it is long
+   enough, is concatenated to texts of about ``SHARD`` bytes and sorted by external induced sorting (``induced``: queues that go to disk, recursion
    on names). Common prefixes of neighbours, capped at ``length``, split the suffix array
    into runs of equal strings; in each all but the earliest repeat.
 4. The repeated spans are merged per document and cut out.
@@ -122,6 +122,33 @@ class _Segments:
             self.rows = []
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    k = min(len(a), len(b))
+    x = int.from_bytes(a[:k], "big") ^ int.from_bytes(b[:k], "big")
+    return k - (x.bit_length() + 7) // 8
+
+
+def trimmed(group: list[tuple], length: int) -> list[tuple]:
+    """Segments of one anchor without the bytes that no other segment of it has at the same distance from the anchor.
+
+    On either side of the anchor the longest stretch shared with another segment is that
+    shared with a neighbour in sorted order. A string that repeats lies within both stretches, so a segment whose
+    stretches make less than ``length`` goes.
+    """
+    reach = []
+    for side in (lambda r: r[2][r[1]:], lambda r: r[2][:r[1]][::-1]):
+        texts = [side(r) for r in group]
+        order = sorted(range(len(group)), key=texts.__getitem__)
+        most = [0] * len(group)
+        for i, j in zip(order, order[1:]):
+            n = _common(texts[i], texts[j])
+            most[i], most[j] = max(most[i], n), max(most[j], n)
+        reach.append(most)
+    return [(r[0], left, r[2][r[1] - left:r[1] + right], r[3], r[4] + r[1] - left)
+            for r, right, left in zip(group, *reach, strict=True) if left + right >= length]
+
+
 def _runs(length: int):
     """mapInArrow function over segments sorted by (hash, left, segment, doc, start): spans (doc, start, end)."""
 
@@ -167,9 +194,16 @@ def _runs(length: int):
 
         def close():
             nonlocal groups, size
-            if len(group) > 1:
-                groups.append(group)
-                size += sum(len(r[2]) for r in group)
+            if len(group) < 2:
+                return
+            kept: dict[tuple, tuple] = {}
+            for r in sorted(trimmed(group, length), key=lambda r: r[3:]):
+                first = kept.setdefault(r[1:3], r)
+                if first[3:] != r[3:]:  # equal after trimming: repeats as a whole
+                    out.append((r[3], r[4], r[4] + len(r[2])))
+            if len(kept) > 1:
+                groups.append(list(kept.values()))
+                size += sum(len(r[2]) for r in kept.values())
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["doc", "start", "end"])
