@@ -86,21 +86,32 @@ def shingles(h: np.ndarray, k: int) -> np.ndarray:
     out = np.zeros(n - w + 1, U)
     for j in range(w):
         out = out * U(_C) + h[j:n - w + 1 + j]
-    return mix(out + U(w) * U(_R))
+    return mix(out + U(w * _R & 0xFFFFFFFFFFFFFFFF))
 
 
-def fold(h: np.ndarray, seed: int) -> int:
-    """64-bit hash of a sequence of hashes."""
-    m = np.arange(1, len(h) + 1, dtype=U) * U(_R) + U(seed)
-    total = mix(h ^ mix(m)).sum(dtype=U)
-    return int(mix(np.array([total], U) + U(seed))[0])
+def set_hash(s: np.ndarray, seed: int = 0) -> tuple[int, int]:
+    """Two 64-bit hashes of a set of hashes (any order)."""
+    x = mix(s ^ U(_R + seed))
+    y = mix(x + U(_C))
+    return int(x.sum(dtype=U)), int(y.sum(dtype=U))
+
+
+def fmix_sum(s: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``set_hash`` of every run of ``s``; ``first``: where the runs start."""
+    x = mix(s ^ U(_R))
+    return np.add.reduceat(x, first), np.add.reduceat(mix(x + U(_C)), first)
+
+
+SPARSE = 6
 
 
 class Frequent:
     """Bounded summary of the commonest 64-bit keys of a task (Misra-Gries, batched).
 
     Keeps at most ``size`` counters; a key with more than rows/size
-    occurrences is always kept, its count is low by rows/size at most.
+    occurrences is kept, its count low by rows/size at most. Of every full buffer only keys
+    that share a bucket (one of 2^20) with SPARSE - 1 others or more are counted, so a key with fewer than SPARSE occurrences in a
+    buffer may be missed there.
     """
 
     def __init__(self, size: int, buffer: int = 1 << 20):
@@ -118,8 +129,12 @@ class Frequent:
     def flush(self) -> None:
         if not self.n:
             return
-        k, c = np.unique(np.concatenate(self.waiting), return_counts=True)
+        keys = np.concatenate(self.waiting)
         self.waiting, self.n = [], 0
+        if len(keys) >= self.buffer:  # keys in sparse buckets are rare: no need to sort them
+            bucket = (keys >> U(44)).astype(np.int64)
+            keys = keys[np.bincount(bucket, minlength=1 << 20)[bucket] >= SPARSE]
+        k, c = np.unique(keys, return_counts=True)
         if len(self.keys):
             k, inverse = np.unique(np.concatenate([self.keys, k]), return_inverse=True)
             c = np.bincount(inverse, np.concatenate([self.counts, c])).astype(np.int64)

@@ -24,22 +24,24 @@ Shingles are 64-bit hashes, equal sets are recognised by 96 bits and size.
 
 Edge cases: a null text counts as empty; a text without words has an empty
 set, is linked with nothing and is its own component; an empty table gives
-an empty result; repeated rows with one doc_id share that id's row count
-(each gives a row); further columns are ignored.
+an empty result; repeated rows give a row each (a doc_id with several texts has
+the links of all of them); further columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import components, id_text, overlap_needed, stage
-from varloom.llm.hashing import U, fold, mix, shingles, words
-from varloom.llm.prefix_sets import Rows, frequent_tokens, in_order, prefix_length, shared_postings
+from varloom.llm.common import components, id_text, neighbour_labels, only_ids, stage
+from varloom.llm.hashing import set_hash, shingles, words
+from varloom.llm.prefix_sets import SCHEMA, PostingRows, frequent_tokens, in_order, may_match, prefix_length, shared_enough, shared_postings, signed
 
 K = 5
-STAR_ROUNDS = 2
+STAR_ROUNDS = 6  # at most; they end when few pairs are left between labels, or a round settles less than half of them
+OPEN = 16        # pairs left per posting that are simply enumerated
 
 
 def shingle_set(data: bytes, k: int) -> np.ndarray:
@@ -52,34 +54,28 @@ def _group_rows(docs: DataFrame, k: int, table) -> DataFrame:
 
     def scan(batches):
         order = table.value
-        seen: set[int] = set()
-        out = Rows(["token", "key", "np", "doc"])
+        out = PostingRows()
         for batch in batches:
             for doc, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 s = shingle_set(data.as_py(), k)
                 n = len(s)
-                if not n:
-                    out.add(1, 0, 0, 0, doc)
-                    continue
-                a, b = fold(s, 1), fold(s, 2) & 0xFFFFFFFF
-                p = prefix_length(n)
-                prefix = in_order(s, order)[:p]
-                key = np.array([fold(prefix, n + 3)], U).view(np.int64)[0]
-                out.add(1, np.array([a], U), key, (n << 32) | b, doc)
-                if key not in seen:
-                    seen.add(key)
-                    out.add(p, prefix, key, (n << 32) + np.arange(p, dtype=np.int64), None)
+                if n:
+                    a, b = set_hash(s)
+                    prefix = in_order(s, order)[:prefix_length(n)]
+                    key = signed(set_hash(prefix, n)[0])
+                    out.add_id(signed(a), key, (n << 32) | (b & 0xFFFFFFFF), doc)
+                    out.add_prefix(prefix, key, n)
+                else:
+                    out.add_id(0, 0, 0, doc)
                 if out.full():
-                    yield out.batch()
-        yield out.batch()
+                    yield from out.batches()
+        yield from out.batches()
 
-    return (docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-            .mapInArrow(scan, "token long, key long, np long, doc long"))
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(scan, SCHEMA)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, set) of the given documents."""
-    import pyarrow as pa
+    """(node, set) of the given documents, possibly of others; not a text is shuffled."""
 
     def scan(batches):
         for batch in batches:
@@ -90,39 +86,30 @@ def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
                 sets.append(s)
                 size += len(s)
                 if size > 1 << 20:
-                    yield _list_batch(pa, ids, sets)
+                    yield _list_batch(ids, sets)
                     ids, sets, size = [], [], 0
             if ids:
-                yield _list_batch(pa, ids, sets)
+                yield _list_batch(ids, sets)
 
-    text = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return (text.select("doc_id", F.col("text").cast("binary").alias("text"))
+    return (only_ids(docs, nodes).select("doc_id", F.col("text").cast("binary").alias("text"))
             .mapInArrow(scan, "node long, set array<long>"))
 
 
-def _list_batch(pa, ids, sets):
+def _list_batch(ids, sets):
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists], ["node", "set"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes whose whole sets reach the threshold."""
+def _verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Staged pairs (a, b) of nodes whose whole sets reach the threshold."""
+    pairs = stage(pairs, "ngram-pairs")
+    nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ngram-pair-nodes")
+    sets = stage(_sets(docs, nodes, k), "ngram-sets")
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a"))
     i = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return both.filter(100 * i >= 75 * (F.size("sa") + F.size("sb") - i)).select("a", "b")
-
-
-def _fits(nx, ny):
-    """Length filter: 3/4 of the larger size at least."""
-    return (4 * nx >= 3 * ny) & (4 * ny >= 3 * nx)
-
-
-def _shared_needed(nx, ny):
-    """Tokens that the two indexed prefixes must share if the pair reaches the threshold."""
-    spare = lambda n: 1 - F.ceil(3 * n / F.lit(4.0)).cast("long")  # noqa: E731  prefix length minus size
-    return F.least(spare(nx), spare(ny)) + overlap_needed(nx, ny)
+    return stage(both.filter(100 * i >= 75 * (F.size("sa") + F.size("sb") - i)).select("a", "b"), "ngram-links")
 
 
 def links(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
@@ -141,30 +128,50 @@ def links(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
     nodes = stage(identity, "ngram-nodes")
     groups = nodes.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("m"))
 
-    post = rows.filter("doc is null").select("token", "key", F.shiftright("np", 32).alias("n"))
-    touched = nodes.join(post.select("key").union(groups.filter("m > 1").select("key")).distinct(), "key", "left_semi")
+    post = rows.filter("doc is null").select("token", "key", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(0xFFFFFFFF).alias("pos"))
     post = stage(post.join(groups, "key")
                  .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int")), "ngram-postings")
-    sets = stage(_sets(docs, touched, k), "ngram-sets")
 
-    # members of a group against its leader, then groups against pivots
+    # members of a group against its leader and groups against pivots, then all that is left between labels
     inside = nodes.join(groups.filter("m > 1"), "key").filter("node <> leader").select(
         F.col("leader").alias("a"), F.col("node").alias("b"))
-    found = stage(_verified(_star(post, None).union(inside).distinct(), sets), "ngram-links")
+    found = _verified(_star(post, None).union(inside).distinct(), docs, k)
+    labels = neighbour_labels(found, "ngram-labels")
+    size = post.count()
+    open_ = _open_lists(post, nodes, labels)
+    left = _open_pairs(open_)
+    for seed in range(1, STAR_ROUNDS + 1):
+        if left <= OPEN * size:
+            break
+        found = found.union(_verified(_star(open_, seed), docs, k))
+        labels = neighbour_labels(found, "ngram-labels")
+        open_ = _open_lists(open_, nodes, labels)
+        before, left = left, _open_pairs(open_)
+        if 2 * left > before:  # pivots no longer settle much: what is left is unlike
+            break
+    found = found.union(_verified(_cross(open_, nodes, labels), docs, k))
     labels = components(found, name="ngram-cc")
-    for seed in range(1, STAR_ROUNDS):
-        more = stage(_verified(_star(_labelled(post, labels), seed), sets), "ngram-links")
-        found = found.union(more)
-        labels = components(found, name="ngram-cc")
-    rest = stage(_verified(_cross(post, nodes, labels), sets), "ngram-links")
-    if not rest.isEmpty():
-        labels = components(found.union(rest), name="ngram-cc")
     return members.join(nodes, ["a", "b", "n", "key"], "left"), labels
 
 
-def _labelled(post: DataFrame, labels: DataFrame) -> DataFrame:
-    return (post.join(labels.select(F.col("node").alias("leader"), "component"), "leader", "left")
-            .withColumn("component", F.coalesce("component", "leader")))
+def _open_lists(post: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Staged postings of tokens under which several labels meet; lo and hi: smallest and largest label in the group."""
+    label = (_named(nodes, labels).groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")))
+    post = post.select("token", "key", "n", "pos", "leader", "band").join(label, "key")
+    several = post.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("token")
+    return stage(post.join(several, "token", "left_semi"), "ngram-open")
+
+
+def _named(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    return (nodes.join(labels, "node", "left")
+            .select("key", "node", F.coalesce("component", "node").alias("component")))
+
+
+def _open_pairs(post: DataFrame) -> int:
+    """Pairs of postings of one token with different labels: what the enumeration would make."""
+    per = post.groupBy("token", "lo").agg(F.count("*").alias("m"))
+    lists = per.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same"))
+    return int(lists.agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2)).first()[0] or 0)
 
 
 def _star(post: DataFrame, seed: int | None) -> DataFrame:
@@ -174,39 +181,32 @@ def _star(post: DataFrame, seed: int | None) -> DataFrame:
     groups of other labels are paired. This only saves later pairs, so it may skip any.
     """
     if seed is None:
-        pivot = F.min(F.struct("leader", "n"))
-        post = post.withColumn("component", F.col("leader"))
+        pivot = F.min(F.struct("leader", "n", "pos"))
     else:
-        several = (post.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                   .filter("lo <> hi").select("token"))
-        post = post.join(several, "token", "left_semi")
-        pivot = F.min_by(F.struct("leader", "n", "component"), F.xxhash64("token", "leader", F.lit(seed)))
+        pivot = F.min_by(F.struct("leader", "n", "pos", "lo"), F.xxhash64("token", "leader", F.lit(seed)))
     pivots = post.groupBy("token", "band").agg(pivot.alias("p"))
     near = pivots.select("token", F.explode(F.array("band", F.col("band") - 1)).alias("band"), "p")
-    pairs = post.join(near, ["token", "band"]).filter(_fits(F.col("n"), F.col("p.n")))
+    pairs = post.join(near, ["token", "band"]).filter(may_match(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos")))
     if seed is None:
         pairs = pairs.filter(F.col("leader") != F.col("p.leader"))
     else:
-        pairs = pairs.filter(F.col("component") != F.col("p.component"))
+        pairs = pairs.filter(F.col("lo") != F.col("p.lo"))
     return (pairs.groupBy(F.least("leader", "p.leader").alias("a"), F.greatest("leader", "p.leader").alias("b"))
             .agg(F.count("*").alias("shared"), F.first("n").alias("nx"), F.first("p.n").alias("ny"))
-            .filter(F.col("shared") >= _shared_needed(F.col("nx"), F.col("ny"))).select("a", "b"))
+            .filter(shared_enough(*map(F.col, ("shared", "nx", "ny")))).select("a", "b"))
 
 
 def _cross(post: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """All pairs of nodes with different labels that pass the group filters (exact)."""
-    named = (nodes.join(labels, "node", "left")
-             .select("key", "node", F.coalesce("component", "node").alias("component")))
-    label = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    own = label.filter("lo <> hi").select("key")  # groups with several labels inside
-    post = post.select("token", "key", "n").join(label, "key")
-    several = post.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("token")
-    left = post.join(several, "token", "left_semi")
-    right = left.select("token", *(F.col(c).alias(f"{c}2") for c in ("key", "n", "lo", "hi")))
+    named = _named(nodes, labels)
+    own = (named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+           .filter("lo <> hi").select("key"))  # groups with several labels inside
+    left = post.select("token", "key", "n", "pos", "lo", "hi")
+    right = left.select("token", *(F.col(c).alias(f"{c}2") for c in ("key", "n", "pos", "lo", "hi")))
     groups = (left.join(right, "token").filter("key < key2").filter("lo <> lo2 or hi <> hi2 or lo <> hi")
-              .filter(_fits(F.col("n"), F.col("n2")))
+              .filter(may_match(*map(F.col, ("n", "n2", "pos", "pos2"))))
               .groupBy("key", "key2", "n", "n2").agg(F.count("*").alias("shared"))
-              .filter(F.col("shared") >= _shared_needed(F.col("n"), F.col("n2"))).select("key", "key2"))
+              .filter(shared_enough(*map(F.col, ("shared", "n", "n2")))).select("key", "key2"))
     groups = groups.union(own.select("key", F.col("key").alias("key2")))
     x, y = named.alias("x"), named.select(F.col("key").alias("key2"), F.col("node").alias("node2"), F.col("component").alias("component2"))
     return (groups.join(x, "key").join(y, "key2").filter("component <> component2")

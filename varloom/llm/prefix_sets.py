@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.llm.hashing import Frequent, U
@@ -71,31 +71,89 @@ def prefix_length(n: int) -> int:
     return n - -(-3 * n // 4) + 1
 
 
-class Rows:
-    """Collects equally long int64 columns and yields record batches of a bounded size."""
+NAMES = ["token", "key", "np", "doc"]
+SCHEMA = "token long, key long, np long, doc long"
 
-    def __init__(self, names: list[str], limit: int = 1 << 18):
-        self.names, self.limit = names, limit
-        self.parts: list[tuple] = []
+
+SHARED = 4  # prefix tokens that a pair must share (fewer where the index holds fewer)
+
+
+def _needed(nx: Column, ny: Column) -> Column:
+    """Smallest intersection i with 100 * i >= 75 * (nx + ny - i)."""
+    return F.ceil(3 * (nx + ny) / F.lit(7.0)).cast("long")
+
+
+def may_match(nx: Column, ny: Column, px: Column, py: Column) -> Column:
+    """Filters of one shared prefix token of two sets (sizes n, positions p of the token).
+
+    Length: 3/4 of the larger size at least. Prefix: a pair with an intersection of ``need`` shares SHARED tokens among the
+    first ``n - need + SHARED`` of each. Position: what can match before the token, and from it on, is enough.
+    """
+    need = _needed(nx, ny)
+    return ((4 * nx >= 3 * ny) & (4 * ny >= 3 * nx) & (px < nx - need + SHARED) & (py < ny - need + SHARED)
+            & (F.least(px, py) + F.least(nx - px, ny - py) >= need))
+
+
+def shared_enough(shared: Column, nx: Column, ny: Column) -> Column:
+    """Whether a pair shares as many of the tokens that ``may_match`` lets pass as it must to reach the threshold.
+
+    Every such token of a pair that does reach it passes the position filter, so none is missing in the count.
+    """
+    index = lambda n: 1 - F.ceil(3 * n / F.lit(4.0)).cast("long")  # noqa: E731  prefix length minus size
+    return shared >= F.least(F.least(index(nx), index(ny)) + _needed(nx, ny), F.lit(SHARED))
+
+
+class PostingRows:
+    """Collects prefixes and id rows and yields record batches of a bounded size.
+
+    A prefix row is (token, key, size << 32 | position, null); an id row is
+    whatever four longs the operator passes, with a doc.
+    """
+
+    def __init__(self, limit: int = 1 << 18):
+        self.limit, self.seen = limit, set()
+        self._clear()
+
+    def _clear(self) -> None:
+        self.ids: list[tuple[int, int, int, int]] = []
+        self.prefixes: list[np.ndarray] = []
+        self.keys: list[int] = []
+        self.sizes: list[int] = []
         self.n = 0
 
-    def add(self, n: int, *columns) -> None:
-        """Each column: an array, a scalar or None (nulls)."""
-        self.parts.append((n, columns))
-        self.n += n
+    def add_id(self, token: int, key: int, np_: int, doc: int) -> None:
+        self.ids.append((token, key, np_, doc))
+        self.n += 1
+
+    def add_prefix(self, prefix: np.ndarray, key: int, size: int) -> None:
+        """Once per key and task."""
+        if key not in self.seen:
+            self.seen.add(key)
+            self.prefixes.append(prefix)
+            self.keys.append(key)
+            self.sizes.append(size)
+            self.n += len(prefix)
 
     def full(self) -> bool:
         return self.n >= self.limit
 
-    def batch(self) -> pa.RecordBatch:
-        out = []
-        for j in range(len(self.names)):
-            values = np.concatenate([c[j].view(I64) if isinstance(c[j], np.ndarray) else np.full(n, 0 if c[j] is None else c[j], I64)
-                                     for n, c in self.parts]) if self.parts else np.zeros(0, I64)
-            nulls = np.concatenate([np.full(n, c[j] is None) for n, c in self.parts]) if self.parts else None
-            out.append(pa.array(values, mask=nulls if nulls is not None and nulls.any() else None, type=pa.int64()))
-        self.parts, self.n = [], 0
-        return pa.RecordBatch.from_arrays(out, self.names)
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        if self.ids:
+            table = np.array(self.ids, dtype=I64)
+            yield pa.RecordBatch.from_arrays([pa.array(table[:, j]) for j in range(4)], NAMES)
+        if self.prefixes:
+            lengths = np.array([len(p) for p in self.prefixes])
+            starts = np.cumsum(lengths) - lengths
+            place = np.arange(lengths.sum()) - np.repeat(starts, lengths)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate(self.prefixes).view(I64)), pa.array(np.repeat(np.array(self.keys, I64), lengths)),
+                pa.array(np.repeat(np.array(self.sizes, I64) << 32, lengths) + place), pa.nulls(len(place), pa.int64())], NAMES)
+        self._clear()
+
+
+def signed(x: int) -> int:
+    """A 64-bit hash as Spark's long."""
+    return x - (1 << 64) if x >> 63 else x
 
 
 def shared_postings(rows: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -115,7 +173,7 @@ def shared_postings(rows: DataFrame, partitions: int | None = None) -> DataFrame
             t, k, p, d = (batch.column(j) for j in range(4))
             is_doc = np.asarray(d.is_valid())
             if is_doc.any():
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(is_doc)) for c in (t, k, p, d)], ["token", "key", "np", "doc"])
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(is_doc)) for c in (t, k, p, d)], NAMES)
             keep = ~is_doc
             t, k, p = (np.asarray(c)[keep] for c in (t, k, p))
             if not len(t):
@@ -145,7 +203,7 @@ def shared_postings(rows: DataFrame, partitions: int | None = None) -> DataFrame
             if mask.any():
                 t, k, p = t[mask], k[mask], p[mask]
                 yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(k), pa.array(p), pa.nulls(len(t), pa.int64())],
-                                                 ["token", "key", "np", "doc"])
+                                                 NAMES)
 
     dealt = rows.repartition(partitions, "token") if partitions else rows.repartition("token")
-    return dealt.sortWithinPartitions("token", "key").mapInArrow(collapse, "token long, key long, np long, doc long")
+    return dealt.sortWithinPartitions("token", "key").mapInArrow(collapse, SCHEMA)
