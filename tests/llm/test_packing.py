@@ -91,4 +91,4 @@ def test_plan_places_every_document_once():
 def test_column_generation_reaches_the_bound():
     # 3 + 3 + 4 and 5 + 5 fill a sequence of ten: 20 of each class need (60 + 80 + 100) / 10 sequences or a little more
     solution = packing.column_generation(np.array([3, 4, 5]), np.array([40.0, 20.0, 40.0]), 10)
-    assert abs(sum(x for _, x in solution) - 40) < 1e-6
+    assert abs(sum(x for _, x in solution) - 40) <= 40 * packing.GAP

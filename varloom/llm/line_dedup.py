@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import bloom, bloom_hits, id_text, overlap_needed, stage
+from varloom.llm.common import bloom, bloom_hits, id_text, stage
 from varloom.llm.hashing import CHUNK, U, fmix_sum, mix, shingles, words
-from varloom.llm.prefix_sets import I64, NAMES, SCHEMA, frequent_tokens, shared_postings
+from varloom.llm.prefix_sets import I64, NAMES, SCHEMA, frequent_tokens, may_match, shared_enough, shared_postings
 
 K = 5
-STAR_ROUNDS, OPEN = 6, 8
+STAR_ROUNDS, OPEN = 6, 16
 
 
 def line_tokens(data: bytes, k: int = K) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +118,8 @@ def _rows(docs: DataFrame, table) -> DataFrame:
             doc, number = np.array(ids, I64)[owner], line[first] - np.array(starts, I64)[owner]
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(number.astype(I64)), pa.array((size.astype(I64) << 32) | (b & U(0xFFFFFFFF)).view(I64)), pa.array(doc)], NAMES)
             new = np.array([not (x in seen or seen.add(x)) for x in a.tolist()])
-            length = np.where(new, size + (-3 * size // 4) + 1, 0)  # size - ceil(3 size / 4) + 1
+            # size - ceil(3 size / 4) + 1; a set of one or two only matches an equal one, and those are collapsed
+            length = np.where(new & (size > 2), size + (-3 * size // 4) + 1, 0)
             place = np.arange(len(line)) - np.repeat(first, size)
             mine = place < np.repeat(length, size)
             if mine.any():
@@ -172,21 +173,10 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return stage(hit.select(F.col("x.key").alias("key")).distinct(), "lines-settled")
 
 
-def _fits(nx, ny):
-    return (4 * nx >= 3 * ny) & (4 * ny >= 3 * nx)
-
-
-def _passing(pairs: DataFrame, exact: bool) -> DataFrame:
-    """Pairs (x, y) from rows (x, nx, px, y, ny, py), one per shared prefix token."""
-    nx, ny = F.col("nx"), F.col("ny")
-    spare = lambda n: 1 - F.ceil(3 * n / F.lit(4.0)).cast("long")
-    need = overlap_needed(nx, ny)
-    out = (pairs.groupBy("x", "y").agg(F.count("*").alias("shared"), F.first("nx").alias("nx"), F.first("ny").alias("ny"),
-                                       F.min("px").alias("px"), F.min("py").alias("py"))
-           .filter(F.col("shared") >= F.least(spare(nx), spare(ny)) + need))
-    if exact:  # positional filter: what is left from the first shared token on
-        out = out.filter(F.least(nx - F.col("px"), ny - F.col("py")) >= need)
-    return out.select("x", "y")
+def _passing(pairs: DataFrame) -> DataFrame:
+    """Pairs (x, y) from rows (x, nx, px, y, ny, py), one per shared prefix token that passes the filters."""
+    return (pairs.groupBy("x", "y").agg(F.count("*").alias("shared"), F.first("nx").alias("nx"), F.first("ny").alias("ny"))
+            .filter(shared_enough(*map(F.col, ("shared", "nx", "ny")))).select("x", "y"))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -209,17 +199,19 @@ def removed_lines(docs: DataFrame) -> DataFrame:
                          F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int").alias("band")), "lines-postings")
     size = post.count()
     left, settled = post, None
+    waiting = None
     for seed in range(STAR_ROUNDS):
-        new = _verified(_passing(_star(post, left, seed), False), docs)
+        new = _verified(_passing(_star(post, left, seed)), docs)
         settled = new if settled is None else settled.unionByName(new)
         left = stage(_unsettled(left, new), "lines-left")
-        if _open_pairs(post, left) <= OPEN * size:
+        before, waiting = waiting, _open_pairs(post, left)
+        if waiting <= OPEN * size or before is not None and 2 * waiting > before:  # little left, or nothing that pivots settle
             break
     others = post.select("token", F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("at").alias("y"), F.col("place").alias("y_place"))
     pairs = (left.join(others, "token").filter(F.col("y_place") < F.col("place"))
              .select(F.col("at").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), "y", "ny", "py")
-             .filter(_fits(F.col("nx"), F.col("ny"))))
-    settled = settled.unionByName(_verified(_passing(pairs, True), docs)).select(F.col("key").alias("a"), F.lit(True).alias("gone"))
+             .filter(may_match(*map(F.col, ("nx", "ny", "px", "py")))))
+    settled = settled.unionByName(_verified(_passing(pairs), docs)).select(F.col("key").alias("a"), F.lit(True).alias("gone"))
     return (lines.join(firsts, ["a", "np"]).join(settled.distinct(), "a", "left")
             .select("doc_id", "line_no", (F.col("gone").isNotNull() | (F.struct("doc_id", "line_no") != F.col("first"))).alias("removed")))
 
@@ -234,7 +226,7 @@ def _star(post: DataFrame, left: DataFrame, seed: int) -> DataFrame:
     pick = F.min(entry) if seed == 0 else F.min_by(entry, F.xxhash64("token", "at.key", F.lit(seed)))
     pivots = (post.groupBy("token", "band").agg(pick.alias("p"))
               .select("token", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"), "p"))
-    return (left.join(pivots, ["token", "band"]).filter((F.col("p.place") < F.col("place")) & _fits(F.col("n"), F.col("p.ny")))
+    return (left.join(pivots, ["token", "band"]).filter((F.col("p.place") < F.col("place")) & may_match(F.col("n"), F.col("p.ny"), F.col("pos"), F.col("p.py")))
             .select(F.col("at").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), "p.y", "p.ny", "p.py"))
 
 
