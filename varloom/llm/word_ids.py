@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE = 1 << 18   # words a worker keeps
+CACHE = 1 << 19   # words a worker keeps
 LONGEST = 64      # characters of a kept word
 CHUNK = 1 << 20   # characters tokenized at once
 
@@ -45,8 +45,9 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         ids = packed(self.encode(word, add_special_tokens=False).ids)
         if len(word) <= LONGEST:
-            if len(self) >= CACHE:
-                self.clear()
+            if len(self) >= CACHE:  # the older half, where the common words are, stays
+                for late in list(self)[CACHE // 2:]:
+                    del self[late]
             self[word] = ids
         return ids
 
