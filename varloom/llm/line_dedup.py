@@ -238,9 +238,9 @@ def _open_pairs(post: DataFrame, left: DataFrame) -> int:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the later matches taken out of ``text``, and n_lines, n_removed."""
+    """``docs`` with the later matches taken out of ``text``, and n_lines, n_removed (in place of columns of that name)."""
     gone = (removed_lines(docs).filter("removed").groupBy("doc_id")
-            .agg(F.array_distinct(F.collect_list(F.col("line_no").cast("int"))).alias("gone")))
+            .agg(F.array_distinct(F.collect_list(F.col("line_no").cast("int"))).alias("__gone")))
     gone = stage(gone, "lines-gone")
 
     @F.pandas_udf("text string, n_lines long, n_removed long")
@@ -256,7 +256,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             out.append(("\n".join(x for i, x in enumerate(lines) if i not in drop), len(lines), len(drop)))
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
 
-    own = [c for c in docs.columns if c != "text"]
+    own = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     joined = docs.withColumn("text", F.coalesce("text", F.lit(""))).join(gone, "doc_id", "left")
-    return joined.withColumn("r", without("text", "gone")).select(
-        *own, F.col("r.text").alias("text"), F.col("r.n_lines").alias("n_lines"), F.col("r.n_removed").alias("n_removed"))
+    return joined.withColumn("__r", without("text", "__gone")).select(
+        *own, F.col("__r.text").alias("text"), F.col("__r.n_lines").alias("n_lines"), F.col("__r.n_removed").alias("n_removed"))
