@@ -77,24 +77,33 @@ class Vocabulary:
             h = mix(h * U(31) + c.astype(U) + U(1))
         return h
 
-    def units(self, word: str) -> list[int]:
-        """Characters of a pre-token as lattice units: known ones as they are, others a unit per byte."""
-        known = self.known
-        if known.issuperset(word):
-            return list(map(ord, word))
-        out = []
-        for c in word:
-            if c in known:
-                out.append(ord(c))
-            else:
-                out += [UNKNOWN + b for b in c.encode()]
-        return out
+    def units(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(units of all pre-tokens one after the other, units of each): characters, or a unit per byte of unknown ones.
+
+        A pre-token begins with a mark and its spaces are marks; a mark of the text itself is an unknown character.
+        """
+        mark = ord("▁")
+        chars = np.frombuffer("".join(" " + w for w in words).encode("utf-32-le"), "<u4").astype(np.int32)
+        begin = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        other = ~self.known[chars]
+        chars[chars == 32] = mark
+        counts = np.ones(len(chars), np.int32)
+        if not other.any():
+            return chars, np.add.reduceat(counts, begin)
+        raw = [chr(c).encode() for c in chars[other].tolist()]
+        counts[other] = [len(x) for x in raw]
+        unit = np.repeat(chars, counts)
+        unit[np.repeat(other, counts)] = np.frombuffer(b"".join(raw), np.uint8).astype(np.int32) + UNKNOWN
+        return unit, np.add.reduceat(counts, begin)
 
     @property
-    def known(self) -> frozenset:
+    def known(self) -> np.ndarray:
+        """Which code points are characters of the model; a space stands for the mark, the mark itself is none."""
         if not hasattr(self, "_known"):
-            # a space stands for the mark; the mark itself is taken for an unknown character
-            self._known = (frozenset(map(chr, self.chars.tolist())) | {" "}) - {"▁"}
+            self._known = np.zeros(UNKNOWN, bool)
+            self._known[self.chars] = True
+            self._known[ord("▁")] = False
+            self._known[32] = True
         return self._known
 
 
@@ -108,7 +117,7 @@ class Lattices:
 
     Node ``first[w] + t`` stands for the place after ``t`` units of pre-token ``w``. Its arcs
     ``arc_first[node] : arc_first[node + 1]`` hold the pieces that end there: how far back they begin, their id
-    and the cumulated probability of being drawn, likeliest first.
+    and the cumulated probability of being drawn, longest first.
     """
 
     def __init__(self, voc: Vocabulary):
@@ -143,11 +152,8 @@ class Lattices:
 
     def _build(self, words: list[str]) -> None:
         voc = self.voc
-        mark = ord("▁")
-        # a pre-token's spaces are the model's marks
-        lists = [[mark, *(mark if u == 32 else u for u in voc.units(w))] for w in words]
-        size = np.array([len(x) for x in lists], np.int64)
-        unit = np.concatenate([np.array(x, np.int64) for x in lists])
+        unit, size = voc.units(words)
+        size = size.astype(np.int64)
         begin = np.cumsum(size) - size              # of units
         inside = np.arange(len(unit)) - np.repeat(begin, size)
         left = np.repeat(size, size) - inside       # units up to the end
@@ -172,7 +178,8 @@ class Lattices:
         span.append(np.ones(len(raw), np.int64))
         ids.append(voc.byte_ids[unit[raw] - UNKNOWN])
         weight.append(np.zeros(len(raw)))
-        end_unit, span, ids, weight = (np.concatenate(x) for x in (end_unit, span, ids, weight))
+        # the longest piece first: it is the likeliest as a rule
+        end_unit, span, ids, weight = (np.concatenate(x[::-1]) for x in (end_unit, span, ids, weight))
         order = np.argsort(end_unit, kind="stable")
         end_unit, span, ids, weight = end_unit[order], span[order], ids[order], weight[order]
 
@@ -195,8 +202,6 @@ class Lattices:
             counts = np.diff(np.append(heads, len(mine)))
             total[node[heads]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts)), heads))
         p = np.exp(arc - total[end_unit])
-        order = np.lexsort((-p, end_unit))
-        end_unit, span, ids, p = end_unit[order], span[order], ids[order], p[order]
         heads = np.searchsorted(end_unit, np.arange(len(unit)))
         run = np.cumsum(p)
         before = np.where(heads > 0, run[np.maximum(heads - 1, 0)], 0.0)
