@@ -10,7 +10,7 @@ import zipfile
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.llm.hashing import mix
@@ -18,11 +18,18 @@ from varloom.session import work_dir
 
 
 _SHIPPED: set[str] = set()
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package (once per application), through the shared folder."""
+    """Give the executors this package (once per application), through the shared folder.
+
+    Also lowers the rows that go to a Python worker at once from Spark's default of 10,000 to 2,048: a batch is held
+    whole on both sides, and rows are texts here. A value set by the user stays; results do not depend on it.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "2048")
     if sc.applicationId in _SHIPPED:
         return
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -26,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varloom.llm.common import bloom, bloom_hits, id_text, stage
-from varloom.llm.hashing import CHUNK, U, fmix_sum, mix, shingles, words
+from varloom.llm.hashing import CHUNK, U, fmix_sum, shingles, words
 from varloom.llm.prefix_sets import I64, NAMES, SCHEMA, frequent_tokens, may_match, shared_enough, shared_postings
 
 K = 5
@@ -243,20 +244,26 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             .agg(F.array_distinct(F.collect_list(F.col("line_no").cast("int"))).alias("__gone")))
     gone = stage(gone, "lines-gone")
 
-    @F.pandas_udf("text string, n_lines long, n_removed long")
-    def without(text, gone):
-        import pandas as pd
-        out = []
-        for t, g in zip(text, gone, strict=True):
-            lines = t.split("\n")
-            if g is None:
-                out.append((t, len(lines), 0))
-                continue
-            drop = set(g.tolist())
-            out.append(("\n".join(x for i, x in enumerate(lines) if i not in drop), len(lines), len(drop)))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
-
     own = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    joined = docs.withColumn("text", F.coalesce("text", F.lit(""))).join(gone, "doc_id", "left")
-    return joined.withColumn("__r", without("text", "__gone")).select(
-        *own, F.col("__r.text").alias("text"), F.col("__r.n_lines").alias("n_lines"), F.col("__r.n_removed").alias("n_removed"))
+    joined = (docs.withColumn("__text", F.coalesce("text", F.lit("")).cast("binary")).join(gone, "doc_id", "left")
+              .select(*(F.col(f"`{c}`") for c in own), "__text", "__gone"))
+    schema = T.StructType([*(docs.schema[c] for c in own), T.StructField("text", T.StringType()),
+                           T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+
+    def cut(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 128):  # few texts are held twice
+                part = batch.slice(at, 128)
+                texts, counts, removed = [], [], []
+                for data, drop in zip(part.column(len(own)), part.column(len(own) + 1).to_pylist(), strict=True):
+                    data = data.as_py()
+                    counts.append(data.count(b"\n") + 1)
+                    removed.append(len(drop or ()))
+                    if drop:
+                        drop = set(drop)
+                        data = b"\n".join(x for i, x in enumerate(data.split(b"\n")) if i not in drop)
+                    texts.append(data)
+                yield pa.RecordBatch.from_arrays([part.column(j) for j in range(len(own))] + [
+                    pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], [*own, "text", "n_lines", "n_removed"])
+
+    return joined.mapInArrow(cut, schema)
