@@ -52,6 +52,28 @@ def test_many_small_shards_and_blocks(docs, texts, monkeypatch):
     assert rows_of(suffix_dedup.dedup_substrings(few)) == expected({k: texts[k] for k in ids})
 
 
+def test_an_anchor_beyond_the_bound_is_never_held(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    phrase = "a phrase that every document of this table holds at some place"
+    tails = [" ".join(word() for _ in range(12)) for _ in range(4)]
+    texts = {i: f"{' '.join(word() for _ in range(i % 20))} {phrase} {rng.choice(tails) if i % 2 else ' '.join(word() for _ in range(15))}"
+             for i in range(80)}
+    texts[80] = texts[7] + " " + texts[9]
+    plain = suffix_dedup.trimmed
+
+    def bounded(group, length):
+        assert len(group) <= 8, len(group)
+        return plain(group, length)
+
+    monkeypatch.setattr(suffix_dedup, "trimmed", bounded)
+    monkeypatch.setattr(suffix_dedup, "HOT", 8, raising=False)
+    docs = spark.createDataFrame([*texts.items(), (7, texts[7])], "doc_id long, text string").repartition(4)
+    want = expected(texts)
+    assert sum(r[1] for r in want.values()) > 2000
+    assert rows_of(suffix_dedup.dedup_substrings(docs)) == want
+
+
 def test_repeated_and_no_rows(repeated, texts, empty):
     out = suffix_dedup.dedup_substrings(repeated)
     assert out.count() == repeated.count()

@@ -12,10 +12,12 @@ Equal strings must meet in one shard, and only strings that can repeat need sort
 2. A second pass cuts the segment of all strings around each remaining anchor.
    Segments are sharded and sorted by anchor hash; an equal segment that is not the first one repeats as a whole, and is
    known for that without being sorted, in its task or when the sorted stream meets it.
-3. The different segments of an anchor (held by one task) lose the bytes that no other one shares with them; what is left, if it is long
+3. The different segments of an anchor lose the bytes that no other one shares with them; what is left, if it is long
    enough, is concatenated to texts of about ``SHARD`` bytes and sorted by external induced sorting (``induced``: queues that go to disk, recursion
    on names). Common prefixes of neighbours, capped at ``length``, split the suffix array
    into runs of equal strings; in each all but the earliest repeat.
+   An anchor of more than ``HOT`` places is never held by one task: its segments are sharded by their own bytes and
+   stream through, and each string of the different ones is dealt by its digest, the earliest found by an aggregate.
 4. The repeated spans are merged per document and cut out.
 
 Edge cases: a null text counts as empty; texts shorter than ``length`` keep everything;
@@ -39,6 +41,7 @@ from varloom.llm.induced import suffix_array
 LENGTH, GRAM = 100, 28
 BLOCK = 1 << 16    # bytes whose anchors are found at once
 SHARD = 8 << 20    # bytes sorted at once, at least one anchor's segments
+HOT = 1 << 15      # places of an anchor whose segments one task may hold
 _R = 0x9E3779B97F4A7C55
 _BYTE = mix(np.arange(1, 257, dtype=U))
 
@@ -149,8 +152,14 @@ def trimmed(group: list[tuple], length: int) -> list[tuple]:
             for r, right, left in zip(group, *reach, strict=True) if left + right >= length]
 
 
-def _runs(length: int):
-    """mapInArrow function over segments sorted by (hash, left, segment, doc, start): spans (doc, start, end)."""
+FOUND = "doc long, start long, end long, segment binary"
+
+
+def _runs(length: int, hot: frozenset[int] = frozenset()):
+    """mapInArrow function over segments sorted by (hash, left, segment, doc, start): spans (doc, start, end).
+
+    Of anchors in ``hot`` the different segments come out as they are, nothing is held.
+    """
 
     def spans_of(groups: list[list[tuple]]) -> list[tuple[int, int, int]]:
         """Spans of strings that repeat between the different segments of the same anchors."""
@@ -206,7 +215,9 @@ def _runs(length: int):
                 size += sum(len(r[2]) for r in kept.values())
 
         def batch():
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["doc", "start", "end"])
+            doc, start, end, segment = zip(*((*r, None)[:4] for r in out), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (doc, start, end)] + [pa.array(segment, pa.binary())],
+                                              ["doc", "start", "end", "segment"])
 
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -222,7 +233,10 @@ def _runs(length: int):
                         if size >= SHARD:
                             out += spans_of(groups)
                             groups, size = [], 0
-                    group.append(r)
+                    if r[0] in hot:
+                        out.append((r[3], r[4], r[4] + len(r[2]), r[2]))
+                    else:
+                        group.append(r)
                     last = r
             if len(out) >= 1 << 14:
                 yield batch()
@@ -246,8 +260,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64) if found else [], pa.int64())], ["hash"])
 
     often = stage(raw.select("text").mapInArrow(hashes, "hash long").groupBy("hash").agg(F.count("*").alias("n"))
-                  .filter("n > 1").select("hash"), "suffix-hashes")
-    wanted = bloom(often)
+                  .filter("n > 1"), "suffix-hashes")
+    wanted = bloom(often.select("hash"))
+    # at most one for HOT places of the corpus
+    hot = [r.hash for r in often.filter(F.col("n") > HOT).select("hash").collect()]
 
     def segments(batches):
         out = _Segments()
@@ -262,9 +278,32 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         yield from out.batches(rest=True)
 
     # spans go to any shard: they are only handed through
-    rows = raw.sortWithinPartitions("doc_id").mapInArrow(segments, SCHEMA).withColumn("shard", F.coalesce("hash", F.xxhash64("doc")))
-    dealt = rows.repartition("shard").sortWithinPartitions("hash", "left", "segment", "doc", "start").drop("shard")
-    return stage(dealt.mapInArrow(_runs(length), "doc long, start long, end long"), "suffix-spans")
+    shard = F.coalesce("hash", F.xxhash64("doc"))
+    rows = raw.sortWithinPartitions("doc_id").mapInArrow(segments, SCHEMA)
+    if hot:
+        marks = F.broadcast(docs.sparkSession.createDataFrame([(h, True) for h in hot], "hash long, hot boolean"))
+        rows = rows.join(marks, "hash", "left").select(*COLUMNS, F.when(F.col("hot"), F.xxhash64(*COLUMNS[:3])).otherwise(shard).alias("shard"))
+    else:
+        rows = rows.withColumn("shard", shard)
+    dealt = rows.repartition("shard").sortWithinPartitions(*COLUMNS).drop("shard")
+    found = stage(dealt.mapInArrow(_runs(length, frozenset(hot)), FOUND), "suffix-spans")
+    spans = found.filter("segment is null").select("doc", "start", "end")
+    return spans.unionByName(_dealt_strings(found.filter("segment is not null"), length)) if hot else spans
+
+
+def _dealt_strings(segments: DataFrame, length: int) -> DataFrame:
+    """Spans of strings that repeat between segments, a row for each string; no group is gathered."""
+    strings = segments.select("doc", F.col("start").alias("at"), "segment",
+                              F.explode(F.sequence(F.lit(0), F.octet_length("segment") - length)).alias("i")).select(
+        "doc", "at", (F.col("at") + F.col("i")).alias("start"), F.unhex(F.md5(F.substring("segment", F.col("i") + 1, F.lit(length)))).alias("string"))
+    place = F.struct("doc", "start")
+    # stored, so that the join reads two plain shuffles and a string with many places can be split
+    earliest = stage(strings.groupBy("string").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                     .filter("first <> last").select("string", "first"), "suffix-hot-strings")
+    later = strings.join(earliest, "string").filter(place != F.col("first"))
+    # strings of one segment hold its anchor, so they overlap and make one span
+    return stage(later.groupBy("doc", "at").agg(F.min("start").alias("start"), (F.max("start") + length).alias("end"))
+                 .select("doc", "start", "end"), "suffix-hot-spans")
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
