@@ -55,6 +55,15 @@ def test_contexts_discover_new_identifiers(spark):
     assert out[102].spans == "" and out[100].n_email == 0
 
 
+def test_rounds_go_on_until_nothing_new(spark):
+    letters = "abcdefghijklmnop"
+    layers = [[f"user{i}@mail.example.org" for i in range(12)]] + [[f"id-{k}-{letters[i]}{i}x" for i in range(12)] for k in range(1, 7)]
+    texts = [f"{a} {b} {word} {b} {a}" for k, layer in enumerate(layers[:-1]) for g in range(6)
+             for a, b in [(f"{letters[k]}on{letters[g]}", f"{letters[k]}to{letters[g]}")] for word in layer + layers[k + 1][2 * g:2 * g + 2]]
+    out = pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.spans for r in out} == {i: f"email:10:{len(t) - 10}" for i, t in enumerate(texts)}
+
+
 def test_mask(spark):
     rows = [(1, "a@b.cd and 1.2.3.4 end", "x"), (2, None, "y"), (3, "none", "z"), (4, "+1 234 567 8901", "w")]
     out = pii.mask(spark.createDataFrame(rows, "doc_id long, text string, other string"))

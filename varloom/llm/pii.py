@@ -4,8 +4,8 @@ Base spans come from four patterns (fixed below). They are the seeds: the
 words to the left and right of a seed are contexts; a context is scored by
 how many of the distinct identifier-like strings seen in it are known for
 its kind, trusted contexts vouch for the strings they surround, and strings
-vouched for by enough contexts become known in turn. After ``ROUNDS``
-rounds every occurrence of a string found this way is a span of its kind, beside
+vouched for by enough contexts become known in turn. When a round finds
+nothing new, every occurrence of a string found this way is a span of its kind, beside
 the base spans. Candidate strings are single words that hold a digit, so the
 graph of contexts and strings is small beside the corpus and every round is
 two partial aggregates and two joins.
@@ -35,7 +35,6 @@ KINDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 CANDIDATE = r"(?:\G|(?<![A-Za-z0-9._@-]))(?=[A-Za-z._@-]*+[0-9])[A-Za-z0-9][A-Za-z0-9._@-]{4,62}[A-Za-z0-9](?![A-Za-z0-9._@-])"
-ROUNDS = 3
 SUPPORT = 3        # distinct known strings a trusted context has at least
 PRECISION = 0.8    # share of known strings among those seen in a trusted context
 VOUCHERS = 2       # trusted contexts that a new string needs
@@ -135,7 +134,7 @@ def learn(places: DataFrame) -> DataFrame:
                   .groupBy("context", "v").agg(F.max("kind").alias("kind")), "pii-graph")
     known = edges.filter("kind is not null").groupBy("v").agg(F.min("kind").alias("known"))
     found = None
-    for _ in range(ROUNDS):
+    while True:  # every round but the last one makes at least one more string known
         marked = edges.select("context", "v").join(known, "v", "left")
         seen = marked.groupBy("context").agg(F.count("*").alias("n"))
         trusted = (marked.filter("known is not null").groupBy("context", "known").agg(F.count("*").alias("hits"))
@@ -147,10 +146,9 @@ def learn(places: DataFrame) -> DataFrame:
                .groupBy("v").agg(F.max_by("known", F.struct("vouchers", "score", "known")).alias("known")))
         new = stage(new, "pii-found")
         if new.isEmpty():
-            break
+            return found
         found = new if found is None else found.unionByName(new)
         known = known.unionByName(new)
-    return found
 
 
 def find(docs: DataFrame) -> DataFrame:
