@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from varloom.plans import catalog
 from varloom.plans.catalog import FLAGSHIP_RULES
 from varloom.session import work_dir
 from varloom.sources import fixtures as fx
@@ -45,6 +46,17 @@ def test_survey_list_document(spark):
     assert got == ["SV_a"]
 
 
+def test_plain_landed_pages(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "PAGE", 50, raising=False)
+    root = catalog._plain_tree(spark, SF0001)
+    held = [len(json.loads(r.value)["responses"]) for r in spark.read.option("recursiveFileLookup", True).text(root, wholetext=True).collect()]
+    r2 = fx.order_responses(spark, SF0001)
+    assert sum(held) == r2.count() > 1000 and max(held) <= 100
+    back = snap.read_snapshot(spark, root, layout="plain")
+    ids = lambda df: sorted((r.response_id, r.survey_id) for r in df.select(F.col("response_id").cast("string"), "survey_id").collect())
+    assert ids(back) == ids(r2)
+
+
 def test_plain_landed_layout(spark):
     root = tempfile.mkdtemp(prefix="vl-landed-")
     path = os.path.join(root, "surveys", "ns", "20240101 101500", "SV_x")

@@ -531,16 +531,22 @@ QUERIES["snapshot_roundtrip"] = _snapshot_roundtrip
 ORACLES["snapshot_roundtrip"] = f"SELECT *, TIMESTAMP '2024-01-01' AS process_timestamp FROM ({FLAGSHIP_SQL})"
 
 
+PAGE = 10_000  # responses of a landed document, on average
+
+
 def _land_plain(responses, root):
-    """Land responses as in an export: one JSON document per survey, four levels below the root."""
+    """Land responses as in an export: JSON documents of about ``PAGE`` responses, as many as a survey takes, a file each."""
+    pages = responses.groupBy(_F.col("survey_id").alias("__survey")).agg(_F.ceil(_F.count("*") / PAGE).cast("int").alias("__pages"))
     doc = _F.concat(_F.lit('{"responses":['), _F.array_join(_F.sort_array(_F.collect_list("r")), ",\n "), _F.lit("]}"))
     one = _F.to_json(_F.struct(_F.col("response_id").alias("responseId"), "values", _F.lit("en").alias("language")))
-    (responses.select("survey_id", one.alias("r")).groupBy("survey_id").agg(doc.alias("value"))
-     .write.mode("overwrite").partitionBy("survey_id").text(root))
+    (responses.join(pages, _F.col("survey_id").eqNullSafe(_F.col("__survey")))
+     .select("survey_id", _F.pmod(_F.xxhash64("response_id"), "__pages").alias("page"), one.alias("r"))
+     .groupBy("survey_id", "page").agg(doc.alias("value")).drop("page")
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("survey_id").text(root))
 
 
 def _plain_tree(spark, sf_dir):
-    """Copy what ``_land_plain`` wrote to ``surveys/<system>/<namespace>/<timestamp>/<survey>/survey_responses.json``."""
+    """Copy what ``_land_plain`` wrote to ``surveys/<system>/<namespace>/<timestamp>/<survey>/survey_responses.json`` and its further pages."""
     flat, root = work_dir(spark, "plain-flat"), work_dir(spark, "plain")
     _land_plain(fx.order_responses(spark, sf_dir), flat)
     jvm = spark.sparkContext._jvm
@@ -551,9 +557,9 @@ def _plain_tree(spark, sf_dir):
         if name.startswith("survey_id="):
             target = f"{root}/surveys/system/namespace/{RUN_1}/{name.removeprefix('survey_id=')}"
             fs.mkdirs(path(target))
-            for part in fs.listStatus(folder.getPath()):
-                if part.getPath().getName().startswith("part-"):
-                    fs.rename(part.getPath(), path(f"{target}/{snap.JSON_NAME}"))
+            parts = [x.getPath() for x in fs.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-")]
+            for i, part in enumerate(parts):
+                fs.rename(part, path(f"{target}/{snap.PAGE_NAME.format(i) if i else snap.JSON_NAME}"))
     return root
 
 

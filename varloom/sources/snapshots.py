@@ -2,7 +2,8 @@
 
 Responses land below some root as
 ``<any folders>/<run timestamp>/<survey>/survey_responses.json``, one document per
-survey (an array of responses, or an object with one under ``responses``), beside a
+survey (an array of responses, or an object with one under ``responses``) or further pages of it as
+``survey_responses-<page>.json``, beside a
 header-only ``survey_responses.csv`` that names the questions. Our own writer uses Spark's
 partitioned layout (``process_timestamp=…/survey_id=…``, a response per
 line) so that readers prune partitions; the readers accept both.
@@ -25,6 +26,7 @@ from varloom.functions.values import py_float_text
 TS_FORMAT = "%Y%m%d %H%M%S"  # fixed value: run timestamp text
 TS_PATTERN = "yyyyMMdd HHmmss"
 JSON_NAME, CSV_NAME = "survey_responses.json", "survey_responses.csv"  # fixed values: landed file names
+PAGE_NAME = "survey_responses-{}.json"  # of a survey's further documents
 ROWS_PER_FILE = 200_000
 
 
@@ -105,10 +107,10 @@ def read_snapshot(spark, root: str, layout: str = "partitioned") -> DataFrame:
 
     ``layout="partitioned"`` reads our writer's folders, a response per line (partition pruning on
     both keys); ``layout="plain"`` reads a landed tree of any depth, each
-    file whole: a landed document is one JSON value, which cannot be split.
+    file whole: a landed document is one JSON value, which cannot be split. A survey may have any number of pages.
     """
     if layout == "plain":
-        return parse_responses(_files(spark, root, JSON_NAME), *landed_path(F.col("path")))
+        return parse_responses(_files(spark, root, f"{{{JSON_NAME},{PAGE_NAME.format('*')}}}"), *landed_path(F.col("path")))
     if layout != "partitioned":
         raise ValueError("layout must be 'partitioned' or 'plain'")
     lines = spark.read.schema("value string, process_timestamp string, survey_id string").option("basePath", root).text(root)
