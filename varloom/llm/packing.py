@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.llm.common import id_text, only_ids, stage
-from varloom.llm.word_ids import id_bytes, packed
+from varloom.llm.word_ids import id_bytes, id_parts, packed
 
 CAPACITY, END = 4096, 2
 CLASSES = 256
@@ -232,16 +232,10 @@ def _encoded(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            rows = []
-            for text in batch.column(2):
-                crcs, tokens, buffer = [], 0, b""
-                for part in _parts(text.as_py(), path, end):
-                    tokens += len(part) // 4
-                    buffer += part
-                    while len(buffer) >= 4 * capacity:
-                        crcs.append(zlib.crc32(memoryview(buffer)[:4 * capacity]))
-                        buffer = buffer[4 * capacity:]
-                rows.append((tokens, crcs, len(buffer) // 4, zlib.crc32(buffer)))
+            rows = [_Crcs(capacity) for _ in range(batch.num_rows)]
+            for row, ids in id_parts(batch.column(2).to_pylist(), path):
+                rows[row].add(ids)
+            rows = [row.closed(end) for row in rows]
             tokens, crcs, rest, rest_crc = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(crcs, pa.list_(pa.int64())),
                                               pa.array(rest, pa.int64()), pa.array(rest_crc, pa.int64())],
@@ -251,6 +245,24 @@ def _encoded(docs: DataFrame, path: str, capacity: int, end: int) -> DataFrame:
             .mapInArrow(scan, "doc_id long, h long, doc_tokens long, crcs array<long>, rest long, rest_crc long"))
 
 
+class _Crcs:
+    """Checksums of a document's full sequences; what is left of its ids under one sequence."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.crcs, self.tokens, self.rest = capacity, [], 0, np.zeros(0, "<u4")
+
+    def add(self, ids: np.ndarray) -> None:
+        ids = np.concatenate([self.rest, ids]).astype("<u4", copy=False)
+        self.tokens += len(ids) - len(self.rest)
+        full = len(ids) - len(ids) % self.capacity
+        self.crcs += [zlib.crc32(ids[at:at + self.capacity]) for at in range(0, full, self.capacity)]
+        self.rest = ids[full:]
+
+    def closed(self, end: int) -> tuple[int, list[int], int, int]:
+        self.add(np.array([end], "<u4"))
+        return self.tokens, self.crcs, len(self.rest), zlib.crc32(self.rest)
+
+
 def _parts(text: str, path: str, end: int):
     yield from id_bytes(text, path)
     yield packed([end])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import imatch
+from varloom.llm import divergence, imatch, merkle, token_store
 from varloom.llm.ann import nearest
 from varloom.llm.common import documents
 from varloom.llm.imatch import fingerprints
@@ -19,6 +19,7 @@ from varloom.llm.pii import personal_data
 from varloom.llm.quality import classify
 from varloom.llm.suffix_dedup import dedup_substrings
 from varloom.llm.token_counts import token_counts
+from varloom.session import work_dir
 
 
 def tokenizer(name: str) -> str:
@@ -70,6 +71,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir))
 
 
+def op11_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = documents(spark, sf_dir), work_dir(spark, "token-store")
+    token_store.store(docs, tokenizer("word_bpe_49k.json"), folder)
+    found = token_store.fetch(spark, folder, token_store.keys_of(docs))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"), "copy")
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(spark.read.parquet(f"{sf_dir}/documents.parquet"), merkle.lower_some())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_join": op2_ngram_join,
@@ -81,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
+    "op11_token_store": op11_token_store,
+    "op12_divergence": op12_divergence,
+    "op13_merkle": op13_merkle,
 }
 
-ORACLES: dict[str, str] = {"op9_fingerprints": imatch.ORACLE}
+ORACLES: dict[str, str] = {"op9_fingerprints": imatch.ORACLE, "op12_divergence": divergence.ORACLE, "op13_merkle": merkle.oracle()}
