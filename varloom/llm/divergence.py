@@ -51,7 +51,7 @@ def _words(text: bytes) -> Iterator[list[bytes]]:
                 cut = part.rfind(b" ", end - at)
                 end += PART
             if cut >= 0:
-                part, end = part[:cut], at + cut
+                part, end = part[:cut], at + cut + 1
         yield part.split()
         at = end
 

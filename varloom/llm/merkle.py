@@ -276,7 +276,7 @@ def oracle(levels: int = 4, top_levels: int = 2) -> str:
         parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in FIELDS[:-1]]
         return "sha256(" + " || ".join([*parts, f"coalesce(strlen({text}) || ':' || {text}, '-')"]) + ")"
 
-    tampered = f"CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 5 = 0 THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END"
+    tampered = f"CASE WHEN doc_id IS NOT NULL AND {crc32_sql('doc_id::VARCHAR')} % 5 = 0 THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END"
     sql = [f"rows_ AS (SELECT doc_id, source, {fields('text')} AS leaf, {fields('found')} AS found FROM (SELECT *, {tampered} AS found FROM documents))",
            "l0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, 0 AS t, '' AS proof, found AS folded FROM rows_)",
            "n0 AS (SELECT source AS tree, pos, leaf AS node FROM l0)"]
