@@ -4,8 +4,10 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from varloom import rule
 from varloom.plans import catalog
 from varloom.plans.catalog import FLAGSHIP_RULES
 from varloom.session import work_dir
@@ -13,7 +15,7 @@ from varloom.sources import fixtures as fx
 from varloom.sources import snapshots as snap
 from varloom.sources import surveys as sv
 from varloom.sources import tokens as tk
-from varloom.streaming.ingest import ingest_available
+from varloom.streaming.ingest import Ledger, ingest_available, read_sink
 
 SF0001 = "/root/testdata/sf0.001"
 
@@ -146,3 +148,54 @@ def test_writes_leave_the_session_alone_and_keep_columns(spark):
     assert back.filter(F.get_json_object("response", "$.language") == "en").count() == r2.count()
     files = back.groupBy("survey_id").count().collect()
     assert sum(r["count"] for r in files) == r2.count()
+
+
+def _two_surveys(spark, ids):
+    rows = [(str(i), ids[i % len(ids)], {"q": str(i)}) for i in range(60)]
+    return spark.createDataFrame(rows, "response_id string, survey_id string, values map<string,string>")
+
+
+def test_ledger_rewrites_a_folder_once_per_run(spark):
+    landing, sink, ckpt = (work_dir(spark, n) for n in ("landing", "sink", "ckpt"))
+    rows = _two_surveys(spark, ["a:b", "a+b"])
+    snap.write_snapshot(rows, landing, "20240101 000000", rows_per_file=5)
+    assert ingest_available(spark, landing, sink, ckpt, max_files_per_trigger=1) == 60
+    ledger = Ledger(spark, ckpt)
+    assert ledger._read("seen").groupBy("folder").count().filter("count > 1").count() == 2
+    assert ledger._read("done").count() == 2 and ledger.pending() == []
+    assert ingest_available(spark, landing, sink, ckpt) == 0
+
+
+def test_ledger_repeats_what_a_failed_run_left(spark):
+    landing, sink, ckpt = (work_dir(spark, n) for n in ("landing", "sink", "ckpt"))
+    snap.write_snapshot(_two_surveys(spark, ["x y", "k=v"]), landing, "20240101 000000")
+    with pytest.raises(ValueError):  # the stream has seen the files when the rules are refused
+        ingest_available(spark, landing, sink, ckpt, [rule("v", 0, "no such action", a="q")])
+    assert len(Ledger(spark, ckpt).pending()) == 2
+    assert ingest_available(spark, landing, sink, ckpt) == 60
+    got = {r["survey_id"]: r["count"] for r in read_sink(spark, sink).groupBy("survey_id").count().collect()}
+    assert got == {"x y": 30, "k=v": 30}
+
+
+def test_odd_and_null_survey_ids(spark):
+    ids = ["a:b", "a+b", "50%", "%2B", "007", "2024-01-01", "x[1]{2}", "é", None]
+    landing, sink, ckpt = (work_dir(spark, n) for n in ("landing", "sink", "ckpt"))
+    rows = _two_surveys(spark, ids)
+    snap.write_snapshot(rows, landing, "20240101 000000")
+    assert ingest_available(spark, landing, sink, ckpt, max_files_per_trigger=2) == 60
+    want = {(r["response_id"], r["survey_id"]) for r in rows.collect()}
+    assert {(r["response_id"], r["survey_id"]) for r in read_sink(spark, sink).collect()} == want
+    assert {(r["response_id"], r["survey_id"]) for r in snap.read_snapshot(spark, landing).collect()} == want
+
+
+def test_plain_folders_keep_their_names(spark):
+    root = tempfile.mkdtemp()
+    for name in ("SV+1", "SV 1", "50%", "é"):
+        os.makedirs(f"{root}/ns/20240101 000000/{name}")
+        with open(f"{root}/ns/20240101 000000/{name}/survey_responses.json", "w") as f:
+            json.dump([{"responseId": name, "values": {"q": 1}}], f)
+        with open(f"{root}/ns/20240101 000000/{name}/survey_responses.csv", "w") as f:
+            f.write("q\nQuestion\n")
+    rows = snap.read_snapshot(spark, root, layout="plain").collect()
+    assert {(r["response_id"], r["survey_id"]) for r in rows} == {(n, n) for n in ("SV+1", "SV 1", "50%", "é")}
+    assert {r["survey_id"] for r in snap.read_csv_header(spark, root, layout="plain").collect()} == {"SV+1", "SV 1", "50%", "é"}

@@ -479,7 +479,7 @@ from varloom.session import work_dir  # noqa: E402
 from varloom.sources import snapshots as snap  # noqa: E402
 from varloom.sources import surveys as sv  # noqa: E402
 from varloom.sources import tokens as tk  # noqa: E402
-from varloom.streaming.ingest import ingest_available  # noqa: E402
+from varloom.streaming.ingest import ingest_all_surveys, ingest_available, read_sink  # noqa: E402
 
 LATEST_SQL = """SELECT CAST(user_id AS VARCHAR) AS survey_id, CAST(event_id AS VARCHAR) AS continuation_token
   FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id
@@ -602,7 +602,7 @@ def _incremental_ingest(spark, sf_dir):
     snap.write_snapshot(r2.filter(~first), landing, RUN_2)
     ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
     ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink)
 
 
 QUERIES["incremental_ingest"] = _incremental_ingest
@@ -618,12 +618,33 @@ def _incremental_reland(spark, sf_dir):
     ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide")
     snap.write_snapshot(r2, landing, RUN_1)
     ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide", max_files_per_trigger=2)
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink)
 
 
 QUERIES["incremental_reland"] = _incremental_reland
 ORACLES["incremental_reland"] = ORACLES["snapshot_roundtrip"]
 
+ODD_IDS = ["a:b", "a+b", "50%", "k=v", "two words", "007", "x[1]{2}", "%2B"]  # characters that paths escape, texts that look like numbers
+
+
+def _ingest_odd_ids(spark, sf_dir):
+    """Surveys whose ids need escaping, landed in two runs and seen in batches of a file: each arrives under its own id."""
+    landing, sink, ckpt = work_dir(spark, "landing"), work_dir(spark, "sink"), work_dir(spark, "ckpt")
+    names = _F.array(*map(_F.lit, ODD_IDS))
+    r2 = fx.order_responses(spark, sf_dir).withColumn("survey_id", _F.get(names, (_F.col("response_id").cast("long") % len(ODD_IDS)).cast("int")))
+    first = _F.col("survey_id").isin(ODD_IDS[:5])
+    snap.write_snapshot(r2.filter(first), landing, RUN_1)
+    ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide", max_files_per_trigger=1)
+    snap.write_snapshot(r2.filter(~first), landing, RUN_2)
+    ingest_available(spark, landing, sink, ckpt, FLAGSHIP_RULES, output="wide", max_files_per_trigger=1)
+    return read_sink(spark, sink)
+
+
+QUERIES["ingest_odd_ids"] = _ingest_odd_ids
+_ODD = "[" + ", ".join(f"'{x}'" for x in ODD_IDS) + "][CAST(response_id AS BIGINT) % " + str(len(ODD_IDS)) + " + 1]"
+ORACLES["ingest_odd_ids"] = f"""SELECT * REPLACE ({_ODD} AS survey_id), CASE WHEN CAST(response_id AS BIGINT) % {len(ODD_IDS)} < 5
+  THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-01-02' END AS process_timestamp FROM ({FLAGSHIP_SQL})"""
+
 
 def _survey_list(spark, sf_dir):
     """Write the R2 survey catalogue as list documents, read it, keep active surveys."""
@@ -679,11 +700,27 @@ ALL_SURVEY_RULES = (
 )
 
 
-def _all_surveys(spark, sf_dir):
+def _survey_rules(spark):
     rules = rules_dataframe(spark, [{k: v for k, v in r.items() if k != "survey_id"} for r in ALL_SURVEY_RULES])
     ids = spark.createDataFrame([(i, r["survey_id"]) for i, r in enumerate(ALL_SURVEY_RULES)], "rule_no int, survey_id string")
-    return derive_all_surveys(fx.order_responses(spark, sf_dir), rules.join(ids, "rule_no"),
-                              fx.order_survey_catalogue(spark, sf_dir))
+    return rules.join(ids, "rule_no")
+
+
+def _all_surveys(spark, sf_dir):
+    return derive_all_surveys(fx.order_responses(spark, sf_dir), _survey_rules(spark), fx.order_survey_catalogue(spark, sf_dir))
+
+
+def _ingest_all_surveys(spark, sf_dir):
+    """Every active survey's new files, derived by its own rules: two landing runs, the second replaces the first."""
+    landing, sink, ckpt = work_dir(spark, "landing"), work_dir(spark, "sink"), work_dir(spark, "ckpt")
+    r2, surveys = fx.order_responses(spark, sf_dir), fx.order_survey_catalogue(spark, sf_dir)
+    for rows in (r2.filter(_F.col("response_id").cast("long") % 2 == 0), r2):
+        snap.write_snapshot(rows, landing, RUN_1)
+        ingest_all_surveys(spark, landing, sink, ckpt, _survey_rules(spark), surveys)
+    return read_sink(spark, sink).drop(_TS)
+
+
+QUERIES["ingest_all_surveys"] = _ingest_all_surveys
 
 
 QUERIES["all_surveys"] = _all_surveys
@@ -693,6 +730,7 @@ ORACLES["all_surveys"] = _with(R2_SQL) + f"""SELECT response_id, survey_id,
     ELSE {F('coalesce(q1, 0) + coalesce(q2, 0) + coalesce(q3, 0)')} END END AS tot,
   CASE WHEN survey_id IN ('SV_4', 'SV_5') THEN CAST(prio AS VARCHAR) || ostatus END AS lbl
   FROM r2 WHERE survey_id <> 'SV_3'"""
+ORACLES["ingest_all_surveys"] = ORACLES["all_surveys"]
 
 # ---------------------------------------------- breadth and depth (bench shapes)
 

@@ -28,6 +28,7 @@ TS_PATTERN = "yyyyMMdd HHmmss"
 JSON_NAME, CSV_NAME = "survey_responses.json", "survey_responses.csv"  # fixed values: landed file names
 PAGE_NAME = "survey_responses-{}.json"  # of a survey's further documents
 ROWS_PER_FILE = 200_000
+PARTITIONED = "value string, process_timestamp string, survey_id string"
 
 
 def process_timestamp(now: datetime | None = None) -> str:
@@ -99,7 +100,12 @@ def parse_responses(files: DataFrame, ts: Column, survey: Column) -> DataFrame:
 
 def _files(spark, root: str, name: str) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name)
-    return reader.text(root, wholetext=True).select("value", F.expr("url_decode(_metadata.file_path)").alias("path"))
+    return reader.text(root, wholetext=True).select("value", plain_path(F.col("_metadata.file_path")).alias("path"))
+
+
+def plain_path(encoded: Column) -> Column:
+    """A file's path as it is named; ``_metadata.file_path`` is a URI, in which a plus sign stands for itself."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def read_snapshot(spark, root: str, layout: str = "partitioned") -> DataFrame:
@@ -113,7 +119,12 @@ def read_snapshot(spark, root: str, layout: str = "partitioned") -> DataFrame:
         return parse_responses(_files(spark, root, f"{{{JSON_NAME},{PAGE_NAME.format('*')}}}"), *landed_path(F.col("path")))
     if layout != "partitioned":
         raise ValueError("layout must be 'partitioned' or 'plain'")
-    lines = spark.read.schema("value string, process_timestamp string, survey_id string").option("basePath", root).text(root)
+    return read_folders(spark, root, [root])
+
+
+def read_folders(spark, root: str, folders: list[str]) -> DataFrame:
+    """As ``read_snapshot``, of some partition folders below ``root`` only; no other folder is listed."""
+    lines = spark.read.schema(PARTITIONED).option("basePath", root).text(folders)
     return parse_responses(lines, F.col("process_timestamp"), F.col("survey_id"))  # partition columns, so filters on them prune
 
 
@@ -149,8 +160,8 @@ def read_csv_header(spark, path: str, header_rows: int = 2, layout: str = "parti
         files = _files(spark, path, CSV_NAME)
         survey = landed_path(F.col("path"))[1]
     else:
-        files = spark.read.text(path, wholetext=True).withColumn("path", F.expr("url_decode(_metadata.file_path)"))
-        survey = F.regexp_extract("path", r"survey_id=([^/]+)/", 1)
+        files = spark.read.schema("value string, survey_id string").option("basePath", path).text(path, wholetext=True)
+        survey = F.col("survey_id")
     split_re = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
     unq = lambda c: F.transform(c, lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"'))
     lines = F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n")
