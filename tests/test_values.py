@@ -1,7 +1,9 @@
 """Coercion helpers against Python's own float()/repr."""
 
 import math
+import statistics
 
+import numpy as np
 import pytest
 
 from varloom.functions.values import exact_mean, list_numbers, list_text, py_float_text, py_num, sql_double, sql_str
@@ -73,3 +75,27 @@ def test_exact_mean_matches_statistics(spark):
     want = [statistics.mean(v for v in r if v is not None) for r in rows]
     assert got == want
     assert sql_double(1.5)
+
+
+def test_number_text_is_the_shortest(spark):
+    rng = np.random.default_rng(4)
+    bits = rng.integers(0, 1 << 63, 60_000, dtype=np.uint64) | (rng.integers(0, 2, 60_000, dtype=np.uint64) << np.uint64(63))
+    numbers = np.concatenate([bits.view(np.float64), rng.uniform(-100, 100, 20_000), rng.uniform(0, 50, 20_000) * rng.uniform(0, 1e20, 20_000),
+                              np.round(rng.uniform(-1e4, 1e4, 10_000), 3), rng.integers(-10**9, 10**9, 5_000) / 7.0, 10.0 ** np.arange(-320, 309),
+                              2.0 ** np.arange(-1074, 1024), [0.002, -0.0, 0.0, 2e-44, 1e23, 5e-324, 9007199254740993.0, 1.7976931348623157e308]])
+    frame = spark.createDataFrame([(float(x),) for x in numbers], "x double")
+    rows = frame.selectExpr("x", f"{py_float_text('x')} AS t").collect()
+    wrong = [(r["x"], r["t"]) for r in rows if r["t"] != repr(r["x"])]
+    assert len(rows) > 100_000 and not wrong, wrong[:5]
+
+
+def test_mean_over_the_full_range(spark):
+    rng = np.random.default_rng(5)
+    rows = [(1e308, 1e308, 0.5), (1.7e308, 1.7e308, -1.7e308), (5e-324, 5e-324, 1e-323), (5e-324, 0.0, 0.0), (2.5e-310, 1.1e-309, 3e-320), (1e308, -1e308, 1.5),
+            (0.1, None, 0.2), (1e-205, 3e-210, 0.7e-205)]
+    rows += [tuple(float(v) for v in rng.uniform(-1, 1, 3) * 10.0 ** rng.integers(-307, 308)) for _ in range(500)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double")
+    got = [r[0] for r in frame.selectExpr(exact_mean(["a", "b", "c"])).collect()]
+    want = [float(statistics.mean([v for v in r if v is not None])) for r in rows]
+    wrong = [(r, g, w) for r, g, w in zip(rows, got, want, strict=True) if g != w]
+    assert not wrong, wrong[:5]

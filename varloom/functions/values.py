@@ -85,25 +85,25 @@ def py_float_text(num_sql: str) -> str:
     """SQL: text of a double as Python's ``str(float)`` writes it.
 
     Spark writes doubles the Java way (``1.0E7``); Python switches to
-    exponent notation only below 1e-4 and from 1e16, and writes ``1e+16``.
-    The common case (no exponent) is a plain cast. The rewrite keeps Java's
-    digits: inside Python's fixed range the text is read back as an exact
-    decimal, outside it the exponent is reformatted. No lambda functions, so
-    the projection stays inside whole-stage codegen.
+    exponent notation only below 1e-4 and from 1e16, and writes ``1e+16``. Java's digits read back as the same double, but before
+    JDK 19 they may be one too many or not the nearest. Up to 15 digits there is only one shortest text, so they are kept as they
+    are; a longer text is written anew by Jackson's shortest-decimal writer, which is part of Spark and lays numbers out as Java does.
+    No lambda functions.
     """
     x = num_sql
-    s = f"CAST({x} AS STRING)"
-    fixed = (f"regexp_replace(regexp_replace(CAST(CAST({s} AS DECIMAL(38,21)) AS STRING), "
-             f"'0+$', ''), '\\\\.$', '.0')")
-    sci = (f"replace(regexp_replace(regexp_replace(regexp_replace({s}, '\\\\.0E', 'E'), "
+    s = f"CAST({x} AS STRING)"  # 16 characters hold 15 digits and the point
+    java = f"java_method('com.fasterxml.jackson.core.io.NumberOutput', 'toString', {x}, true)"
+    fixed = f"regexp_replace(regexp_replace(CAST(CAST({java} AS DECIMAL(38,21)) AS STRING), '0+$', ''), '\\\\.$', '.0')"
+    sci = (f"replace(regexp_replace(regexp_replace(regexp_replace({java}, '\\\\.0E', 'E'), "
            f"'E(-?)([0-9])$', 'E$10$2'), 'E([0-9])', 'e+$1'), 'E-', 'e-')")
+    digit = f"format_string('%.0e', {x})"  # Java writes two digits at least, which a subnormal may not need
     return (
         f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) "
         f"WHEN isnan({x}) THEN 'nan' "
-        f"WHEN {x} = double('Infinity') THEN 'inf' "
-        f"WHEN {x} = double('-Infinity') THEN '-inf' "
-        f"WHEN NOT contains({s}, 'E') THEN {s} "
+        f"WHEN abs({x}) = double('Infinity') THEN if({x} > 0, 'inf', '-inf') "
+        f"WHEN length({s}) <= 16 AND NOT contains({s}, 'E') THEN {s} "
         f"WHEN abs({x}) >= 1e-4 AND abs({x}) < 1e16 THEN {fixed} "
+        f"WHEN abs({x}) < 2.3e-308D AND try_cast({digit} AS DOUBLE) = {x} THEN {digit} "
         f"ELSE {sci} END"
     )
 
@@ -156,9 +156,12 @@ def exact_mean(items: list[str]) -> str:
     """SQL: the mean of the non-null items as ``statistics.mean`` gives it: exact sum, rounded once.
 
     Whole numbers add up exactly as they are. Otherwise the sum is carried with its rounding error (two-sum) and the
-    quotient is corrected by its exact remainder (the quotient is split in halves whose products with the count are exact).
+    quotient is corrected by its exact remainder (the quotient is split in halves whose products with the count are exact). Numbers near either end
+    of the range are scaled by a power of two before and after, so that neither sum nor products leave it.
     """
-    given = f"filter(array({', '.join(items)}), x -> x IS NOT NULL)"
+    largest = f"greatest(0D, {', '.join(f'abs({x})' for x in items)})"
+    scale = f"CASE WHEN {largest} > 1e290 THEN {sql_double(2.0 ** -60)} WHEN {largest} < 1e-200 THEN {sql_double(2.0 ** 200)} ELSE 1D END"
+    given = f"filter(array({', '.join(f'{x} * ({scale})' for x in items)}), x -> x IS NOT NULL)"
     whole = " AND ".join(f"({x} IS NULL OR ({x} = floor({x}) AND abs({x}) < 1e12))" for x in items)
     plain = f"({' + '.join(f'coalesce({x}, 0D)' for x in items)}) / ({' + '.join(f'if({x} IS NULL, 0, 1)' for x in items)})"
     t = "(a.s + x - a.s)"
@@ -166,6 +169,6 @@ def exact_mean(items: list[str]) -> str:
     q = "(a.s / a.n)"
     high = f"(134217729D * {q} - (134217729D * {q} - {q}))"
     rest = f"((((a.s - {high} * a.n) - ({q} - {high}) * a.n) + a.e) / a.n)"
-    done = f"CASE WHEN a.n = 0D THEN CAST(NULL AS DOUBLE) WHEN isnan({rest}) OR abs(a.s) > 1e290 THEN {q} ELSE {q} + {rest} END"
+    done = f"CASE WHEN a.n = 0D THEN CAST(NULL AS DOUBLE) WHEN isnan({rest}) THEN {q} ELSE {q} + {rest} END"
     zero = "named_struct('s', 0D, 'e', 0D, 'n', 0D)"
-    return f"CASE WHEN {whole} THEN {plain} ELSE aggregate({given}, {zero}, (a, x) -> {step}, a -> {done}) END"
+    return f"CASE WHEN {whole} THEN {plain} ELSE aggregate({given}, {zero}, (a, x) -> {step}, a -> {done}) / ({scale}) END"

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.functions.values import py_float_text
+from varloom.sources.json_split import landed_responses
 
 TS_FORMAT = "%Y%m%d %H%M%S"  # fixed value: run timestamp text
 TS_PATTERN = "yyyyMMdd HHmmss"
@@ -94,6 +95,10 @@ def parse_responses(files: DataFrame, ts: Column, survey: Column) -> DataFrame:
     parts = F.when(whole.startswith("["), listed).when(held.isNotNull(), held).otherwise(F.array("value"))
     rows = (files.withColumn("value", whole).filter("value <> ''")
             .select(F.to_timestamp(ts, TS_PATTERN).alias("process_timestamp"), survey.alias("survey_id"), F.explode(parts).alias("response")))
+    return _with_answers(rows)
+
+
+def _with_answers(rows: DataFrame) -> DataFrame:
     return rows.select(F.get_json_object("response", "$.responseId").alias("response_id"), "survey_id", "process_timestamp",
                        _answers("response").alias("values"), "response")
 
@@ -112,11 +117,13 @@ def read_snapshot(spark, root: str, layout: str = "partitioned") -> DataFrame:
     """response_id, survey_id, process_timestamp, values and response (its JSON text, all fields) (O6).
 
     ``layout="partitioned"`` reads our writer's folders, a response per line (partition pruning on
-    both keys); ``layout="plain"`` reads a landed tree of any depth, each
-    file whole: a landed document is one JSON value, which cannot be split. A survey may have any number of pages.
+    both keys); ``layout="plain"`` reads a landed tree of any depth, a document of any size by as many tasks as it has
+    blocks (``json_split``). A survey may have any number of pages.
     """
     if layout == "plain":
-        return parse_responses(_files(spark, root, f"{{{JSON_NAME},{PAGE_NAME.format('*')}}}"), *landed_path(F.col("path")))
+        rows = landed_responses(spark, root, f"{{{JSON_NAME},{PAGE_NAME.format('*')}}}", plain_path)
+        ts, survey = landed_path(F.col("path"))
+        return _with_answers(rows.select(F.to_timestamp(ts, TS_PATTERN).alias("process_timestamp"), survey.alias("survey_id"), "response"))
     if layout != "partitioned":
         raise ValueError("layout must be 'partitioned' or 'plain'")
     return read_folders(spark, root, [root])
