@@ -6,11 +6,12 @@ import gc
 import io
 import os
 import zipfile
+from functools import wraps
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from varloom.llm.hashing import mix
@@ -59,6 +60,57 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def row_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` under ids that are never null and never name two texts, and (key, id) to go back; ``docs`` itself and None where that holds anyway.
+
+    Keys are numbers in the order of (doc_id, hash of the text), a null doc_id first; rows that share both share the key.
+    One aggregate over the ids decides; only a table with null or shared ids is numbered, by a range partitioning.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
+    rows, different = ids.agg(F.count("*"), F.count_distinct("id")).first()
+    if rows == different:
+        return docs, None
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    pairs = docs.select(F.col("doc_id").cast("long").alias("__id"), h.alias("__h")).distinct()
+    dealt = stage(pairs.repartitionByRange("__id", "__h").sortWithinPartitions("__id", "__h")
+                  .withColumn("part", F.spark_partition_id()).withColumn("m", F.monotonically_increasing_id()), "row-keys")
+    parts = dealt.groupBy("part").agg(F.count("*").alias("n"), F.min("m").alias("first"))  # a row per partition
+    parts = parts.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    names = dealt.join(parts, "part").select("__id", "__h", (F.col("base") + F.col("m") - F.col("first")).alias("__key"))
+    names = stage(names, "row-key-names")
+    same = docs["doc_id"].cast("long").eqNullSafe(names["__id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == names["__h"])
+    keyed = docs.join(names, same).select(*(names["__key"].alias(c) if c == "doc_id" else docs[f"`{c}`"] for c in docs.columns))
+    return keyed, names.select("__key", "__id")
+
+
+def row_keyed(*columns: str, once: bool = False):
+    """Decorator of f(docs, ...): ``docs`` come under ``row_keys``, and ``columns`` of the result get their ids back.
+
+    ``once``: f gives one row for rows that share a key; every one of them gets it.
+    """
+
+    def wrap(f):
+        @wraps(f)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            ship(docs.sparkSession)
+            keyed, names = row_keys(docs)
+            out = f(keyed, *args, **kwargs)
+            if names is None:
+                return out
+            if once:
+                copies = keyed.groupBy("doc_id").agg(F.count("*").alias("n"))
+                again = F.explode(F.sequence(F.lit(1).cast("long"), copies["n"]))
+                out = out.join(copies, out["doc_id"] == copies["doc_id"]).select(*(out[f"`{c}`"] for c in out.columns), again).toDF(*out.columns, "__again").drop("__again")
+            for c in columns:
+                key = names.toDF("key", "id")
+                out = out.join(key, out[c] == key["key"], "left").select(*(key["id"].alias(c) if x == c else out[f"`{x}`"] for x in out.columns))
+            return out
+
+        return run
+
+    return wrap
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 

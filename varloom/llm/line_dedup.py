@@ -16,8 +16,8 @@ positional filter, and verified on the whole sets. No pair of a settled line
 is made, and nothing is left out.
 
 Edge cases: a null text counts as empty (one blank line); repeated rows with one
-doc_id are taken as one document if equal, else their lines share the id; an
-empty table gives an empty result; further columns are kept.
+doc_id are taken as one document if equal, else as documents of their own in the order of their texts' hashes; a null
+doc_id is an id like any other and the smallest; a very long text is a block of its own; an empty table gives an empty result; further columns are kept.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varloom.llm.common import bloom, bloom_hits, id_text, stage
+from varloom.llm.common import bloom, bloom_hits, id_text, row_keyed, stage
 from varloom.llm.hashing import CHUNK, U, fmix_sum, shingles, words
 from varloom.llm.prefix_sets import I64, NAMES, SCHEMA, frequent_tokens, may_match, shared_enough, shared_postings
 
@@ -238,6 +238,7 @@ def _open_pairs(post: DataFrame, left: DataFrame) -> int:
     return int(waiting.join(lists, "token").agg(F.sum(F.col("w") * F.col("m") - F.col("w") * (F.col("w") + 1) / 2)).first()[0] or 0)
 
 
+@row_keyed("doc_id")
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the later matches taken out of ``text``, and n_lines, n_removed (in place of columns of that name)."""
     gone = (removed_lines(docs).filter("removed").groupBy("doc_id")

@@ -24,8 +24,8 @@ Shingles are 64-bit hashes, equal sets are recognised by 96 bits and size.
 
 Edge cases: a null text counts as empty; a text without words has an empty
 set, is linked with nothing and is its own component; an empty table gives
-an empty result; repeated rows give a row each (a doc_id with several texts has
-the links of all of them); further columns are ignored.
+an empty result; repeated rows give a row each; rows that share a doc_id but not their
+text are documents of their own, a null doc_id is an id like any other and the smallest; texts of any length are hashed in parts; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import components, id_text, neighbour_labels, only_ids, stage
+from varloom.llm.common import components, id_text, neighbour_labels, only_ids, row_keyed, stage
 from varloom.llm.hashing import set_hash, shingles, words
 from varloom.llm.prefix_sets import SCHEMA, PostingRows, frequent_tokens, in_order, may_match, prefix_length, shared_enough, shared_postings, signed
 
@@ -213,6 +213,7 @@ def _cross(post: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
             .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct())
 
 
+@row_keyed("doc_id", "component_id")
 def ngram_components(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     members, labels = links(docs, k)

@@ -14,8 +14,8 @@ full patterns leave over (rounding, patterns that are not nearly full) is laid e
 to end in rank order and cut at every sequence's end: its position follows from the
 histogram and the rank alone. The last part of that line is cut into powers of two, which need no padding.
 
-Edge cases: a null text counts as empty (the end id alone); repeated rows
-are documents of their own; an empty table gives an empty result; further columns
+Edge cases: a null text counts as empty (the end id alone); repeated rows, rows that share a
+doc_id and rows without one are documents of their own; an empty table gives an empty result; further columns
 are ignored.
 """
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import id_text, only_ids, stage
+from varloom.llm.common import id_text, only_ids, row_keyed, stage
 from varloom.llm.word_ids import id_bytes, id_parts, packed
 
 CAPACITY, END = 4096, 2
@@ -297,6 +297,7 @@ def _slices(docs: DataFrame, cuts: DataFrame, path: str, end: int) -> DataFrame:
             .mapInArrow(scan, "doc_id long, h long, start long, length long, ids_crc32 long"))
 
 
+@row_keyed("doc_id")
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row per piece.
 

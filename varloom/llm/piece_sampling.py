@@ -17,7 +17,8 @@ model has ranks, not probabilities). A character that the model does not know is
 byte pieces of its UTF-8 form; so is the mark U+2581 of the text itself, which keeps decoding lossless.
 
 Edge cases: a null text counts as empty (no pieces); texts of any length are done in bounded parts;
-equal rows get equal results; an empty table gives an empty result; further columns are ignored.
+equal rows get equal results; a null doc_id
+is a key of its own (that of the smallest long); an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -203,9 +204,10 @@ class Lattices:
             total[node[heads]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts)), heads))
         p = np.exp(arc - total[end_unit])
         heads = np.searchsorted(end_unit, np.arange(len(unit)))
-        run = np.cumsum(p)
-        before = np.where(heads > 0, run[np.maximum(heads - 1, 0)], 0.0)
-        share = run - before[end_unit]
+        share, counts = p.copy(), np.diff(np.append(heads, len(p)))
+        for k in range(1, int(counts.max(initial=0))):  # summed within each node, so that shares do not depend on the block
+            at = heads[counts > k] + k
+            share[at] += share[at - 1]
         last = np.append(heads[1:], len(p)) - 1
         share[last] = 2.0  # the last arc takes what rounding leaves
         self.first = np.concatenate([self.first, begin + len(self.arc_first) - 1])
@@ -289,7 +291,8 @@ def _parts(text: str):
     yield count, _words(text[at:])
 
 
-def row_seed(key: int, seed: int) -> int:
+def row_seed(key: int | None, seed: int) -> int:
+    key = -1 << 63 if key is None else key
     return int(mix(np.array([key & 0xFFFFFFFFFFFFFFFF], U) + U(seed * _R & 0xFFFFFFFFFFFFFFFF))[0])
 
 

@@ -15,7 +15,8 @@ condition, which finds the same matches without backtracking: a run of
 characters that failed once is not tried again from its middle, and long
 digit or letter runs need neither quadratic time nor deep recursion.
 
-Edge cases: a null text counts as empty; repeated rows give a row each; without
+Edge cases: a null text counts as empty; repeated rows give a row each; rows that share a doc_id but not
+their text are documents of their own, a null doc_id is an id like any other; texts are taken whole, whatever their length; without
 any seed nothing is learned; an empty table gives an empty result; further
 columns are ignored (``mask`` keeps them). Positions are code points, end exclusive.
 """
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import id_text, stage
+from varloom.llm.common import id_text, row_keyed, stage
 
 #: kind -> pattern, in the order of the output (Java syntax).
 KINDS = {
@@ -172,6 +173,7 @@ def find(docs: DataFrame) -> DataFrame:
             .drop("extra"))
 
 
+@row_keyed("doc_id")
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every document."""
     out = find(id_text(docs))
@@ -179,6 +181,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
                       F.sha2(_text_of(F.col("base")).cast("binary"), 256).alias("base_sha256"), _text_of(F.col("spans")).alias("spans"))
 
 
+@row_keyed("doc_id")
 def mask(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by ``[KIND]``; overlapping spans become one. All columns are kept."""
     columns = docs.columns

@@ -51,7 +51,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_pieces(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"), keep_ids=False)
+    return sample_pieces(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(documents(spark, sf_dir))
-    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_removed", "text", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

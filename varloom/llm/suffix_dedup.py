@@ -21,7 +21,8 @@ Equal strings must meet in one shard, and only strings that can repeat need sort
 4. The repeated spans are merged per document and cut out.
 
 Edge cases: a null text counts as empty; texts shorter than ``length`` keep everything;
-repeated rows with one doc_id count as that document's text once if they are equal (each row is given back);
+repeated rows with one doc_id count as that document's text once if they are equal (each row is given back), and
+are documents of their own, in the order of their texts' hashes, if not; a null doc_id is an id like any other and the smallest;
 an empty table gives an empty result; further columns are ignored.
 """
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import bloom, bloom_hits, id_text, stage
+from varloom.llm.common import bloom, bloom_hits, id_text, row_keyed, stage
 from varloom.llm.hashing import U, mix
 from varloom.llm.induced import suffix_array
 
@@ -306,6 +307,7 @@ def _dealt_strings(segments: DataFrame, length: int) -> DataFrame:
                  .select("doc", "start", "end"), "suffix-hot-spans")
 
 
+@row_keyed("doc_id")
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary) of every document."""
     docs = id_text(docs)
