@@ -5,7 +5,8 @@ returns a DataFrame. All but the last return the columns of ``documents``, with
 the text. ``run`` writes each stage's result to the shared folder and reads it back for the next one.
 
 Edge cases hold as the operators state them; null texts come out empty, columns beyond those of ``documents`` are kept
-whatever their names, rows repeated in full become one in the n-gram stage.
+whatever their names; rows without doc_id or that share one with another text are documents of their own, and of rows with one
+doc_id and text one stays in the n-gram stage (any of them, where other columns differ).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.llm import line_dedup, ngram_join, packing, pii, quality
-from varloom.llm.common import aside, ship, stage
+from varloom.llm.common import aside, row_keys, ship, stage
 from varloom.llm.queries import tokenizer
 
 
@@ -36,9 +37,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by n-gram similarity the one with the smallest doc_id stays."""
     inner, back = aside(docs)
-    found = ngram_join.ngram_components(docs)
+    ship(spark)
+    keyed, names = row_keys(inner)
+    found = ngram_join.ngram_components(keyed)
     kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    return back(inner.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    out = keyed.join(kept, "doc_id", "left_semi")
+    if names is not None:
+        names = names.select(F.col("__key").alias("doc_id"), "__id")
+        out = out.dropDuplicates(["doc_id"]).join(names, "doc_id").withColumn("doc_id", F.col("__id")).drop("__id")
+    return back(out)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
