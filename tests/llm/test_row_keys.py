@@ -68,9 +68,10 @@ def test_repeated_strings_stay_with_their_text(odd):
     assert cut == [(1, len(LONG))]
 
 
-def test_fingerprints_give_every_row(odd):
+def test_fingerprints_give_every_document(odd):
     out = imatch.fingerprints(odd).collect()
-    assert ids(out) == WANT
+    distinct = sorted({(i, t or "") for i, t in ROWS}, key=lambda x: (x[0] is not None, x[0] or 0))
+    assert ids(out) == [i for i, _ in distinct]
     assert all(re.fullmatch(r"[0-9a-f]{64}", r["edited_sha256"]) for r in out)
 
 

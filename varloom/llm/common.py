@@ -83,11 +83,8 @@ def row_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return keyed, names.select("__key", "__id")
 
 
-def row_keyed(*columns: str, once: bool = False):
-    """Decorator of f(docs, ...): ``docs`` come under ``row_keys``, and ``columns`` of the result get their ids back.
-
-    ``once``: f gives one row for rows that share a key; every one of them gets it.
-    """
+def row_keyed(*columns: str):
+    """Decorator of f(docs, ...): ``docs`` come under ``row_keys``, and ``columns`` of the result get their ids back."""
 
     def wrap(f):
         @wraps(f)
@@ -97,10 +94,6 @@ def row_keyed(*columns: str, once: bool = False):
             out = f(keyed, *args, **kwargs)
             if names is None:
                 return out
-            if once:
-                copies = keyed.groupBy("doc_id").agg(F.count("*").alias("n"))
-                again = F.explode(F.sequence(F.lit(1).cast("long"), copies["n"]))
-                out = out.join(copies, out["doc_id"] == copies["doc_id"]).select(*(out[f"`{c}`"] for c in out.columns), again).toDF(*out.columns, "__again").drop("__again")
             for c in columns:
                 key = names.toDF("key", "id")
                 out = out.join(key, out[c] == key["key"], "left").select(*(key["id"].alias(c) if x == c else out[f"`{x}`"] for x in out.columns))

@@ -14,7 +14,7 @@ A document without any lexicon term is fingerprinted by its whole text.
 
 Edge cases: a null text counts as empty; the empty text is its own edited
 text; a single document is its own next one; repeated rows with the same doc_id and
-text are one document (whose result each row gets), the same doc_id with different texts are several, in the
+text are one document and one row, the same doc_id with different texts are several, in the
 order of their texts' hashes; a null doc_id is an id like any other and comes first; texts are taken whole, whatever their length; an empty table gives an empty result; further
 columns are ignored. Document order is found with a range partitioning, so no
 task sees all ids.
@@ -98,7 +98,7 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.coalesce(same / F.nullif(used, F.lit(0)), F.lit(0.0)))
 
 
-@row_keyed("doc_id", once=True)
+@row_keyed("doc_id")
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     docs = id_text(docs)
