@@ -2,22 +2,22 @@
 
 The reference runs one derivation job per active survey, eight at a time.
 Here it is one projection over one scan: surveys with the same rules form a
-group, each group's rules are compiled once against the answer map of its own
-surveys (null for all others), and the groups' projections of the same depth are put side by
-side. The number of scans does not depend on the number of surveys, and there is no shuffle.
+group, each group's rules are compiled once, and the router lets the groups share their
+columns, so a row pays for its own rules only. The number of scans does not depend on the number of surveys, and
+there is no shuffle.
 """
 
 from __future__ import annotations
 
 import warnings
-from itertools import zip_longest
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varloom.functions.values import sql_str
 from varloom.operators.derive import merged_map_sql, present_text
-from varloom.plans.compiler import PFX, CompiledPlan, Compiler
+from varloom.plans.compiler import PFX, CompiledPlan, compile_rules
+from varloom.plans.router import ROUTE, Router
 from varloom.sources.surveys import active_surveys
 
 
@@ -27,9 +27,9 @@ def compile_groups(rules: dict[str, list[dict]], mode: str, failed: dict[str, st
     for survey, rows in sorted(rules.items()):
         groups.setdefault(tuple(tuple(sorted((k, repr(v)) for k, v in r.items() if k != "rule_no")) for r in rows), []).append(survey)
     out = []
-    for i, surveys in enumerate(groups.values()):
+    for surveys in groups.values():
         try:
-            plan = Compiler(rules[surveys[0]], mode, f"{PFX}g{i}", f"g{i}_").compile()
+            plan = compile_rules(rules[surveys[0]], mode)
         except ValueError as e:
             if failed is None:
                 raise
@@ -60,17 +60,21 @@ def derive_all_surveys(responses: DataFrame, rules: DataFrame, surveys: DataFram
     if not groups:
         raise ValueError("no active survey has rules")
 
-    mine = [f"survey_id IN ({', '.join(sql_str(s) for s in ids)})" for ids, _ in groups]
-    df = responses.filter(" OR ".join(mine))
-    df = df.selectExpr("*", *(f"CASE WHEN {m} THEN `values` END AS `{plan.map_col}`" for m, (_, plan) in zip(mine, groups, strict=True)))
-    for layer in zip_longest(*(plan.layers for _, plan in groups), fillvalue=[]):
-        df = df.selectExpr("*", *(f"{sql} AS `{alias}`" for part in layer for alias, sql in part))
+    ids = [s for surveys, _ in groups for s in surveys]
+    df = responses.filter(F.col("survey_id").isin(ids))
+    # the place of a survey in the list of surveys, then its group: looked up once per row
+    at = ", ".join(str(i) for i, (surveys, _) in enumerate(groups) for _ in surveys)
+    df = df.selectExpr("*", f"array({at})[CAST(array_position(array({', '.join(map(sql_str, ids))}), survey_id) AS INT) - 1] AS {ROUTE}")
+    plans = [plan for _, plan in groups]
+    router = Router(plans)
+    for layer in router.layers:
+        df = df.selectExpr("*", *(f"{sql} AS `{alias}`" for alias, sql in layer))
     columns = [f"`{c}`" for c in responses.columns if c != "values"]
     if output == "wide":
-        names = list(dict.fromkeys(v for _, plan in groups for v in plan.variables))
-        pick = lambda v: " ".join(f"WHEN {m} THEN {present_text(plan, v)}" for m, (_, plan) in zip(mine, groups, strict=True) if v in plan.variables)
-        return df.selectExpr(*columns, *(f"CASE {pick(v)} END AS `{v}`" for v in names))
-    merged = "CASE " + " ".join(f"WHEN {m} THEN {merged_map_sql(plan)}" for m, (_, plan) in zip(mine, groups, strict=True)) + " END"
+        names = list(dict.fromkeys(v for plan in plans for v in plan.variables))
+        value = lambda v: router.expression({i: present_text(plan, v) for i, plan in enumerate(plans) if v in plan.final})
+        return df.selectExpr(*columns, *(f"{value(v)} AS `{v}`" for v in names))
+    merged = router.expression({i: merged_map_sql(plan) for i, plan in enumerate(plans)})
     if output == "map":
         return df.selectExpr(*columns, f"{merged} AS `values`")
     return df.selectExpr(*columns, f"{merged} AS `{PFX}m`").select(

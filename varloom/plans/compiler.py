@@ -166,8 +166,7 @@ class _State:
 
 
 class Compiler:
-    def __init__(self, rules, mode: str = INTENDED, map_col: str = "values", stem: str = "", on_error: str | None = None):
-        """``stem``: put into all column names, so that several plans can share a projection."""
+    def __init__(self, rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None):
         if on_error not in (None, "quarantine", "fail"):
             raise ValueError("on_error must be None, 'quarantine' or 'fail'")
         if mode not in (INTENDED, OBSERVED):
@@ -175,12 +174,12 @@ class Compiler:
         self.ruleset: RuleSet = load_rules(rules)
         self.mode = mode
         self.map_col = map_col
-        self.stem, self.on_error = stem, on_error
+        self.on_error = on_error
         self._ids = 0
 
     def _id(self, name: str) -> str:
         self._ids += 1
-        return f"{PFX}{self.stem}{name}{self._ids}"
+        return f"{PFX}{name}{self._ids}"
 
     def _raw(self, st: _State, key: str) -> Version:
         if key not in st.raw:
@@ -197,7 +196,7 @@ class Compiler:
         """
         m = f"`{self.map_col}`"
         variables = set(self.ruleset.variables)
-        any_var = f"{PFX}{self.stem}anyvar"
+        any_var = f"{PFX}anyvar"
         lift, pre = [], []
         names = [k for k in st.raw if k in variables]
         if names:
@@ -276,7 +275,7 @@ class Compiler:
         late = [v for v in versions if v.k is not None and "text" not in v.extras]
         if not late:
             return []
-        texts = f"{PFX}{self.stem}texts"
+        texts = f"{PFX}texts"
         numbers = ", ".join(f"named_struct('k', `{v.k}`, 'n', `{v.n}`)" for v in late)
         text = f"CASE e.k WHEN {FLOAT} THEN {py_float_text('e.n')} WHEN {INT} THEN {py_int_text('e.n')} WHEN {MEAN} THEN {py_mean_text('e.n')} END"
         own = []
@@ -356,4 +355,4 @@ class Compiler:
 
 
 def compile_rules(rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None) -> CompiledPlan:
-    return Compiler(rules, mode, map_col, on_error=on_error).compile()
+    return Compiler(rules, mode, map_col, on_error).compile()

@@ -75,9 +75,15 @@ class RuleSet:
     rules: list[Rule]
     variables: list[str] = field(default_factory=list)
     max_pass: int = -1
+    _blocks: dict[tuple[int, str], list[Rule]] = field(init=False, repr=False)
+
+    def __post_init__(self):
+        self._blocks = {}
+        for r in self.rules:
+            self._blocks.setdefault((r.pass_number, r.new_variable), []).append(r)
 
     def block(self, pass_number: int, variable: str) -> list[Rule]:
-        return [r for r in self.rules if r.pass_number == pass_number and r.new_variable == variable]
+        return self._blocks.get((pass_number, variable), [])
 
 
 def _is_nan(v) -> bool:
@@ -136,10 +142,7 @@ def load_rules(rules, max_rules: int | None = None) -> RuleSet:
         raise ValueError(f"rule table lacks columns {missing}")
     parsed = [_from_mapping(i, row) for i, row in enumerate(rows)]
     parsed.sort(key=lambda r: r.rule_no)
-    variables: list[str] = []
-    for r in parsed:
-        if r.new_variable is not None and r.new_variable not in variables:
-            variables.append(r.new_variable)
+    variables = list(dict.fromkeys(r.new_variable for r in parsed if r.new_variable is not None))
     max_pass = max((r.pass_number for r in parsed), default=-1)
     if any(r.pass_number < 0 for r in parsed):
         raise ValueError("pass_number must be >= 0")
