@@ -457,6 +457,20 @@ register("long_form", "R3A", [
   UNION ALL SELECT response_id, 'q', CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END FROM r3
     WHERE quality IS NOT NULL)""", output="long")
 
+def _long_aligned(spark, sf_dir):
+    """Answers and a second map, what kind of answer each key has, side by side per key."""
+    kinds = "map('lang', 'text', 'source', 'text', 'n_chars', 'number', 'region', 'text') AS kind"
+    rows = fx.document_responses(spark, sf_dir, "A").selectExpr("response_id", "values", kinds)
+    return derive(rows, [R("q", 0, "conditional", "equal", a="quality", A="1", then="good", otherwise="bad")], output="long", align=["kind"])
+
+
+QUERIES["long_aligned"] = _long_aligned
+ORACLES["long_aligned"] = f"""WITH v AS ({ORACLES['long_form']}), k AS (
+  SELECT response_id, kk.key, kk.kind FROM (SELECT DISTINCT response_id FROM v) CROSS JOIN (VALUES
+    ('lang', 'text'), ('source', 'text'), ('n_chars', 'number'), ('region', 'text')) AS kk(key, kind))
+  SELECT coalesce(v.response_id, k.response_id) AS response_id, coalesce(v.key, k.key) AS key, v.value, k.kind
+  FROM v FULL JOIN k ON v.response_id = k.response_id AND v.key = k.key"""
+
 register("trace_counts", "R1", [
     R("size", 0, "conditional", "greater_than", a="qty", A="40", then="L"),
     R("size", 0, "conditional", "greater_than", a="qty", A="20", then="M"),

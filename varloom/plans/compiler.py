@@ -61,8 +61,11 @@ def _unsupported(rule: Rule, ref, mode: str) -> Compiled:
     return Compiled().add("TRUE", ERROR)
 
 
-def dispatch(rule: Rule, on_error: str | None = None):
+def dispatch(rule: Rule, on_error: str | None = None, builders: dict | None = None):
     """The builder for a rule's (action, detail); unsupported pairs raise, or become an error of the rows that reach them."""
+    for own in ((rule.action, rule.detail), (rule.action, None)):
+        if builders and own in builders:
+            return builders[own]
     if rule.action in VALUE_FUNCTIONS:
         return VALUE_FUNCTIONS[rule.action]
     builder = PREDICATES.get((rule.action, rule.detail))
@@ -141,7 +144,6 @@ class Block:
     rules: list[Rule]
     selector: str  # column name
     level: int
-    subs: list[set[int]]  # per rule the outcomes it may have
 
 
 @dataclass
@@ -166,7 +168,7 @@ class _State:
 
 
 class Compiler:
-    def __init__(self, rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None):
+    def __init__(self, rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None, builders: dict | None = None):
         if on_error not in (None, "quarantine", "fail"):
             raise ValueError("on_error must be None, 'quarantine' or 'fail'")
         if mode not in (INTENDED, OBSERVED):
@@ -174,7 +176,7 @@ class Compiler:
         self.ruleset: RuleSet = load_rules(rules)
         self.mode = mode
         self.map_col = map_col
-        self.on_error = on_error
+        self.on_error, self.builders = on_error, builders
         self._ids = 0
 
     def _id(self, name: str) -> str:
@@ -239,7 +241,7 @@ class Compiler:
                     _used.append(v)
                     return v.operand()
 
-                compiled: list[Compiled] = [dispatch(r, self.on_error)(r, ref, self.mode) for r in rules]
+                compiled: list[Compiled] = [dispatch(r, self.on_error, self.builders)(r, ref, self.mode) for r in rules]
                 prev = self._current(st, var)
                 drop = st.drop.get(var)
                 level = 1 + max([v.level for v in used] + [prev.level, drop[1] if drop else 0])
@@ -250,7 +252,7 @@ class Compiler:
                 st.versions[var] = new_version
                 made.append(new_version)
                 st.drop[var] = (new_drop, level)
-                blocks.append(Block(var, pass_number, rules, sel, level, [{sub for _, sub in c.branches} for c in compiled]))
+                blocks.append(Block(var, pass_number, rules, sel, level))
 
         final = {v: self._current(st, v) for v in rs.variables}
         made.extend(st.raw.values())
@@ -354,5 +356,6 @@ class Compiler:
         return s_sql, v_cols, f_cols, Version(var, p, r, n, level, k if numbers else None), d
 
 
-def compile_rules(rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None) -> CompiledPlan:
-    return Compiler(rules, mode, map_col, on_error).compile()
+def compile_rules(rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None,
+                  builders: dict | None = None) -> CompiledPlan:
+    return Compiler(rules, mode, map_col, on_error, builders).compile()
