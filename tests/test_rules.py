@@ -127,3 +127,13 @@ def test_mean_functions(spark):
     skip = spark.createDataFrame([("0", {"a": "-99", "b": "4", "c": "5"}), ("1", {"a": "-99", "b": "-99", "c": "-99"})], "response_id string, values map<string,string>")
     got = {r.response_id: r.v for r in derive(skip, [rule("v", 0, "mean_skipna", a="a,b,c")], output="wide").collect()}
     assert got == {"0": "4.5", "1": ""}
+
+
+def test_sums_read_answers_as_literals(spark):
+    answers = {"padded": "007", "hex": "[0x1F, True]", "zero": "-0.0", "nested": "[[1]]", "spaced": "- 3", "mixed": "['1.5', 0b11, 00]"}
+    df = spark.createDataFrame([("r", answers)], "response_id string, values map<string,string>")
+    rules = [rule(f"s_{k}", 0, "sum", a=k) for k in answers]
+    got = derive(df, rules, output="wide").first().asDict()
+    assert got == {"response_id": "r", "s_padded": None, "s_hex": "32.0", "s_zero": "0.0", "s_nested": None, "s_spaced": "-3.0", "s_mixed": "4.5"}
+    codes = derive(df, rules, output="outcomes").first().asDict()
+    assert codes["s_padded__p0"] == codes["s_nested__p0"] == 9

@@ -1,12 +1,14 @@
 """Coercion helpers against Python's own float()/repr."""
 
+import ast
 import math
+import random
 import statistics
 
 import numpy as np
 import pytest
 
-from varloom.functions.values import exact_mean, list_numbers, list_text, py_float_text, py_num, sql_double, sql_str
+from varloom.functions.values import exact_mean, list_numbers, list_text, plain_number, py_float_text, py_num, sql_double, sql_str
 
 # Edge literals from FIXTURES.md.
 NUMERIC_TEXT = ["1", "1.0", " 1 ", "+5", "-3", ".5", "5.", "1e5", "1_000", "inf", "nan", "-inf",
@@ -99,3 +101,30 @@ def test_mean_over_the_full_range(spark):
     want = [float(statistics.mean([v for v in r if v is not None])) for r in rows]
     wrong = [(r, g, w) for r, g, w in zip(rows, got, want, strict=True) if g != w]
     assert not wrong, wrong[:5]
+
+
+def python_list(text):
+    """Numbers of an answer as the list reading of Python gives them; None where it raises."""
+    try:
+        return [float(x) for x in ast.literal_eval(text if "[" in text else f"[{text}]")]
+    except (ValueError, TypeError, SyntaxError):
+        return None
+
+
+def test_list_literals_are_read_as_python_reads_them(spark):
+    rng = random.Random(11)
+    elements = ["1", "007", "00", "0", "-0", "007.5", "07e1", "0x1F", "-0xff", "0X_a", "0o17", "0o8", "0b101", "0b2", "0x", "True", "False", "-True", "true", "None",
+                "[1]", "[]", "1_000", "1__0", "_1", "1_", "- 1", "+ 2", "--1", "1 2", "1.", ".5", "1e5", "1e400", "'3'", "' 4 '", '"5.5"', "'x'", "'007'", "'0x1'", "'nan'",
+                "nan", "inf", "", "abc", "1-2", "0_0", "0_7", "0xFFFFFFFFFFFFFFFF", "0b" + "1" * 64, "0o1777777777777777777777", "0x00000000000000000000001", "-0b0"]
+    texts = elements + [f"[{x}]" for x in elements] + [f" {x} " for x in elements]
+    texts += [rng.choice(["[{}]", "{}", "[{},]", "[ {} ]"]).format(rng.choice([",", ", "]).join(rng.choices(elements, k=rng.randint(2, 4)))) for _ in range(3000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", f"{py_num('t')} AS n").selectExpr(
+        "t", "n", f"{plain_number('t', 'n')} AS plain", f"{list_text('t')} AS w").selectExpr("t", "n", "plain", f"{list_numbers('w')} AS a")
+    wrong = []
+    for r in frame.collect():
+        got = [r.n] if r.plain else None if r.a is None or None in r.a else r.a
+        want = python_list(r.t.strip())
+        plus = [xs and [x + 0.0 for x in xs] for xs in (got, want)]  # they are only summed: the sign of a zero does not count
+        if repr(plus[0]) != repr(plus[1]):
+            wrong.append((r.t, got, want))
+    assert not wrong, (len(wrong), wrong[:12])

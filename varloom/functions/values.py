@@ -19,8 +19,9 @@ _PY_FLOAT_RE = (
 )
 # Python int() text: optional sign, digits with single underscores, whitespace.
 _PY_INT_RE = r"^\s*[+-]?\d+(_\d+)*\s*$"
-# A bare (unquoted) number inside a Python list literal: no inf/nan names.
-_PY_LIST_NUM_RE = r"^[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
+# A bare (unquoted) number inside a Python list literal: no inf/nan names; a sign may stand apart. Whole numbers have no leading
+# zeros, unless they are zero; other bases have a prefix.
+_PY_LIST_NUM_RE = r"^(?![+-]? *0[0-9_]*[1-9][0-9_]*$)([+-] *)?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 
 def sql_str(value: str | None) -> str:
     """Quote a Python string as a Spark SQL string literal."""
@@ -122,9 +123,28 @@ def py_mean_text(num_sql: str) -> str:
     )
 
 
+# Whole numbers of up to 64 bits in other bases.
+_PY_BASED_RE = (r"^([+-] *)?0([xX](?=_?[0-9a-fA-F])(_?0)*(_?[0-9a-fA-F]){0,16}|[oO](?=_?[0-7])(_?0)*(_?1)?(_?[0-7]){0,21}"
+                r"|[bB](?=_?[01])(_?0)*(_?[01]){0,64})$")
+
+
 def plain_number(text_sql: str, num_sql: str) -> str:
-    """SQL: the answer is one number in its plain form, no list."""
-    return f"({text_sql} IS NOT NULL AND translate({text_sql}, '0123456789.eE+- ', '') = '' AND {num_sql} IS NOT NULL)"
+    """SQL: the answer is one number in its plain form, no list; numbers with leading zeros are left to the list reading."""
+    padded = f"left(trim(LEADING '+- ' FROM {text_sql}), 2) BETWEEN '00' AND '09'"
+    return f"({text_sql} IS NOT NULL AND translate({text_sql}, '0123456789.eE+- ', '') = '' AND NOT ({padded}) AND {num_sql} IS NOT NULL)"
+
+
+def literal_number(text_sql: str) -> str:
+    """SQL: the double of one unquoted element of a Python list literal, else NULL.
+
+    ``True`` and ``False`` are 1 and 0, ``0x1F``, ``0o17`` and ``0b11`` (up to 64 bits) are whole numbers, ``007`` is refused
+    but ``007.5`` is not. Parentheses and complex numbers are refused.
+    """
+    t = text_sql
+    based = f"conv(substr(translate({t}, '_ +-', ''), 3), if({t} RLIKE '[xX]', 16, if({t} RLIKE '[oO]', 8, 2)), 10)"
+    return (f"CASE WHEN {t} RLIKE '{_esc(_PY_LIST_NUM_RE)}' THEN try_cast(translate({t}, '_ ', '') AS DOUBLE) "
+            f"WHEN {t} RLIKE '{_esc(_PY_BASED_RE)}' THEN if({t} LIKE '-%', -1D, 1D) * CAST(CAST({based} AS DECIMAL(20)) AS DOUBLE) "
+            f"ELSE CASE {t} WHEN 'True' THEN 1D WHEN 'False' THEN 0D END END")
 
 
 def list_text(text_sql: str) -> str:
@@ -139,7 +159,7 @@ def list_text(text_sql: str) -> str:
 def list_numbers(list_sql: str) -> str:
     """SQL: ``array<double>`` of the text of a list literal, with NULL elements for bad parts.
 
-    Each element, quoted or not, must be a number. A trailing comma is allowed, an empty
+    Each element, quoted (``float`` of it) or not (``literal_number``), must be a number. A trailing comma is allowed, an empty
     list is empty. NULL (whole array) when the text is not one flat
     list; the caller treats NULL or any NULL element as an error.
     """
@@ -147,7 +167,7 @@ def list_numbers(list_sql: str) -> str:
     quoted = "^\"([^\"]*)\"$|^\\'([^\\']*)\\'$"
     parts = f"split(regexp_replace({inner}, ', *$', ''), ',', -1)"
     parts = f"transform({parts}, x -> struct(trim(x) RLIKE '{quoted}' AS q, regexp_replace(trim(x), '{quoted}', '$1$2') AS z))"
-    number = f"CASE WHEN e.q THEN {py_num('e.z')} WHEN e.z RLIKE '{_esc(_PY_LIST_NUM_RE)}' THEN try_cast(replace(e.z, '_', '') AS DOUBLE) END"
+    number = f"CASE WHEN e.q THEN {py_num('e.z')} ELSE {literal_number('e.z')} END"
     return (f"CASE WHEN {list_sql} RLIKE '^\\\\[ *\\\\]$' THEN CAST(array() AS ARRAY<DOUBLE>) "
             f"WHEN {list_sql} RLIKE '^\\\\[[^\\\\[\\\\]]*\\\\]$' THEN transform({parts}, e -> {number}) END")
 

@@ -130,7 +130,7 @@ class Version:
         return 5, f"CASE WHEN NOT `{self.p}` THEN 0 WHEN {self.extra('list_plain')} THEN 1 ELSE coalesce(size({self.extra('list')}), 0) END"
 
     def _list_sum(self):
-        return 5, (f"CASE WHEN NOT `{self.p}` THEN 0D WHEN {self.extra('list_plain')} THEN `{self.n}` "
+        return 5, (f"CASE WHEN NOT `{self.p}` THEN 0D WHEN {self.extra('list_plain')} THEN 0D + `{self.n}` "
                    f"ELSE aggregate({self.extra('list')}, 0D, (acc, x) -> acc + x) END")
 
     def operand(self) -> Operand:
