@@ -51,3 +51,20 @@ def test_rule_sets_of_different_shapes_need_no_more_columns_than_the_widest():
     other = compile_rules([rule(f"v{i}", 0, "mean", a="q,r") for i in range(5)])
     alone, together = Router([other]), Router([one, other, one])
     assert sum(map(len, together.layers)) <= sum(map(len, alone.layers)) + 3
+
+
+def test_rules_of_ones_own_are_routed(spark):
+    from varloom.operators.common import RESOLVED, Compiled, TextVal
+
+    def shout(r, ref, mode):
+        out = Compiled().add("TRUE", RESOLVED)
+        out.vals[RESOLVED] = TextVal(f"upper({ref(r.a).t})")
+        return out
+
+    responses = spark.createDataFrame([("r1", "s1", {"a": "x"}), ("r2", "s2", {"b": "y"}), ("r3", None, {"a": "z"})],
+                                      "response_id string, survey_id string, values map<string,string>")
+    rules = rule_table(spark, {"s1": [rule("v", 0, "shout", a="a")], "s2": [rule("v", 0, "shout", a="b")]})
+    with pytest.raises(ValueError, match="unsupported"):
+        derive_all_surveys(responses, rules)
+    out = derive_all_surveys(responses, rules, builders={("shout", None): shout})
+    assert {r.response_id: r.v for r in out.collect()} == {"r1": "X", "r2": "Y"}

@@ -21,7 +21,7 @@ from varloom.plans.router import ROUTE, Router
 from varloom.sources.surveys import active_surveys
 
 
-def compile_groups(rules: dict[str, list[dict]], mode: str, failed: dict[str, str] | None) -> list[tuple[list[str], CompiledPlan]]:
+def compile_groups(rules: dict[str, list[dict]], mode: str, failed: dict[str, str] | None, builders: dict | None = None) -> list[tuple[list[str], CompiledPlan]]:
     """(surveys, plan) per distinct rule set; a survey whose rules do not compile goes to ``failed``, or raises without it."""
     groups: dict[tuple, list[str]] = {}
     for survey, rows in sorted(rules.items()):
@@ -29,7 +29,7 @@ def compile_groups(rules: dict[str, list[dict]], mode: str, failed: dict[str, st
     out = []
     for surveys in groups.values():
         try:
-            plan = compile_rules(rules[surveys[0]], mode)
+            plan = compile_rules(rules[surveys[0]], mode, builders=builders)
         except ValueError as e:
             if failed is None:
                 raise
@@ -41,12 +41,13 @@ def compile_groups(rules: dict[str, list[dict]], mode: str, failed: dict[str, st
 
 
 def derive_all_surveys(responses: DataFrame, rules: DataFrame, surveys: DataFrame | None = None, *,
-                       mode: str = "intended", output: str = "wide", failed: dict[str, str] | None = None) -> DataFrame:
+                       mode: str = "intended", output: str = "wide", failed: dict[str, str] | None = None,
+                       builders: dict | None = None) -> DataFrame:
     """Responses of all (active) surveys that have rules, with their derived variables.
 
     ``output``: ``wide`` (a column per variable of any survey), ``map`` or ``long``, as in ``derive``.
     With a dict as ``failed`` a survey with an unsupported rule is reported there and left out, and the rest is
-    derived; without one it raises.
+    derived; without one it raises. ``builders``: rules of one's own, as in ``derive``.
     """
     if output not in ("wide", "map", "long"):
         raise ValueError("output must be 'wide', 'map' or 'long'")
@@ -56,7 +57,7 @@ def derive_all_surveys(responses: DataFrame, rules: DataFrame, surveys: DataFram
     for row in rules.orderBy("survey_id", "rule_no").collect():  # the rule tables themselves
         d = row.asDict()
         by_survey.setdefault(d.pop("survey_id"), []).append(d)
-    groups = compile_groups(by_survey, mode, failed)
+    groups = compile_groups(by_survey, mode, failed, builders)
     if not groups:
         raise ValueError("no active survey has rules")
 
