@@ -1,7 +1,10 @@
 """Sources, sinks and streaming: tokens, catalogue, snapshots, CSV header, ingest."""
 
+import csv
+import io
 import json
 import os
+import random
 import tempfile
 
 import pytest
@@ -199,3 +202,23 @@ def test_plain_folders_keep_their_names(spark):
     rows = snap.read_snapshot(spark, root, layout="plain").collect()
     assert {(r["response_id"], r["survey_id"]) for r in rows} == {(n, n) for n in ("SV+1", "SV 1", "50%", "é")}
     assert {r["survey_id"] for r in snap.read_csv_header(spark, root, layout="plain").collect()} == {"SV+1", "SV 1", "50%", "é"}
+
+
+def test_csv_records_equal_the_csv_module(spark):
+    rng = random.Random(3)
+    tables = []
+    for _ in range(400):
+        table = [["".join(rng.choice(['a', 'b c', ',', '"', '""', "\n", "\r\n", "é", "'"]) for _ in range(rng.randrange(4))) or "x"
+                  for _ in range(rng.randrange(1, 5))] for _ in range(rng.randrange(1, 4))]
+        text = io.StringIO()
+        csv.writer(text, quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]), lineterminator=rng.choice(["\n", "\r\n"])).writerows(table)
+        tables.append(text.getvalue() if rng.random() < 0.5 else text.getvalue().rstrip("\r\n"))
+    tables += ["", "a", ",", "a,\n", 'a"b,"c', '"a"b,c', "a\n\nb", '""']
+    df = spark.createDataFrame(list(enumerate(tables)), "i int, value string")
+    got = {r["i"]: [r["a"], r["b"], r["c"]] for r in df.select("i", *(x.alias(n) for x, n in zip(snap.csv_records(F.col("value"), 3), "abc"))).collect()}
+    for i, text in enumerate(tables[:400]):
+        want = list(csv.reader(io.StringIO(text, newline="")))
+        assert got[i] == want + [None] * (3 - len(want)), text
+    assert [got[400 + i] for i in range(8)] == [
+        [None, None, None], [["a"], None, None], [["", ""], None, None], [["a", ""], None, None],
+        [['a"b', '"c'], None, None], [['"a"b', "c"], None, None], [["a"], [""], ["b"]], [[""], None, None]]

@@ -696,7 +696,19 @@ def _csv_header_plain(spark, sf_dir):
     return snap.read_csv_header(spark, root, layout="plain").drop("import_id")
 
 
+def _odd_label(key):
+    """A label with quotes, a comma and a line break."""
+    return _F.concat(_F.lit('Say "'), _F.upper(key), _F.lit('",\nthen go on'))
+
+
+def _csv_header_odd_labels(spark, sf_dir):
+    path = work_dir(spark, "csv_odd_labels")
+    snap.write_csv_header(fx.order_responses(spark, sf_dir), path, _odd_label)
+    return snap.read_csv_header(spark, path).drop("import_id")
+
+
 QUERIES["csv_header"] = _csv_header
+QUERIES["csv_header_odd_labels"] = _csv_header_odd_labels
 QUERIES["csv_header_plain"] = _csv_header_plain
 ORACLES["csv_header"] = _with(R2_SQL, """k AS (SELECT DISTINCT survey_id, key FROM (
   SELECT survey_id, 'prio' AS key FROM r2 UNION ALL SELECT survey_id, 'ostatus' FROM r2
@@ -706,6 +718,7 @@ ORACLES["csv_header"] = _with(R2_SQL, """k AS (SELECT DISTINCT survey_id, key FR
   UNION ALL SELECT survey_id, 'qty_7' FROM r2 WHERE q7 IS NOT NULL))""") + """SELECT survey_id,
   CAST(row_number() OVER (PARTITION BY survey_id ORDER BY key) - 1 AS INTEGER) AS position, key, upper(key) AS label FROM k"""
 ORACLES["csv_header_plain"] = ORACLES["csv_header"]
+ORACLES["csv_header_odd_labels"] = ORACLES["csv_header"].replace("upper(key) AS label", """'Say "' || upper(key) || '",' || chr(10) || 'then go on' AS label""")
 
 ALL_SURVEY_RULES = (
     [dict(R("big", 0, "conditional", "greater_than", a="qty_1", A="25", then="y", otherwise="n"), survey_id="SV_1")]

@@ -135,30 +135,57 @@ def read_folders(spark, root: str, folders: list[str]) -> DataFrame:
     return parse_responses(lines, F.col("process_timestamp"), F.col("survey_id"))  # partition columns, so filters on them prune
 
 
-def write_csv_header(responses: DataFrame, path: str) -> None:
+def write_csv_header(responses: DataFrame, path: str, label=F.upper) -> None:
     """Header-only CSV per survey: question keys, then labels (O7 writer).
 
     Keys are the distinct answer keys of each survey (bounded by its
-    questionnaire, not by its responses); labels are the keys upper-cased.
+    questionnaire, not by its responses); ``label`` makes a key's label, upper-cased by default. Fields are
+    quoted, so labels may hold commas, quotes and line breaks.
     """
     keys = (responses.select("survey_id", F.explode(F.map_keys("values")).alias("k"))
             .distinct()
             .groupBy("survey_id").agg(F.sort_array(F.collect_list("k")).alias("ks")))
     quote = lambda c: F.transform(c, lambda x: F.concat(F.lit('"'), F.regexp_replace(x, '"', '""'), F.lit('"')))
-    rows = keys.select(
-        "survey_id",
-        F.posexplode(F.array(F.array_join(quote(F.col("ks")), ","),
-                             F.array_join(quote(F.transform("ks", lambda x: F.upper(x))), ","))).alias("i", "value"))
-    (rows.repartition("survey_id").sortWithinPartitions("survey_id", "i").select("survey_id", "value")
-     .write.mode("overwrite").partitionBy("survey_id").text(path))
+    row = lambda c: F.array_join(quote(c), ",")
+    # one value per survey: a line break inside a label must not part the two rows
+    rows = keys.select("survey_id", F.concat_ws("\n", row(F.col("ks")), row(F.transform("ks", label))).alias("value"))
+    rows.repartition("survey_id").write.mode("overwrite").partitionBy("survey_id").text(path)
+
+
+#: A field (quoted: whatever stands between its quotes, doubled ones included) and what ends it.
+CSV_FIELD = r'("[^"]*+(?:""[^"]*+)*+"|[^,\n]*?)(,|\r?\n|\z)'
+
+
+def csv_records(text: Column, count: int) -> list[Column]:
+    """The first ``count`` records of a CSV text, each an array of its fields; null where the text has fewer.
+
+    Fields are found one after the other from the start of the text, so commas and line breaks inside quotes belong to their field; a field
+    that does not end in a comma ends its record. A quote that nothing closes, or that does not begin its field, stands for itself.
+    """
+    fields = F.regexp_extract_all(text, F.lit(CSV_FIELD), F.lit(1))
+    ends = F.regexp_extract_all(text, F.lit(CSV_FIELD), F.lit(2))
+    last = F.filter(F.sequence(F.lit(0), F.size(ends) - 1), lambda i: F.get(ends, i) != ",")
+
+    def plain(x):
+        quoted = F.rlike(x, F.lit(r'(?s)^".*"\z')) & (F.length(x) > 1)
+        return F.when(quoted, F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)
+
+    out = []
+    for i in range(count):
+        first = F.get(last, F.lit(i - 1)) + 2 if i else F.lit(1)  # slice counts from 1
+        record = F.slice(fields, first, F.get(last, F.lit(i)) - first + 2)
+        at_end = (F.get(ends, F.get(last, F.lit(i))) == "") & (record == F.array(F.lit("")))  # after the last line break
+        out.append(F.when(~at_end, F.transform(record, plain)))
+    return out
 
 
 def read_csv_header(spark, path: str, header_rows: int = 2, layout: str = "partitioned") -> DataFrame:
     """``(survey_id, position, key, label, import_id)`` from header-only CSV files (O7).
 
     The first row holds the keys, the second the labels, the third the
-    import ids; ``header_rows`` (1 to 3) says how many the files have, what they lack is null.
-    Header-only exports are a few lines, so each file is read whole. ``layout="plain"`` takes the survey from the
+    import ids; ``header_rows`` (1 to 3) says how many the files have, what they lack is null. Rows are records, not
+    lines: a quoted label may hold line breaks.
+    Header-only exports are a few records, so each file is read whole. ``layout="plain"`` takes the survey from the
     file's folder in a landed tree of any depth.
     """
     if header_rows not in (1, 2, 3):
@@ -169,10 +196,7 @@ def read_csv_header(spark, path: str, header_rows: int = 2, layout: str = "parti
     else:
         files = spark.read.schema("value string, survey_id string").option("basePath", path).text(path, wholetext=True)
         survey = F.col("survey_id")
-    split_re = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    unq = lambda c: F.transform(c, lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"'))
-    lines = F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n")
-    row = lambda i: unq(F.split(F.get(lines, F.lit(i)), split_re)) if i < header_rows else F.lit(None).cast("array<string>")
-    table = files.select(survey.alias("survey_id"), row(0).alias("keys"), row(1).alias("labels"), row(2).alias("ids"))
+    rows = csv_records(F.regexp_replace("value", "^\ufeff", ""), header_rows) + [F.lit(None).cast("array<string>")] * (3 - header_rows)
+    table = files.select(survey.alias("survey_id"), *(r.alias(n) for r, n in zip(rows, ("keys", "labels", "ids"), strict=True)))
     return (table.select("survey_id", "labels", "ids", F.posexplode("keys").alias("position", "key"))
             .select("survey_id", "position", "key", F.get("labels", F.col("position")).alias("label"), F.get("ids", F.col("position")).alias("import_id")))
