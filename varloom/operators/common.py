@@ -49,6 +49,11 @@ class Operand:
         """Python ``str(x)`` of the answer (``None`` for a null)."""
         return f"coalesce({self.r}, 'None')"
 
+    @property
+    def is_text(self) -> str:
+        """BOOLEAN, never null: the answer is a string. Always so in a plan without the answers' kinds."""
+        return self.extra("is_text")
+
     @property
     def listed(self) -> tuple[str, str, str]:
         """Of the answer read as a list of numbers: unreadable (BOOLEAN), how many, their sum; parsed once per version."""

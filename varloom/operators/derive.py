@@ -53,7 +53,7 @@ def merged_map_sql(plan: CompiledPlan) -> str:
 
 def derive(responses: DataFrame, rules, *, mode: str = INTENDED, output: str = "map",
            map_col: str = "values", prefix: str = "", on_error: str | None = None, align: list[str] | None = None,
-           barrier: bool = False, builders: dict | None = None) -> DataFrame:
+           barrier: bool = False, builders: dict | None = None, kinds: str | None = None) -> DataFrame:
     """Run a rule table over every response.
 
     ``output``:
@@ -76,12 +76,16 @@ def derive(responses: DataFrame, rules, *, mode: str = INTENDED, output: str = "
 
     ``builders``: rules of one's own, ``{(action, detail): builder}``; detail ``None`` takes any. A builder is called with the
     rule, a function from key to ``Operand`` and the mode, and returns a ``Compiled``. They come before the built-in ones.
+
+    ``kinds``: a map column with the JSON kind of each answer, as ``read_snapshot(..., kinds="kinds")`` makes it. ``equal_string`` then holds of
+    strings only, as in the reference: neither the number 1 nor a computed 2.0 equals the text of it. Copies and merged texts are strings.
+    An answer without a kind counts as a string. The column stays as it is in the output.
     """
     if output not in OUTPUTS:
         raise ValueError(f"output must be one of {OUTPUTS}")
     if align and output != "long":
         raise ValueError("align goes with output='long'")
-    plan = rules if isinstance(rules, CompiledPlan) else compile_rules(rules, mode, map_col, on_error, builders)
+    plan = rules if isinstance(rules, CompiledPlan) else compile_rules(rules, mode, map_col, on_error, builders, kinds)
     out = _derive(responses, plan, output, prefix, align)
     if barrier:  # predicates do not pass an observation, unused columns are still pruned through it
         out = out.observe(f"{PFX}{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))

@@ -159,7 +159,9 @@ def _cond_is_null(rule: Rule, ref, mode: str) -> Compiled:
 
 def _cond_equal_string(rule: Rule, ref, mode: str) -> Compiled:
     o = ref(rule.a)
-    pred = f"({o.r} <=> {sql_str(rule.a_value_1)})"
+    same = f"{o.r} <=> {sql_str(rule.a_value_1)}"
+    # a number or a list is no string, whatever its text; null equals null only
+    pred = f"({same})" if o.is_text == "TRUE" or rule.a_value_1 is None else f"({same} AND {o.is_text})"
     return _finish(Compiled().add(f"NOT {o.p}", NOT_FOUND), rule, pred, mode)
 
 

@@ -720,6 +720,28 @@ ORACLES["csv_header"] = _with(R2_SQL, """k AS (SELECT DISTINCT survey_id, key FR
 ORACLES["csv_header_plain"] = ORACLES["csv_header"]
 ORACLES["csv_header_odd_labels"] = ORACLES["csv_header"].replace("upper(key) AS label", """'Say "' || upper(key) || '",' || chr(10) || 'then go on' AS label""")
 
+TYPED_RULES = [
+    R("same", 0, "conditional", "equal_string", a="q", A="1", then="y", otherwise="n"),
+    R("doubled", 0, "product", a="q", A="2"),
+    R("copied", 0, None, a="q"),
+    R("is_two", 1, "conditional", "equal_string", a="doubled", A="2.0", then="y", otherwise="n"),
+    R("is_one", 1, "conditional", "equal_string", a="copied", A="1", then="y", otherwise="n"),
+]
+
+
+def _typed_answers(spark, sf_dir):
+    """equal_string with the answers' JSON kinds: orders of even keys answer with a number, the others with its text."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "concat('{\"responseId\":\"', o_orderkey, '\",\"values\":{\"q\":', "
+        "if(o_orderkey % 2 = 0, CAST(o_orderkey % 3 AS STRING), concat('\"', o_orderkey % 3, '\"')), '}}') AS value")
+    answers = snap.parse_responses(rows, _F.lit(RUN_1), _F.lit("SV_1")).withColumn("kinds", snap.answer_kinds(_F.col("response")))
+    return derive(answers, TYPED_RULES, output="wide", kinds="kinds").select("response_id", "same", "is_two", "is_one")
+
+
+QUERIES["typed_answers"] = _typed_answers
+ORACLES["typed_answers"] = """SELECT CAST(o_orderkey AS VARCHAR) AS response_id, CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 2 <> 0 THEN 'y' ELSE 'n' END AS same,
+  'n' AS is_two, CASE WHEN o_orderkey % 3 = 1 THEN 'y' ELSE 'n' END AS is_one FROM orders"""
+
 ALL_SURVEY_RULES = (
     [dict(R("big", 0, "conditional", "greater_than", a="qty_1", A="25", then="y", otherwise="n"), survey_id="SV_1")]
     + [dict(R("tot", 0, "sum", a="qty_1,qty_2,qty_3"), survey_id="SV_2")]

@@ -97,12 +97,18 @@ class Version:
     n: str
     level: int
     k: str | None = None  # column with the kind; None: always text
+    kinds: str | None = None  # raw answers: the map column with their JSON kinds
+    j: str | None = None  # derived, in a plan with kinds: column that tells strings from numbers
     extras: dict[str, tuple[str, int, str]] = field(default_factory=dict)  # name -> (column, step, sql)
 
     def extra(self, name: str) -> str:
         """Column (quoted) of a helper of this version."""
         if name == "text" and self.k is None:
             return f"`{self.r}`"
+        if name == "is_text" and self.j is None and self.kinds is None:
+            return "TRUE"
+        if name == "is_text" and self.j is not None:
+            return f"`{self.j}`"
         if name not in self.extras:
             step, sql = getattr(self, f"_{name}")()
             self.extras[name] = (f"{self.p[:-2]}_{name}", step, sql)
@@ -113,6 +119,9 @@ class Version:
         return 1, (f"CASE `{self.k}` WHEN {FLOAT} THEN {py_float_text(n)} WHEN {INT} THEN {py_int_text(n)} "
                    f"WHEN {MEAN} THEN {py_mean_text(n)} ELSE `{self.r}` END")
 
+    def _is_text(self):
+        return 1, f"coalesce(try_element_at(`{self.kinds}`, {sql_str(self.key)}) = 'string', TRUE)"
+
     def _list_plain(self):
         return 2, f"(`{self.p}` AND {plain_number(self.extra('text'), f'`{self.n}`')})"
 
@@ -168,7 +177,8 @@ class _State:
 
 
 class Compiler:
-    def __init__(self, rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None, builders: dict | None = None):
+    def __init__(self, rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None, builders: dict | None = None,
+                 kinds: str | None = None):
         if on_error not in (None, "quarantine", "fail"):
             raise ValueError("on_error must be None, 'quarantine' or 'fail'")
         if mode not in (INTENDED, OBSERVED):
@@ -176,7 +186,7 @@ class Compiler:
         self.ruleset: RuleSet = load_rules(rules)
         self.mode = mode
         self.map_col = map_col
-        self.on_error, self.builders = on_error, builders
+        self.on_error, self.builders, self.kinds = on_error, builders, kinds
         self._ids = 0
 
     def _id(self, name: str) -> str:
@@ -186,7 +196,7 @@ class Compiler:
     def _raw(self, st: _State, key: str) -> Version:
         if key not in st.raw:
             base = self._id("k")
-            st.raw[key] = Version(key, base + "_p", base + "_r", base + "_n", 0)
+            st.raw[key] = Version(key, base + "_p", base + "_r", base + "_n", 0, kinds=self.kinds)
         return st.raw[key]
 
     def _lift(self, st: _State) -> list[list[tuple[str, str]]]:
@@ -351,11 +361,17 @@ class Compiler:
         if numbers:
             before = f"`{prev.k}`" if prev.k else str(TEXT)
             f_cols.append((k, f"CASE {s} {' '.join(k_whens)} ELSE {before} END" if k_whens else before))
+        j = None
+        if self.kinds:  # texts are strings, numbers are not, an answer that stays keeps its kind
+            j = base + "_j"
+            own = " ".join(f"WHEN {code} THEN {'TRUE' if kind.endswith(f'THEN {TEXT}') else 'FALSE'}" for code, kind in zip(resolved_codes, k_whens))
+            before = prev.extra("is_text")
+            f_cols.append((j, f"CASE {s} {own} ELSE {before} END" if own else before))
         lost = f"{s} % 16 IN (3, 9)"
         f_cols.append((d, f"(`{drop[0]}` OR {lost})" if drop else lost))
-        return s_sql, v_cols, f_cols, Version(var, p, r, n, level, k if numbers else None), d
+        return s_sql, v_cols, f_cols, Version(var, p, r, n, level, k if numbers else None, j=j), d
 
 
 def compile_rules(rules, mode: str = INTENDED, map_col: str = "values", on_error: str | None = None,
-                  builders: dict | None = None) -> CompiledPlan:
-    return Compiler(rules, mode, map_col, on_error, builders).compile()
+                  builders: dict | None = None, kinds: str | None = None) -> CompiledPlan:
+    return Compiler(rules, mode, map_col, on_error, builders, kinds).compile()

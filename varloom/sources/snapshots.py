@@ -103,6 +103,21 @@ def _with_answers(rows: DataFrame) -> DataFrame:
                        _answers("response").alias("values"), "response")
 
 
+def answer_kinds(response: Column) -> Column:
+    """The JSON kind of every answer of a response's JSON text: string, number, boolean, array, object or null.
+
+    ``values`` holds texts only, in which the number 1 and the string "1" are the same; this map beside it tells them apart.
+    """
+    typed = F.from_json(response, "`values` map<string,variant>")["values"]
+
+    def kind(v):
+        schema = F.schema_of_variant(v)
+        return (F.when(v.isNull() | F.is_variant_null(v), "null").when(schema == "STRING", "string").when(schema == "BOOLEAN", "boolean")
+                .when(schema.startswith("ARRAY"), "array").when(schema.startswith("OBJECT"), "object").otherwise("number"))
+
+    return F.transform_values(typed, lambda _, v: kind(v))
+
+
 def _files(spark, root: str, name: str) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name)
     return reader.text(root, wholetext=True).select("value", plain_path(F.col("_metadata.file_path")).alias("path"))
@@ -113,13 +128,16 @@ def plain_path(encoded: Column) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def read_snapshot(spark, root: str, layout: str = "partitioned") -> DataFrame:
+def read_snapshot(spark, root: str, layout: str = "partitioned", kinds: str | None = None) -> DataFrame:
     """response_id, survey_id, process_timestamp, values and response (its JSON text, all fields) (O6).
 
     ``layout="partitioned"`` reads our writer's folders, a response per line (partition pruning on
     both keys); ``layout="plain"`` reads a landed tree of any depth, a document of any size by as many tasks as it has
-    blocks (``json_split``). A survey may have any number of pages.
+    blocks (``json_split``). A survey may have any number of pages. ``kinds`` names a further column with the
+    JSON kinds of the answers (``answer_kinds``).
     """
+    if kinds:
+        return read_snapshot(spark, root, layout).withColumn(kinds, answer_kinds(F.col("response")))
     if layout == "plain":
         rows = landed_responses(spark, root, f"{{{JSON_NAME},{PAGE_NAME.format('*')}}}", plain_path)
         ts, survey = landed_path(F.col("path"))
