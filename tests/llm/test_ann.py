@@ -1,10 +1,12 @@
 """Nearest neighbours: recall, scores, ties and odd vectors."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from varloom.llm import ann
+from varloom.llm.common import stage
 
 
 def exact(ids, vectors, asked, k):
@@ -62,6 +64,57 @@ def test_few_and_no_rows(odd):
     assert ann.nearest(odd, odd.filter(F.lit(False))).collect() == []
 
 
+def test_repeated_rows_and_shared_ids(spark, odd):
+    few = odd.filter("vec_id < 60").select("vec_id", "embedding")
+    key = lambda df: sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in df.collect())
+    want = key(ann.nearest(few, few.filter("vec_id % 20 = 0"), 5))
+    thrice = few.union(few).union(few.filter("vec_id < 30"))
+    assert key(ann.nearest(thrice, thrice.filter("vec_id % 20 = 0"), 5)) == want
+    # a second vector under the id 20 is a query and a candidate of its own
+    other = few.union(spark.createDataFrame([(20, [9.0, 0.0, 0.0, 0.0])], few.schema))
+    rows = ann.nearest(other, other.filter("vec_id = 20"), 70).collect()
+    assert sorted(r["rank"] for r in rows) == sorted(list(range(1, 61)) * 2)
+    assert sum(r.vec_id == 20 for r in rows) == 2
+
+
+def test_recall_where_lists_are_pruned(spark, monkeypatch):
+    """40,000 vectors around those of the given table: what is read, and how much of the truth is found."""
+    base = np.stack(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas().embedding)
+    rng = np.random.default_rng(2)
+    x = (np.tile(base, (20, 1))[:40_000] + rng.normal(scale=0.2 * base.std(), size=(40_000, base.shape[1]))).astype(np.float32)
+    ids = np.arange(len(x))
+    table = pa.table({"vec_id": ids, "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))})
+    v = spark.createDataFrame(table).repartition(8)
+    staged = {}
+    keep = lambda df, name: staged.setdefault(name, stage(df, name))
+    monkeypatch.setattr(ann, "stage", keep)
+    got = ann.nearest(v, v.filter("vec_id % 200 = 0")).toPandas()
+    sizes = staged["ann-lists"].groupBy("list").agg(F.count("*").alias("n"))
+    read = staged["ann-reads"].join(sizes, "list").agg(F.sum("n")).first()[0] / (200 * len(x))
+    hit = sum(len(set(got[got.query_id == q].vec_id) & {b for b, _ in best}) for q, best in exact_some(x, ids[::200], 20).items())
+    assert read < 0.3 and hit >= 0.9 * 20 * 200, (read, hit / 4000)
+
+
+def exact_some(x, asked, k):
+    s = x[asked].astype(float) @ x.astype(float).T
+    s[np.arange(len(asked)), asked] = -np.inf
+    return {int(q): [(int(b), s[i, b]) for b in np.argsort(-s[i], kind="stable")[:k]] for i, q in enumerate(asked)}
+
+
+def test_number_of_lists():
+    assert [ann.list_count(n) for n in (1, 64, 65, 10**6, 10**8, 10**12)] == [1, 1, 2, 2048, 10**4, 1 << 16]
+
+
+def test_two_levels_cover_the_sample(monkeypatch):
+    monkeypatch.setattr(ann, "FLAT", 16)
+    x = np.random.default_rng(3).normal(size=(3000, 8)).astype(np.float32)
+    c = ann.make_centroids(x, 150)
+    assert 140 <= len(c.points) <= 175
+    ids, dist = c.search(x[:100], 64)
+    assert (ids[:, 0] == ann._nearest(x[:100], c.points)).mean() > 0.95
+    assert np.bincount(ann._nearest(x, c.points), minlength=len(c.points)).max() < 6 * 3000 / 150
+
+
 def test_long_lists_are_dealt_in_blocks(odd, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 5)
     monkeypatch.setattr(ann, "QUERY_BLOCK", 2)

@@ -8,18 +8,22 @@ ratio of the nearest distance, and as many more as it takes to have seen ``least
 
 Inner products become distances by one more coordinate, ``sqrt(max norm^2 - norm^2)``,
 so vectors of any length can be indexed. Centroids come from a bounded sample
-(``SAMPLE`` distinct vectors, smallest by a hash of the id) and number at most ``MAX_LISTS``; every
-row is indexed. Equal vectors are one entry that keeps the k + 1 smallest ids: no more can
+(``SAMPLE`` distinct vectors, or ``PER_LIST`` for each list where that is more; smallest by a hash of the id); every
+row is indexed. There are n / ``LIST`` lists up to ``FLAT``, then as many as the root of n, at most ``MAX_LISTS``, so list and
+number of lists grow alike; beyond ``FLAT`` they are clustered in two levels. Equal vectors are one entry that keeps the k + 1 smallest ids: no more can
 be among the k nearest, ties going to the smaller id. A long list is
-dealt into blocks, and so are the queries that read it, so a task holds two bounded blocks.
+dealt into blocks, and so are the queries that read it, so a task holds two bounded blocks. What the blocks find
+is cut to the best rows of each query before it is shuffled.
 
 Edge cases: null vectors, null or non-finite components and zero vectors take no part,
-nor do vectors whose dimension is not the commonest one; repeated ids are rows of their own; with fewer than k
+nor do vectors whose dimension is not the commonest one; rows that repeat both id and vector are one row, those that share only the id
+are rows of their own: each is a query with ranks of its own, and a candidate of the others; with fewer than k
 candidates all are returned; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +33,8 @@ from pyspark.sql import functions as F
 
 from varloom.llm.common import ship, stage
 
-SAMPLE, MAX_LISTS, LIST = 1 << 14, 1 << 11, 64
+SAMPLE, PER_LIST, LIST = 1 << 14, 16, 64
+FLAT, MAX_LISTS = 1 << 11, 1 << 16
 BLOCK, QUERY_BLOCK = 2048, 2048
 REPLICAS, CLOSURE = 6, 1.15      # lists of a vector at most; how much farther a further list may be
 RATIO, LEAST, BEAM = 1.25, 2000, 128  # distance ratio for queries, vectors seen at least, beam of the graph search
@@ -73,7 +78,8 @@ class Centroids:
 
 
 def _nearest(x: np.ndarray, points: np.ndarray) -> np.ndarray:
-    return ((points**2).sum(1)[None] - 2 * x @ points.T).argmin(1)
+    square = (points**2).sum(1)[None]
+    return np.concatenate([(square - 2 * x[at:at + 4096] @ points.T).argmin(1) for at in range(0, max(len(x), 1), 4096)])
 
 
 def cluster(x: np.ndarray, n_lists: int, turns: int = 12) -> np.ndarray:
@@ -96,12 +102,29 @@ def cluster(x: np.ndarray, n_lists: int, turns: int = 12) -> np.ndarray:
     return points
 
 
+def list_count(n: int) -> int:
+    """How many lists n vectors are put into."""
+    return min(-(-n // LIST), max(FLAT, math.isqrt(n)), MAX_LISTS)
+
+
+def two_levels(x: np.ndarray, n_lists: int) -> np.ndarray:
+    """Centroids of coarse clusters' members, as many of each cluster as its share of ``x``."""
+    coarse = cluster(x, math.isqrt(n_lists))
+    own = _nearest(x, coarse)
+    parts = [x[own == c] for c in range(len(coarse))]
+    return np.concatenate([cluster(p, min(len(p), max(1, round(n_lists * len(p) / len(x))))) for p in parts if len(p)])
+
+
 def make_centroids(sample: np.ndarray, n_lists: int) -> Centroids:
-    points = cluster(sample, min(n_lists, len(sample)))
-    d = (points**2).sum(1)[None] - 2 * points @ points.T
-    np.fill_diagonal(d, np.inf)
+    points = cluster(sample, min(n_lists, len(sample))) if n_lists <= FLAT else two_levels(sample, n_lists)
     degree = min(DEGREE, max(len(points) - 1, 1))
-    graph = np.argsort(d, 1)[:, :degree]
+    square, near = (points**2).sum(1)[None], []
+    for at in range(0, len(points), 1024):
+        d = square - 2 * points[at:at + 1024] @ points.T
+        d[np.arange(len(d)), np.arange(at, at + len(d))] = np.inf
+        some = np.argpartition(d, degree - 1, 1)[:, :degree]
+        near.append(np.take_along_axis(some, np.argsort(np.take_along_axis(d, some, 1), 1, kind="stable"), 1))
+    graph = np.concatenate(near)
     rng = np.random.default_rng(11)
     if len(points) > degree:  # a few far links keep the graph connected
         graph = np.concatenate([graph, rng.integers(0, len(points), (len(points), 4)), np.roll(np.arange(len(points)), 1)[:, None]], 1)
@@ -136,17 +159,25 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     spark = vectors.sparkSession
     ship(spark)
     vectors = usable(vectors)
+    rows, different = vectors.agg(F.count("*"), F.count_distinct("vec_id")).first()
+    unique = rows == different
+    if not unique:  # rows repeated in full are one
+        vectors = vectors.distinct()
     same = Window.partitionBy("h", "embedding").orderBy("vec_id")
-    entries = stage(vectors.withColumn("h", F.xxhash64("embedding")).withColumn("r", F.row_number().over(same)).filter(F.col("r") <= k + 1)
-                    .groupBy("h", "embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-                    .withColumn("entry", F.element_at("ids", 1)), "ann-entries")
+    entries = (vectors.withColumn("h", F.xxhash64("embedding")).withColumn("r", F.row_number().over(same)).filter(F.col("r") <= k + 1)
+               .groupBy("h", "embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("entry", F.element_at("ids", 1)))
+    if not unique:  # the smallest id may name two entries: number them in its order
+        entries = entries.repartitionByRange("entry", "h").sortWithinPartitions("entry", "h").withColumn("entry", F.monotonically_increasing_id())
+    entries = stage(entries, "ann-entries")
     size = entries.agg(F.count("*").alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("top")).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not size["n"]:
         return spark.createDataFrame([], schema)
     top = size["top"]
-    sample = entries.orderBy(F.xxhash64("entry"), "entry").limit(SAMPLE).select("embedding").toArrow()
-    centroids = make_centroids(_augmented(_matrix(sample["embedding"]), top), min(MAX_LISTS, -(-size["n"] // LIST)))
+    n_lists = list_count(size["n"])
+    some = max(SAMPLE, PER_LIST * n_lists if n_lists > FLAT else 0)
+    sample = entries.orderBy(F.xxhash64("entry"), "entry").limit(some).select("embedding").toArrow()
+    centroids = make_centroids(_augmented(_matrix(sample["embedding"]), top), n_lists)
     shared = spark.sparkContext.broadcast(centroids)
 
     def lists_of(batches):
@@ -224,12 +255,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     found = (asking.select(*key, "query", "embedding").groupBy(*key).cogroup(postings.select(*key, "entry", "vector").groupBy(*key))
              .applyInArrow(scan, "query long, entry long, score double"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
-    found = (found.groupBy("query", "entry").agg(F.max("score").alias("score"))  # a replicated vector is met several times
+    # a replicated vector is met up to REPLICAS times, so this many rows hold the k + 1 best; every task cuts its own before the shuffle
+    found = found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= (k + 1) * REPLICAS).drop("r")
+    found = (found.groupBy("query", "entry").agg(F.max("score").alias("score"))
              .withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).drop("r"))
     found = stage(found.join(entries.select("entry", "ids"), "entry"), "ann-found")
-    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    rank = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return (asked.withColumnRenamed("entry", "query").join(found, "query")
-            .select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
+            .select("query_id", "query", "entry", "score", F.explode("ids").alias("vec_id"))
+            .filter("vec_id <> query_id or entry <> query")
             .withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
