@@ -119,32 +119,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-FILTER_BITS = 1 << 24
+KEY_BITS = 16                             # bits of a Bloom filter per key: some 1.4 % of other keys pass
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27  # of a filter: 128 KiB to 16 MiB
 
 
-def _bits(columns) -> list[np.ndarray]:
+def _bits(columns, bits: int) -> list[np.ndarray]:
     h = np.zeros(len(columns[0]), np.uint64)
     for x in columns:
         h = mix(h + np.asarray(x, np.int64).view(np.uint64))
-    return [(h >> np.uint64(40)).astype(np.int64), (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
+    last = np.uint64(bits - 1)
+    return [((h >> np.uint64(32)) & last).astype(np.int64), (h & last).astype(np.int64)]
 
 
 def bloom(ids: DataFrame):
-    """Broadcast Bloom filter of the long columns of ``ids``: a fixed 2 MiB, built by eight tasks.
+    """Broadcast Bloom filter of the long columns of ``ids`` (stored, or cheap to count), KEY_BITS for each row; None where that is more than MOST_BITS.
 
-    Has no false negatives. Beyond some million rows more and more others pass, so it saves work but
-    never replaces the exact join that follows.
+    Has no false negatives, and at every size it is given for as few false positives. Callers do the same work by a join where it
+    is None, so nothing that is broadcast grows beyond the bound and no filter fills up.
     """
+    rows = ids.count()
+    if rows * KEY_BITS > MOST_BITS:
+        return None
+    bits = max(LEAST_BITS, 1 << (rows * KEY_BITS - 1).bit_length() if rows else 0)
 
     def build(batches):
-        bits = np.zeros(FILTER_BITS, bool)
+        here = np.zeros(bits, bool)
         for batch in batches:
-            for at in _bits(batch.columns):
-                bits[at] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+            for at in _bits(batch.columns, bits):
+                here[at] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(here).tobytes()], pa.binary())], ["bits"])
 
-    merged = np.zeros(FILTER_BITS // 8, np.uint8)
-    for (part,) in ids.repartition(8).mapInArrow(build, "bits binary").collect():
+    merged = np.zeros(bits // 8, np.uint8)
+    for (part,) in ids.repartition(4).mapInArrow(build, "bits binary").collect():  # four filters
         merged |= np.frombuffer(part, np.uint8)
     return ids.sparkSession.sparkContext.broadcast(merged)
 
@@ -152,14 +158,16 @@ def bloom(ids: DataFrame):
 def bloom_hits(bits: np.ndarray, *columns) -> np.ndarray:
     """Which rows may be in the filter."""
     out = np.ones(len(columns[0]), bool)
-    for at in _bits(columns):
+    for at in _bits(columns, 8 * len(bits)):
         out &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
     return out
 
 
 def only_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``ids``, and possibly a few others; no row of ``docs`` is shuffled."""
+    """Rows of ``docs`` whose id is in ``ids`` (one column): those and possibly a few others, without a shuffle of ``docs``, or by a semi-join where the ids are too many for a filter."""
     shared = bloom(ids)
+    if shared is None:
+        return docs.join(ids.toDF(column), column, "left_semi")
 
     @F.pandas_udf("boolean")
     def hit(x: pd.Series) -> pd.Series:
@@ -181,7 +189,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -
     if e.isEmpty():
         return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     before = None
-    for _ in range(64):
+    while True:  # the smallest ids only ever move down
         both = e.union(e.select("v", "u")).toDF("u", "v")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: every larger neighbour moves to the smallest one
@@ -196,7 +204,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -
         if state == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
         before = state
-    raise RuntimeError("no convergence after 64 steps")
 
 
 def neighbour_labels(edges: DataFrame, name: str) -> DataFrame:

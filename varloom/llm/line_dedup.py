@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varloom.llm.common import bloom, bloom_hits, id_text, row_keyed, stage
+from varloom.llm.common import bloom, bloom_hits, id_text, only_ids, row_keyed, stage
 from varloom.llm.hashing import CHUNK, U, fmix_sum, shingles, words
 from varloom.llm.prefix_sets import I64, NAMES, SCHEMA, frequent_tokens, may_match, shared_enough, shared_postings
 
@@ -132,22 +132,15 @@ def _rows(docs: DataFrame, table) -> DataFrame:
 
 
 def _line_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(doc_id, line_no, set) of the given lines, possibly of a few others; no text is shuffled."""
-    wanted_docs = bloom(lines.select("doc_id"))
-    wanted = bloom(lines.select("doc_id", "line_no"))
-
-    @F.pandas_udf("boolean")
-    def has(x):
-        import pandas as pd
-        return pd.Series(bloom_hits(wanted_docs.value, x))
-
+    """(doc_id, line_no, set) of the given lines, possibly of a few others; no text is shuffled while the documents fit a filter."""
+    wanted = bloom(lines)
     def scan(batches):
         for ids, starts, data in Blocks(batches):
             parts = data.split(b"\n")
             ends = starts[1:] + [len(parts)]
             doc = np.repeat(np.array(ids, I64), np.array(ends) - np.array(starts))
             number = np.arange(len(parts)) - np.repeat(np.array(starts, I64), np.array(ends) - np.array(starts))
-            hit = np.flatnonzero(bloom_hits(wanted.value, doc, number))
+            hit = np.flatnonzero(bloom_hits(wanted.value, doc, number)) if wanted is not None else np.arange(len(parts))
             if not len(hit):
                 continue
             line, token = line_tokens(b"\n".join(parts[i] for i in hit))
@@ -158,7 +151,8 @@ def _line_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(line)).astype(np.int32)), pa.array(token.view(I64)))
             yield pa.RecordBatch.from_arrays([pa.array(doc[mine]), pa.array(number[mine].astype(I64)), lists], ["doc_id", "line_no", "set"])
 
-    return docs.filter(has("doc_id")).mapInArrow(scan, "doc_id long, line_no long, set array<long>")
+    sets = only_ids(docs, lines.select("doc_id").distinct()).mapInArrow(scan, "doc_id long, line_no long, set array<long>")
+    return sets if wanted is not None else sets.join(lines, ["doc_id", "line_no"], "left_semi")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def _group_rows(docs: DataFrame, k: int, table) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, set) of the given documents, possibly of others; not a text is shuffled."""
+    """(node, set) of the given documents, possibly of a few others (``only_ids``)."""
 
     def scan(batches):
         for batch in batches:

@@ -251,6 +251,18 @@ def _runs(length: int, hot: frozenset[int] = frozenset()):
     return scan
 
 
+def anchor_places(length: int):
+    """Function of batches (doc_id, text) to (hash, doc_id, at) of every anchor."""
+
+    def scan(batches):
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                h, p = anchors(text.as_py(), length)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([doc] * len(h), pa.int64()), pa.array(p.astype(np.int64))], ["hash", "doc_id", "at"])
+
+    return scan
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, start, end): spans of bytes of repeated strings; they may overlap."""
     raw = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter(F.octet_length("text") >= length)
@@ -269,10 +281,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def segments(batches):
         out = _Segments()
         for batch in batches:
-            for doc, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            known = batch.column(2) if wanted is None else [None] * len(batch)
+            for doc, data, places in zip(batch.column(0).to_pylist(), batch.column(1), known, strict=True):
                 data = data.as_py()
                 h, p = anchors(data, length)
-                hit = bloom_hits(wanted.value, h.view(np.int64))
+                hit = bloom_hits(wanted.value, h.view(np.int64)) if wanted is not None else np.isin(p, places.values.to_numpy())
                 if hit.any():
                     out.add(doc, data, h[hit], p[hit], length)
                     yield from out.batches()
@@ -280,6 +293,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # spans go to any shard: they are only handed through
     shard = F.coalesce("hash", F.xxhash64("doc"))
+    if wanted is None:  # too many anchors for a filter: their places meet them in a join, and the documents the places
+        places = raw.mapInArrow(anchor_places(length), "hash long, doc_id long, at long").join(often.select("hash"), "hash", "left_semi")
+        raw = raw.join(places.groupBy("doc_id").agg(F.collect_set("at").alias("places")), "doc_id")
     rows = raw.sortWithinPartitions("doc_id").mapInArrow(segments, SCHEMA)
     if hot:
         marks = F.broadcast(docs.sparkSession.createDataFrame([(h, True) for h in hot], "hash long, hot boolean"))
