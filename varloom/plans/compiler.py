@@ -54,6 +54,7 @@ from varloom.operators.value_functions import VALUE_FUNCTIONS
 from varloom.plans.rules import Rule, RuleSet, load_rules
 
 PFX = "__vl_"
+LEVELS = 3  # dependency levels between two readings of answers that variables may overwrite
 
 
 def _unsupported(rule: Rule, ref, mode: str) -> Compiled:
@@ -174,6 +175,7 @@ class _State:
     versions: dict[str, Version] = field(default_factory=dict)  # current version per key
     raw: dict[str, Version] = field(default_factory=dict)
     drop: dict[str, tuple[str, int]] = field(default_factory=dict)  # variable -> (col, level)
+    first: dict[str, int] = field(default_factory=dict)  # raw key -> the first level that reads it
 
 
 class Compiler:
@@ -199,33 +201,48 @@ class Compiler:
             st.raw[key] = Version(key, base + "_p", base + "_r", base + "_n", 0, kinds=self.kinds)
         return st.raw[key]
 
-    def _lift(self, st: _State) -> list[list[tuple[str, str]]]:
-        """Projections that lift the referenced keys out of the answer map.
+    def _lift(self, st: _State) -> tuple[list[list[tuple[str, str]]], dict[int, list[Version]]]:
+        """Projections that lift the referenced keys out of the answer map, and the raw versions left for later, by level.
 
         Variable names are lifted too (a variable may overwrite an answer),
         but usually are not answer keys: one ``arrays_overlap`` per row tells
-        whether any is, and only then are they probed one by one.
+        whether any is, and only then are they probed one by one, just before the levels that read them (``_lift_late``).
         """
         m = f"`{self.map_col}`"
         variables = set(self.ruleset.variables)
-        any_var = f"{PFX}anyvar"
-        lift, pre = [], []
+        lift, pre, now = [], [], []
+        late: dict[int, list[Version]] = {}
         names = [k for k in st.raw if k in variables]
         if names:
             arr = ", ".join(sql_str(k) for k in names)
-            pre = [(any_var, f"coalesce(arrays_overlap(map_keys({m}), array({arr})), FALSE)")]
+            pre = [(f"{PFX}anyvar", f"coalesce(arrays_overlap(map_keys({m}), array({arr})), FALSE)")]
         for key, v in st.raw.items():
             k = sql_str(key)
             if key in variables:
-                r = f"CASE WHEN `{any_var}` THEN try_element_at({m}, {k}) END"
-                p = f"(`{any_var}` AND coalesce(map_contains_key({m}, {k}), FALSE))"
+                first = st.first.get(key, 1)
+                late.setdefault(first - (first - 1) % LEVELS, []).append(v)
             else:
                 # the map is searched once for a value; only a null needs the second search
                 r = f"try_element_at({m}, {k})"
-                p = f"({r} IS NOT NULL OR coalesce(map_contains_key({m}, {k}), FALSE))"
-            lift += [(v.p, p), (v.r, r)]
-        numbers = [(v.n, py_num(f"`{v.r}`")) for v in st.raw.values()]
-        return [x for x in (pre, lift, numbers) if x]
+                lift += [(v.p, f"({r} IS NOT NULL OR coalesce(map_contains_key({m}, {k}), FALSE))"), (v.r, r)]
+                now.append(v)
+        numbers = [(v.n, py_num(f"`{v.r}`")) for v in now]
+        return [x for x in (pre, lift, numbers) if x] + self._extras(now, 0), late
+
+    def _lift_late(self, versions: list[Version], level: int) -> list[list[tuple[str, str]]]:
+        """Projections that lift answers which variables may overwrite.
+
+        Their numbers are read by one expression for all of them. Its lambda also ends the stretch of projections that Spark
+        generates as one method: the levels of a long chain in one method are too much code for the JVM to compile.
+        """
+        m, any_var, numbers = f"`{self.map_col}`", f"`{PFX}anyvar`", f"{PFX}numbers{level}"
+        lift, texts = [], []
+        for v in versions:
+            k = sql_str(v.key)
+            texts.append(f"try_element_at({m}, {k})")
+            lift += [(v.p, f"({any_var} AND coalesce(map_contains_key({m}, {k}), FALSE))"), (v.r, f"CASE WHEN {any_var} THEN {texts[-1]} END")]
+        lift.append((numbers, f"CASE WHEN {any_var} THEN transform(array({', '.join(texts)}), t -> {py_num('t')}) END"))
+        return [lift, [(v.n, f"`{numbers}`[{i}]") for i, v in enumerate(versions)], *self._extras(versions, 0)]
 
     def _current(self, st: _State, key: str) -> Version:
         return st.versions.get(key) or self._raw(st, key)
@@ -255,6 +272,9 @@ class Compiler:
                 prev = self._current(st, var)
                 drop = st.drop.get(var)
                 level = 1 + max([v.level for v in used] + [prev.level, drop[1] if drop else 0])
+                for v in (*used, prev):
+                    if v.level == 0:
+                        st.first[v.key] = min(level, st.first.get(v.key, level))
                 sel = self._id("s")
                 s_sql, v_cols, f_cols, new_version, new_drop = self._block_sql(
                     sel, compiled, prev, drop, var, level, [r.rule_no for r in rules])
@@ -265,11 +285,13 @@ class Compiler:
                 blocks.append(Block(var, pass_number, rules, sel, level))
 
         final = {v: self._current(st, v) for v in rs.variables}
-        made.extend(st.raw.values())
-        layers: list[list[tuple[str, str]]] = self._lift(st)
-        layers += self._extras(made, 0)
-        for level in sorted(per_level):
-            items = per_level[level]
+        layers, late = self._lift(st)
+        for level in sorted({*per_level, *late}):
+            if level in late:
+                layers += self._lift_late(late[level], level)
+            items = per_level.get(level, [])
+            if not items:
+                continue
             layers.append([x for s_sql, _, _ in items for x in s_sql])
             tmp = [x for _, v_cols, _ in items for x in v_cols]
             if tmp:
@@ -282,20 +304,30 @@ class Compiler:
     def _final_texts(self, versions: list[Version]) -> list[list[tuple[str, str]]]:
         """Texts of the final numbers that no rule has read as text: one expression for all of them, at the end.
 
-        Written out per variable, the texts of a dozen numbers outgrow the method size limit of generated code.
+        Written out per variable, the texts of a dozen numbers outgrow the method size limit of generated code. Most numbers
+        are short: below 1e7 (from there on it has an exponent) Java's text is Python's, and one cast makes all of them.
         """
         late = [v for v in versions if v.k is not None and "text" not in v.extras]
         if not late:
             return []
-        texts = f"{PFX}texts"
-        numbers = ", ".join(f"named_struct('k', `{v.k}`, 'n', `{v.n}`)" for v in late)
-        text = f"CASE e.k WHEN {FLOAT} THEN {py_float_text('e.n')} WHEN {INT} THEN {py_int_text('e.n')} WHEN {MEAN} THEN {py_mean_text('e.n')} END"
+        java, some, texts = f"{PFX}java", f"{PFX}long", f"{PFX}texts"
+
+        def short(k, n, s):
+            return f"{k} = {FLOAT} AND {n} > -1e7D AND {n} < 1e7D AND length({s}) <= 16 AND NOT contains({s}, 'E')"
+
+        whole = f"e.k = {INT} OR e.k = {MEAN} AND e.n = floor(e.n) AND abs(e.n) < 1e18"  # as in py_mean_text
+        long = f"WHEN {whole} THEN {py_int_text('e.n')} WHEN e.k <> {TEXT} THEN {py_float_text('e.n')}"
+        numbers = ", ".join(f"named_struct('k', `{v.k}`, 'n', `{v.n}`, 's', `{java}`[{i}])" for i, v in enumerate(late))
+        each = f"transform(array({numbers}), e -> CASE WHEN {short('e.k', 'e.n', 'e.s')} THEN e.s {long} END)"
+        others = " ".join(f"WHEN `{v.k}` <> {TEXT} AND NOT ({short(f'`{v.k}`', f'`{v.n}`', f'`{java}`[{i}]')}) THEN TRUE"
+                          for i, v in enumerate(late))
         own = []
         for i, v in enumerate(late):
             column = f"{v.p[:-2]}_text"
             own.append((column, f"CASE WHEN `{v.k}` = {TEXT} THEN `{v.r}` ELSE `{texts}`[{i}] END"))
             v.extras["text"] = (column, 0, "")
-        return [[(texts, f"transform(array({numbers}), e -> {text})")], own]
+        cast = f"CAST(array({', '.join(f'`{v.n}`' for v in late)}) AS ARRAY<STRING>)"
+        return [[(java, cast)], [(some, f"CASE {others} ELSE FALSE END")], [(texts, f"CASE WHEN `{some}` THEN {each} ELSE `{java}` END")], own]
 
     def _extras(self, versions: list[Version], level: int) -> list[list[tuple[str, str]]]:
         """Projections of the helper columns asked for of the versions of one level."""
