@@ -60,12 +60,30 @@ def py_num(text_sql: str) -> str:
     # identically by Java's parser and Python's float(); no regex needed.
     return (
         f"CASE WHEN {t} IS NULL THEN CAST(NULL AS DOUBLE) "
-        f"WHEN translate({t}, '0123456789.eE+- ', '') = '' THEN try_cast({t} AS DOUBLE) "
-        f"WHEN {t} RLIKE '{_esc(_PY_FLOAT_RE)}' THEN "
-        f"try_cast(regexp_replace(replace(trim({t}), '_', ''), '^[+-](?i:nan)$', 'NaN') AS DOUBLE) END"
+        f"WHEN {_plain(t)} THEN try_cast({t} AS DOUBLE) "
+        f"{_odd_num(t)} END"
     )
 
 
+def py_num_lifted(text_sql: str) -> str:
+    """As ``py_num``, for many columns side by side: the rare forms are read by a lambda.
+
+    Such a projection is generated in small methods. With all forms of ten answers in one method
+    it is too much code for the JVM to compile.
+    """
+    t = text_sql
+    return (f"CASE WHEN {_plain(t)} THEN try_cast({t} AS DOUBLE) "
+            f"WHEN {t} IS NOT NULL THEN transform(array({t}), t -> CASE {_odd_num('t')} END)[0] END")
+
+
+def _plain(t: str) -> str:
+    return f"translate({t}, '0123456789.eE+- ', '') = ''"
+
+
+def _odd_num(t: str) -> str:
+    return f"WHEN {t} RLIKE '{_esc(_PY_FLOAT_RE)}' THEN try_cast(regexp_replace(replace(trim({t}), '_', ''), '^[+-](?i:nan)$', 'NaN') AS DOUBLE)"
+
+
 def is_digits(text_sql: str) -> str:
     """SQL: Python ``str.isnumeric()`` for ASCII text (non-empty, digits only)."""
     t = text_sql

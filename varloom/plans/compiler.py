@@ -35,6 +35,7 @@ from varloom.functions.values import (
     py_int_text,
     py_mean_text,
     py_num,
+    py_num_lifted,
     sql_str,
 )
 from varloom.operators.common import (
@@ -127,7 +128,8 @@ class Version:
         return 2, f"(`{self.p}` AND {plain_number(self.extra('text'), f'`{self.n}`')})"
 
     def _list_literal(self):
-        return 3, f"CASE WHEN `{self.p}` AND NOT {self.extra('list_plain')} THEN {list_text(self.extra('text'))} END"
+        # in a lambda, so that the columns of many keys do not end up in one method
+        return 3, f"CASE WHEN `{self.p}` AND NOT {self.extra('list_plain')} THEN transform(array({self.extra('text')}), t -> {list_text('t')})[0] END"
 
     def _list(self):
         return 4, list_numbers(self.extra("list_literal"))
@@ -226,7 +228,7 @@ class Compiler:
                 r = f"try_element_at({m}, {k})"
                 lift += [(v.p, f"({r} IS NOT NULL OR coalesce(map_contains_key({m}, {k}), FALSE))"), (v.r, r)]
                 now.append(v)
-        numbers = [(v.n, py_num(f"`{v.r}`")) for v in now]
+        numbers = [(v.n, py_num_lifted(f"`{v.r}`")) for v in now]
         return [x for x in (pre, lift, numbers) if x] + self._extras(now, 0), late
 
     def _lift_late(self, versions: list[Version], level: int) -> list[list[tuple[str, str]]]:

@@ -69,14 +69,27 @@ _QUOTED = ("if(contains(t, '\\'') AND NOT contains(t, '\"'), concat('\"', replac
 _ELEMENT = _SCALAR.format(null="'None'", string=_QUOTED, nested="t", number=_NUMBER)
 
 
-def _answers(response: str) -> Column:
-    """The answer map of a response's JSON text: key -> Python text, null for JSON null."""
-    texts = f"from_json({response}, '`values` map<string,string>').`values`"
+# A JSON value's text that may not be its Python text: a fraction or exponent, a name, a list or an object, or a string that looks like one.
+_UNLIKE = r"^(?:[\[{+.]|-(?![0-9]+$)|[0-9]+[^0-9]|(?:true|false|NaN|INF|Infinity)$)"
+
+
+def _texts(response: str) -> Column:
+    """The answer map of a response's JSON text with the values as they stand there, null for JSON null."""
+    return F.expr(f"from_json({response}, '`values` map<string,string>').`values`")
+
+
+def _answers(response: str, texts: str) -> Column:
+    """The answer map of a response's JSON text: key -> Python text, null for JSON null. ``texts``: the column of ``_texts``.
+
+    Only responses with a value whose kind decides its text, or with a repeated key, are read again with their kinds.
+    """
+    unlike = _UNLIKE.replace("\\", "\\\\")
+    again = f"size(array_distinct(map_keys({texts}))) < size({texts}) OR exists(map_values({texts}), t -> t RLIKE '{unlike}')"
     typed = f"from_json({response}, '`values` map<string,variant>').`values`"
     items = f"transform(arrays_zip(from_json(t, 'array<string>'), CAST(v AS array<variant>)), e -> {_of_element()})"
     nested = f"CASE WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN concat('[', array_join({items}, ', '), ']') ELSE t END"
     one = _SCALAR.format(null="CAST(NULL AS STRING)", string="t", nested=nested, number=_NUMBER)
-    return F.expr(f"map_zip_with({texts}, {typed}, (k, t, v) -> {one})")
+    return F.expr(f"if({again}, map_zip_with({texts}, {typed}, (k, t, v) -> {one}), {texts})")
 
 
 def _of_element() -> str:
@@ -92,15 +105,18 @@ def parse_responses(files: DataFrame, ts: Column, survey: Column) -> DataFrame:
     whole = F.trim(F.regexp_replace("value", "^﻿", ""))
     listed = F.from_json("value", "array<string>")
     held = F.from_json("value", "responses array<string>")["responses"]
-    parts = F.when(whole.startswith("["), listed).when(held.isNotNull(), held).otherwise(F.array("value"))
+    may_hold = F.contains("value", F.lit("responses")) | F.contains("value", F.lit("\\"))  # a key's letters may be written as escapes
+    single = F.array("value")
+    parts = F.when(F.startswith("value", F.lit("[")), listed).when(may_hold, F.coalesce(held, single)).otherwise(single)
     rows = (files.withColumn("value", whole).filter("value <> ''")
             .select(F.to_timestamp(ts, TS_PATTERN).alias("process_timestamp"), survey.alias("survey_id"), F.explode(parts).alias("response")))
     return _with_answers(rows)
 
 
 def _with_answers(rows: DataFrame) -> DataFrame:
-    return rows.select(F.get_json_object("response", "$.responseId").alias("response_id"), "survey_id", "process_timestamp",
-                       _answers("response").alias("values"), "response")
+    read = rows.select(F.get_json_object("response", "$.responseId").alias("response_id"), "survey_id", "process_timestamp",
+                       _texts("response").alias("values"), "response")
+    return read.withColumn("values", _answers("response", "values"))
 
 
 def answer_kinds(response: Column) -> Column:
