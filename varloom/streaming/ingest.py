@@ -22,6 +22,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from varloom.operators.derive import derive
@@ -31,18 +32,24 @@ from varloom.sources.snapshots import PARTITIONED, parse_responses, read_folders
 KEYS = ["process_timestamp", "survey_id"]
 FOLDERS = 1_000  # folders brought in by one job
 NOTES = "process_timestamp string, survey_id string, folder string, batch long"
+FILES = "path string, modificationTime timestamp, length long, content binary, process_timestamp string, survey_id string"
 
 
 def snapshot_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A stream of responses from snapshot folders written by ``write_snapshot``."""
-    return parse_responses(_lines(spark, root, max_files_per_trigger), F.col("process_timestamp"), F.col("survey_id"))
+    lines = _reader(spark, PARTITIONED, max_files_per_trigger).text(root)
+    return parse_responses(lines, F.col("process_timestamp"), F.col("survey_id"))
 
 
-def _lines(spark: SparkSession, root: str, max_files_per_trigger: int | None) -> DataFrame:
-    reader = spark.readStream.schema(PARTITIONED)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(root).select("value", *KEYS, F.col("_metadata.file_path").alias("path"))
+def _reader(spark: SparkSession, schema: str, max_files_per_trigger: int | None) -> DataStreamReader:
+    reader = spark.readStream.schema(schema)
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else reader
+
+
+def _files(spark: SparkSession, root: str, max_files_per_trigger: int | None) -> DataFrame:
+    """A stream of landed files, a row each: their content is not asked for, so it is not read."""
+    files = _reader(spark, FILES, max_files_per_trigger).format("binaryFile").load(root)
+    return files.select(*KEYS, F.col("_metadata.file_path").alias("path"))
 
 
 class Ledger:
@@ -100,7 +107,7 @@ def ingest_all_surveys(spark: SparkSession, landing_root: str, sink_path: str, c
 def _bring_in(spark: SparkSession, landing_root: str, sink_path: str, checkpoint_path: str,
               derived: Callable[[DataFrame], DataFrame], max_files_per_trigger: int | None) -> int:
     ledger = Ledger(spark, checkpoint_path)
-    files = _lines(spark, landing_root, max_files_per_trigger).select(*KEYS, "path")
+    files = _files(spark, landing_root, max_files_per_trigger)
     (files.writeStream.foreachBatch(ledger.see).option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start()).awaitTermination()
     todo = ledger.pending()
     written = 0
