@@ -31,25 +31,39 @@ def frequent_tokens(docs: DataFrame, token_sets: Callable[[bytes], Iterator[np.n
     ``docs``: (doc_id, text); ``token_sets`` yields the sets of one text.
     """
 
-    def scan(batches):
-        top = Frequent(per_task)
+    def tokens(batches):
         for batch in batches:
             for data in batch.column(0):
-                for s in token_sets(data.as_py()):
-                    top.add(s)
+                yield from token_sets(data.as_py())
+
+    return counted_tokens(docs.select(F.col("text").cast("binary").alias("text")), tokens, per_task, table)[0]
+
+
+def counted_tokens(docs: DataFrame, tokens: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]],
+                   per_task: int = PER_TASK, table: int = TABLE):
+    """(the table of ``frequent_tokens``, number of tokens in all); ``tokens`` yields those of the batches of a task."""
+
+    def scan(batches):
+        top, n = Frequent(per_task), 0
+        for s in tokens(batches):
+            top.add(s)
+            n += len(s)
         top.flush()
         yield pa.RecordBatch.from_arrays([pa.array(top.keys.view(I64)), pa.array(top.counts)], ["token", "n"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([n], pa.int64())], ["token", "n"])
 
-    counted = (docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(scan, "token long, n long")
-               .groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1")
-               .orderBy(F.desc("n"), "token").limit(table))
+    counted = (docs.mapInArrow(scan, "token long, n long")
+               .groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1 or token is null")
+               .orderBy(F.col("token").isNotNull(), F.desc("n"), "token").limit(table + 1))
     rows = counted.toArrow()
+    total = rows["n"][0].as_py() if len(rows) else 0  # the row without a token comes first
+    rows = rows.slice(1)
     keys = rows["token"].to_numpy().view(U)
     counts = rows["n"].to_numpy()
     rank = np.empty(len(keys), np.int64)
     rank[np.lexsort((keys, counts))] = np.arange(len(keys))
     order = np.argsort(keys)
-    return docs.sparkSession.sparkContext.broadcast((keys[order], rank[order]))
+    return docs.sparkSession.sparkContext.broadcast((keys[order], rank[order])), total
 
 
 def in_order(s: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -103,6 +117,14 @@ def shared_enough(shared: Column, nx: Column, ny: Column) -> Column:
     return shared >= F.least(F.least(index(nx), index(ny)) + _needed(nx, ny), F.lit(SHARED))
 
 
+def bits_agree(bx: Column, by: Column, nx: Column, ny: Column) -> Column:
+    """Whether two sets may reach the threshold by their parity bits (bit h of 64: the parity of the tokens that hash to h).
+
+    Every token of only one of them turns one bit, so no more bits differ than tokens.
+    """
+    return F.bit_count(bx.bitwiseXOR(by)) <= nx + ny - 2 * _needed(nx, ny)
+
+
 class PostingRows:
     """Collects prefixes and id rows and yields record batches of a bounded size.
 
