@@ -84,3 +84,44 @@ def test_cache_forgets_only_the_latest(monkeypatch):
     lattices.trim()
     assert list(lattices.number) == ["a", "bb"]
     assert lattices.sample(lattices.numbers(words), mix(np.arange(4, dtype=np.uint64)))[0].tolist() == before
+
+
+def test_substrings_that_begin_no_piece_are_dropped_at_once(monkeypatch):
+    hashed = []
+    monkeypatch.setattr(piece_sampling, "mix", lambda x: hashed.append(len(x)) or mix(x))
+    lattices = piece_sampling.Lattices(piece_sampling.vocabulary(MODEL, 1.0))
+    hashed.clear()
+    words = ["xqzjk" * 20, "0f7c-9d31-" * 10, "wkvbn" * 20]
+    lattices.numbers(words)
+    assert sum(hashed) < 6 * sum(len(w) + 1 for w in words)
+
+
+def test_arcs_and_shares_equal_all_pieces_that_end_there(monkeypatch):
+    monkeypatch.setattr(piece_sampling, "CACHE", 3)
+    voc = piece_sampling.vocabulary(MODEL, 1.0)
+    lattices = piece_sampling.Lattices(voc)
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    plain = [i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))]
+    pieces = {sp.id_to_piece(i): (i, 1 / (r + 1)) for r, i in enumerate(plain)}
+    words = ["there", "", "internationally", "  two", "▁x", "日本語", "a\U0010ffffb", "und", "xqzjk" * 5]
+    for block in (words[:2], words[2:5], words[5:], words):  # built, forgotten and built anew
+        for w, number in zip(block, lattices.numbers(block).tolist(), strict=True):
+            units = ["▁"]
+            for c in w:
+                known = c in pieces and c != "▁"
+                units += [c] if known else ["▁"] if c == " " else [bytes([b]) for b in c.encode()]
+            before = [1.0]
+            for end in range(1, len(units) + 1):
+                arcs = [(end - at, *pieces["".join(units[at:end])]) for at in range(end)
+                        if all(isinstance(u, str) for u in units[at:end]) and "".join(units[at:end]) in pieces]
+                if isinstance(units[end - 1], bytes):
+                    arcs = [(1, int(voc.byte_ids[units[end - 1][0]]), 1.0)]
+                weight = np.array([before[end - back] * x for back, _, x in arcs])
+                before.append(weight.sum())
+                node = lattices.first.kept[number] + end - 1
+                a, b = lattices.arc_first.kept[node], lattices.arc_first.kept[node + 1]
+                assert list(zip(lattices.back.kept[a:b].tolist(), lattices.ids.kept[a:b].tolist(), strict=True)) == [x[:2] for x in arcs]
+                assert np.allclose(lattices.share.kept[a:b - 1], (np.cumsum(weight) / weight.sum())[:-1], atol=1e-6)
+            assert lattices.size.kept[number] == len(units)
+        lattices.trim()
+        assert len(lattices.number) <= 3

@@ -10,7 +10,8 @@ partitioning, task or retry.
 
 Pieces never cross pre-tokens (see ``pretokens``), so the lattice falls into one per pre-token. The filtered
 lattices of distinct pre-tokens are built for a whole block at once and kept per worker (bounded); the draws
-of all pre-tokens of a block are made together, a step per piece.
+of all pre-tokens of a block are made together, a step per piece. A lattice's pieces are found by growing all substrings
+together, a character a step; those that begin no piece are dropped at once.
 
 The weight of a piece is ``(rank + 1) ** -alpha`` with its rank in the model (a merge
 model has ranks, not probabilities). A character that the model does not know is written as the
@@ -23,7 +24,9 @@ is a key of its own (that of the smallest long); an empty table gives an empty r
 
 from __future__ import annotations
 
+import itertools
 import zlib
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -38,6 +41,7 @@ CACHE = 250_000     # pre-tokens whose lattice a worker keeps
 BLOCK = 1 << 20     # characters drawn at once
 UNKNOWN = 0x110000  # units from here on are bytes of unknown characters
 _R = 0x9E3779B97F4A7C55
+_STEM, _HEAD = U(44), U(46)  # the bits of a hash beyond these number its bucket
 
 
 class Vocabulary:
@@ -61,15 +65,24 @@ class Vocabulary:
         self.longest = max(len(names[i]) for i in plain)
         self.chars = np.unique(np.array([ord(c) for i in plain for c in names[i]], np.int64))
         rank = {i: r for r, i in enumerate(plain)}
-        # pieces by length: sorted hashes, ids and log weights
-        self.by_length = {}
+        # pieces by the hashes of their characters: sorted, with the first of every bucket; ids and log weights, then those of bytes
+        stems = np.zeros(1 << 64 - int(_STEM), bool)
+        hashes, ids = [], []
         for length in range(1, self.longest + 1):
-            ids = np.array([i for i in plain if len(names[i]) == length], np.int64)
-            if len(ids):
-                units = np.array([[ord(c) for c in names[i]] for i in ids], np.int64)
-                h = self.hash([units[:, j] for j in range(length)])
-                order = np.argsort(h)
-                self.by_length[length] = (h[order], ids[order], -alpha * np.log([rank[i] + 1.0 for i in ids[order]]))
+            long = [i for i in plain if len(names[i]) >= length]
+            h = self.hash([np.array([ord(names[i][j]) for i in long], np.int64) for j in range(length)])
+            stems[h >> _STEM] = True
+            same = np.array([len(names[i]) == length for i in long])
+            hashes.append(h[same])
+            ids.append(np.array(long, np.int64)[same])
+        self.stems = stems  # buckets of what pieces begin with
+        h, ids = np.concatenate(hashes), np.concatenate(ids)
+        order = np.argsort(h)
+        self.known = np.append(h[order], U(2**64 - 1))
+        self.head = np.searchsorted(h[order] >> _HEAD, np.arange(1 << 64 - int(_HEAD), dtype=U))
+        self.fullest = int(np.bincount(h >> _HEAD).max())
+        self.ids = np.concatenate([ids[order], self.byte_ids]).astype(np.int32)
+        self.weight = np.concatenate([-alpha * np.log([rank[i] + 1.0 for i in ids[order]]), np.zeros(256)])
 
     @staticmethod
     def hash(columns) -> np.ndarray:
@@ -78,6 +91,27 @@ class Vocabulary:
             h = mix(h * U(31) + c.astype(U) + U(1))
         return h
 
+    def find(self, unit: np.ndarray, left: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, places, places in ``ids`` and ``weight``) of all pieces in the units; ``left``: units up to a pre-token's end."""
+        out = []
+        at, h = np.arange(len(unit)), np.zeros(len(unit), U)
+        for length in range(1, self.longest + 1):
+            h = mix(h * U(31) + unit[at + (length - 1)].astype(U) + U(1))
+            on = np.flatnonzero(self.stems[h >> _STEM])
+            at, h = at[on], h[on]
+            k = self.head[h >> _HEAD]
+            for _ in range(self.fullest - 1):
+                k += self.known[k] < h
+            hit = np.flatnonzero(self.known[k] == h)
+            out.append((length, at[hit], k[hit]))
+            on = np.flatnonzero(left[at] > length)
+            at, h = at[on], h[on]
+            if not len(at):
+                break
+        raw = np.flatnonzero(unit >= UNKNOWN)
+        out.append((1, raw, unit[raw] - UNKNOWN + len(self.known) - 1))
+        return out
+
     def units(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(units of all pre-tokens one after the other, units of each): characters, or a unit per byte of unknown ones.
 
@@ -86,7 +120,7 @@ class Vocabulary:
         mark = ord("▁")
         chars = np.frombuffer("".join(" " + w for w in words).encode("utf-32-le"), "<u4").astype(np.int32)
         begin = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
-        other = ~self.known[chars]
+        other = ~self.letters[chars]
         chars[chars == 32] = mark
         counts = np.ones(len(chars), np.int32)
         if not other.any():
@@ -98,14 +132,14 @@ class Vocabulary:
         return unit, np.add.reduceat(counts, begin)
 
     @property
-    def known(self) -> np.ndarray:
+    def letters(self) -> np.ndarray:
         """Which code points are characters of the model; a space stands for the mark, the mark itself is none."""
-        if not hasattr(self, "_known"):
-            self._known = np.zeros(UNKNOWN, bool)
-            self._known[self.chars] = True
-            self._known[ord("▁")] = False
-            self._known[32] = True
-        return self._known
+        if not hasattr(self, "_letters"):
+            self._letters = np.zeros(UNKNOWN, bool)
+            self._letters[self.chars] = True
+            self._letters[ord("▁")] = False
+            self._letters[32] = True
+        return self._letters
 
 
 @lru_cache(maxsize=2)
@@ -113,6 +147,19 @@ def vocabulary(path: str, alpha: float) -> Vocabulary:
     return Vocabulary(path, alpha)
 
 
+class Column:
+    """An array that grows at its end."""
+
+    def __init__(self, values: np.ndarray):
+        self.kept, self.n = values, len(values)
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.kept):
+            self.kept = np.concatenate([self.kept[:self.n], np.empty(max(self.n, len(values)), self.kept.dtype)])
+        self.kept[self.n:self.n + len(values)] = values
+        self.n += len(values)
+
+
 class Lattices:
     """Filtered lattices of pre-tokens, as arrays over all their nodes.
 
@@ -126,119 +173,115 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.arc_first = np.zeros(1, np.int64)
-        self.back, self.ids, self.share = np.zeros(0, np.uint8), np.zeros(0, np.int32), np.zeros(0, np.float32)
+        self.number: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.first, self.size = Column(np.zeros(0, np.int64)), Column(np.zeros(0, np.int64))
+        self.arc_first = Column(np.zeros(1, np.int64))
+        self.back, self.ids, self.share = Column(np.zeros(0, np.uint8)), Column(np.zeros(0, np.int32)), Column(np.zeros(0, np.float32))
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """The number of every pre-token; lattices of new ones are built."""
-        number = self.number
-        fresh = [w for w in dict.fromkeys(words) if w not in number]
+        start = len(self.number)
+        out = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        fresh = list(itertools.islice(reversed(self.number), len(self.number) - start))
         if fresh:
-            start = len(number)
-            number.update(zip(fresh, range(start, start + len(fresh)), strict=True))
-            self._build(fresh)
-        return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            self._build(fresh[::-1])
+        return out
 
     def trim(self) -> None:
         """Forget the latest pre-tokens beyond CACHE; common ones are met early and stay."""
         if len(self.number) > CACHE:
-            for w in list(self.number)[CACHE:]:
-                del self.number[w]
-            nodes = int(self.first[CACHE])
-            arcs = int(self.arc_first[nodes])
-            self.first, self.size, self.arc_first = self.first[:CACHE], self.size[:CACHE], self.arc_first[:nodes + 1]
-            self.back, self.ids, self.share = self.back[:arcs], self.ids[:arcs], self.share[:arcs]
+            for _ in range(len(self.number) - CACHE):
+                self.number.popitem()
+            self.number.default_factory = itertools.count(CACHE).__next__
+            nodes = int(self.first.kept[CACHE])
+            arcs = int(self.arc_first.kept[nodes])
+            self.first.n = self.size.n = CACHE
+            self.arc_first.n = nodes + 1
+            self.back.n = self.ids.n = self.share.n = arcs
 
     def _build(self, words: list[str]) -> None:
         voc = self.voc
         unit, size = voc.units(words)
         size = size.astype(np.int64)
-        begin = np.cumsum(size) - size              # of units
-        inside = np.arange(len(unit)) - np.repeat(begin, size)
-        left = np.repeat(size, size) - inside       # units up to the end
-        end_unit, span, ids, weight = [], [], [], []
-        h = np.zeros(len(unit), U)
-        for length in range(1, voc.longest + 1):
-            at = np.flatnonzero(left >= length)
-            if not len(at):
-                break
-            h[at] = mix(h[at] * U(31) + unit[at + length - 1].astype(U) + U(1))
-            if length in voc.by_length:
-                known, piece, w = voc.by_length[length]
-                k = np.searchsorted(known, h[at])
-                k[k == len(known)] = 0
-                hit = known[k] == h[at]
-                end_unit.append(at[hit] + length - 1)
-                span.append(np.full(hit.sum(), length))
-                ids.append(piece[k[hit]])
-                weight.append(w[k[hit]])
-        raw = np.flatnonzero(unit >= UNKNOWN)
-        end_unit.append(raw)
-        span.append(np.ones(len(raw), np.int64))
-        ids.append(voc.byte_ids[unit[raw] - UNKNOWN])
-        weight.append(np.zeros(len(raw)))
-        # the longest piece first: it is the likeliest as a rule
-        end_unit, span, ids, weight = (np.concatenate(x[::-1]) for x in (end_unit, span, ids, weight))
-        order = np.argsort(end_unit, kind="stable")
-        end_unit, span, ids, weight = end_unit[order], span[order], ids[order], weight[order]
-
-        # forward filtering, place by place over all new pre-tokens; log sums per node
-        total = np.full(len(unit), -np.inf)        # after each unit
-        t = inside[end_unit] + 1
-        by_place = np.argsort(t, kind="stable")
-        cuts = np.searchsorted(t[by_place], np.arange(1, int(size.max()) + 2))
-        arc = np.empty(len(end_unit))
-        for place in range(len(cuts) - 1):
-            mine = by_place[cuts[place]:cuts[place + 1]]
-            if not len(mine):
+        n, begin = len(unit), np.cumsum(size) - size  # of units
+        inside = np.arange(n) - np.repeat(begin, size)
+        # nodes place by place over all new pre-tokens: those of one place, and their arcs, lie together
+        place = inside.astype(np.min_scalar_type(int(size.max())))
+        node = np.empty(n, np.int64)  # after each unit
+        node[np.argsort(place, kind="stable")] = np.arange(n)
+        before = np.append(n, node[:-1])  # before each unit; n: the beginning of a pre-token
+        before[begin] = n
+        found = voc.find(unit, np.repeat(size, size) - inside)
+        ends = [node[at + (length - 1)] for length, at, _ in found]
+        counts = np.zeros(n, np.int64)
+        for end in ends:
+            counts[end] += 1
+        heads = np.cumsum(counts) - counts
+        arcs = int(counts.sum())
+        back, piece, source = np.empty(arcs, np.uint8), np.empty(arcs, np.int64), np.empty(arcs, np.int64)
+        free = heads.copy()
+        for (length, at, k), end in zip(found[::-1], ends[::-1], strict=True):  # the longest piece first: it is the likeliest as a rule
+            slot = free[end]
+            free[end] += 1
+            back[slot], piece[slot], source[slot] = length, k, before[at]
+
+        # forward filtering, place by place; log sums per node
+        total = np.full(n + 1, -np.inf)
+        total[n] = 0.0
+        arc = voc.weight[piece]
+        live = np.flatnonzero(counts)  # nodes that a piece ends at
+        a = first = 0
+        for last in np.searchsorted(live, np.cumsum(np.bincount(place))).tolist():
+            if last == first:
                 continue
-            before = np.where(t[mine] > span[mine], total[np.maximum(end_unit[mine] - span[mine], 0)], 0.0)
-            value = before + weight[mine]
-            arc[mine] = value
-            node = end_unit[mine]
-            heads = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-            top = np.maximum.reduceat(value, heads)
-            counts = np.diff(np.append(heads, len(mine)))
-            total[node[heads]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts)), heads))
-        p = np.exp(arc - total[end_unit])
-        heads = np.searchsorted(end_unit, np.arange(len(unit)))
-        share, counts = p.copy(), np.diff(np.append(heads, len(p)))
+            mine = live[first:last]
+            b = int(free[mine[-1]])
+            value = arc[a:b]
+            value += total[source[a:b]]
+            top = np.maximum.reduceat(value, heads[mine] - a)
+            total[mine] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts[mine])), heads[mine] - a))
+            a, first = b, last
+        share = np.exp(arc - np.repeat(total[:n], counts))
         for k in range(1, int(counts.max(initial=0))):  # summed within each node, so that shares do not depend on the block
             at = heads[counts > k] + k
             share[at] += share[at - 1]
-        last = np.append(heads[1:], len(p)) - 1
-        share[last] = 2.0  # the last arc takes what rounding leaves
-        self.first = np.concatenate([self.first, begin + len(self.arc_first) - 1])
-        self.size = np.concatenate([self.size, size])
-        self.arc_first = np.concatenate([self.arc_first, last + 1 + len(self.ids)])
-        self.back, self.ids, self.share = (np.concatenate([a, b]) for a, b in (
-            (self.back, span.astype(np.uint8)), (self.ids, ids.astype(np.int32)), (self.share, share.astype(np.float32))))
+        share[free - 1] = 2.0  # the last arc takes what rounding leaves
+
+        # back to pre-token after pre-token
+        counts = counts[node]
+        ends = np.cumsum(counts)
+        order = np.arange(arcs) + np.repeat(heads[node] - ends + counts, counts)
+        self.first.add(begin + (self.arc_first.n - 1))
+        self.size.add(size)
+        self.arc_first.add(ends + self.ids.n)
+        self.back.add(back[order])
+        self.ids.add(voc.ids[piece[order]])
+        self.share.add(share[order])
 
     def sample(self, words: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pre-tokens in order, pieces per pre-token): backward draws, one step per piece."""
-        place = self.size[words].copy()
-        base = self.first[words]
+        base, arc_first = self.first.kept[words] - 1, self.arc_first.kept
+        back, piece, share = self.back.kept, self.ids.kept, self.share.kept
+        place = self.size.kept[words]
         active = np.arange(len(words))
         count = np.zeros(len(words), np.int64)
         steps = []
         step = 0
         while len(active):
-            node = base[active] + place[active] - 1
             r = (mix(seeds[active] + U(step * _R & 0xFFFFFFFFFFFFFFFF)) >> U(40)).astype(np.float32) * np.float32(2.0**-24)
-            arc = self.arc_first[node]
-            wait = np.flatnonzero(self.share[arc] <= r)
+            arc = arc_first[base[active] + place[active]]
+            wait = np.flatnonzero(share[arc] <= r)
             while len(wait):
                 arc[wait] += 1
-                wait = wait[self.share[arc[wait]] <= r[wait]]
-            steps.append((active, self.ids[arc]))
+                wait = wait[share[arc[wait]] <= r[wait]]
+            steps.append((active, piece[arc]))
             count[active] += 1
-            place[active] -= self.back[arc]
-            active = active[place[active] > 0]
+            left = place[active] - back[arc]
+            place[active] = left
+            active = active[left > 0]
             step += 1
         end = np.cumsum(count)
-        out = np.empty(int(end[-1]) if len(end) else 0, np.int64)
+        out = np.empty(int(end[-1]) if len(end) else 0, np.int32)
         for k, (who, ids) in enumerate(steps):
             out[end[who] - 1 - k] = ids
         return out, count
@@ -276,8 +319,8 @@ def _words(text: str) -> list[str]:
 
 
 def _parts(text: str):
-    """(place of the first pre-token, pre-tokens) of a text of any length, cut before a word."""
-    at, n, count = 0, len(text), 0
+    """(place of the first pre-token, characters, pre-tokens) of a text of any length, cut before a word."""
+    at, n, first = 0, len(text), 0
     while n - at > BLOCK:
         cut = text.find(" ", at + BLOCK)
         while 0 <= cut and (text[cut - 1] == " " or cut + 1 >= n or text[cut + 1] == " "):
@@ -285,15 +328,14 @@ def _parts(text: str):
         if cut < 0:
             break
         words = _words(text[at:cut])
-        yield count, words
-        count += len(words)
+        yield first, cut - at, words
+        first += len(words)
         at = cut + 1
-    yield count, _words(text[at:])
+    yield first, n - at, _words(text[at:])
 
 
-def row_seed(key: int | None, seed: int) -> int:
-    key = -1 << 63 if key is None else key
-    return int(mix(np.array([key & 0xFFFFFFFFFFFFFFFF], U) + U(seed * _R & 0xFFFFFFFFFFFFFFFF))[0])
+def row_seeds(keys: pa.Array, seed: int) -> np.ndarray:
+    return mix(keys.fill_null(-1 << 63).to_numpy(zero_copy_only=False).astype(np.int64).view(U) + U(seed * _R & 0xFFFFFFFFFFFFFFFF))
 
 
 def sample_pieces(docs: DataFrame, model: str, seed: int = 0, alpha: float = 1.0, keep_ids: bool = True) -> DataFrame:
@@ -310,53 +352,55 @@ def sample_pieces(docs: DataFrame, model: str, seed: int = 0, alpha: float = 1.0
         lattices = worker_lattices(model, alpha)
         voc = lattices.voc
 
-        def blocks(batch):
-            """Parts of one long text, or of many short ones, of about BLOCK characters."""
+        def blocks(texts):
+            """Parts of one long text, or of many short ones, of about BLOCK characters: (row, place of the first pre-token, pre-tokens)."""
             block, size = [], 0
-            for row, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
-                for at, words in _parts(text.as_py()):
-                    block.append((row, doc, at, words))
-                    size += sum(map(len, words)) + len(words)
+            for row, text in enumerate(texts):
+                for at, chars, words in _parts(text.as_py()):
+                    if words:
+                        block.append((row, at, words))
+                    size += chars
                     if size > BLOCK:
                         yield block
                         block, size = [], 0
-            if block:
-                yield block
+            yield block
 
         for batch in batches:
             n = len(batch)
-            count, crc, parts = np.zeros(n, np.int64), [0] * n, [[] for _ in range(n)]
+            count, crc, parts = np.zeros(n, np.int64), [0] * n, [np.zeros(0, np.int32)]
             same = [True] * n
             texts = batch.column(1)
-            done = [0] * n  # bytes of the text (with a space in front) that the ids so far gave back
-            for block in blocks(batch):
-                words = [w for *_, ws in block for w in ws]
-                if not words:
+            seeds = row_seeds(batch.column(0), seed)
+            done = [0] * n  # bytes of the text that the ids so far gave back
+            for block in blocks(texts):
+                if not block:
                     continue
-                seeds = np.concatenate([U(row_seed(doc, seed)) + np.arange(at, at + len(ws), dtype=U) * U(0xD6E8FEB86659FD93) for _, doc, at, ws in block])
-                ids, per = lattices.sample(lattices.numbers(words), mix(seeds))
+                words = [w for *_, ws in block for w in ws]
+                draws = np.concatenate([seeds[row] + np.arange(at, at + len(ws), dtype=U) * U(0xD6E8FEB86659FD93) for row, at, ws in block])
+                ids, per = lattices.sample(lattices.numbers(words), mix(draws))
                 lattices.trim()
                 ends = np.cumsum(per)
-                k = 0
-                for row, _, _, ws in block:
-                    if not ws:
-                        continue
-                    a, k = (ends[k - 1] if k else 0), k + len(ws)
+                a = k = 0
+                for row, at, ws in block:
+                    k += len(ws)
                     mine = ids[a:ends[k - 1]]
+                    a = ends[k - 1]
                     count[row] += len(mine)
-                    crc[row] = zlib.crc32(mine.astype("<u4").tobytes(), crc[row])
+                    crc[row] = zlib.crc32(mine.astype("<i4", copy=False), crc[row])
                     back = b"".join(map(voc.out.__getitem__, mine.tolist()))
-                    whole = b" " + texts[row].as_py().encode()
-                    same[row] &= whole[done[row]:done[row] + len(back)] == back
+                    if not at:  # the space that encoding puts in front
+                        same[row] &= back[:1] == b" "
+                        back = back[1:]
+                    same[row] &= memoryview(texts[row].as_buffer())[done[row]:done[row] + len(back)].tobytes() == back
                     done[row] += len(back)
-                    if keep_ids:
-                        parts[row].append(mine.astype(np.int32))
+                if keep_ids:
+                    parts.append(ids)
             for row in range(n):
-                size = len(texts[row].as_py().encode())
-                same[row] &= done[row] == (size + 1 if size else 0)
+                same[row] &= done[row] == texts[row].as_buffer().size
             columns = [batch.column(0), pa.array(count), pa.array(crc, pa.int64()), pa.array(same)]
             if keep_ids:
-                columns.append(pa.array([np.concatenate(p) if p else np.zeros(0, np.int32) for p in parts], pa.list_(pa.int32())))
+                offsets = pa.array(np.append(0, np.cumsum(count)), pa.int32())
+                columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts))))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(scan, schema)
