@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varloom.llm.common import FEW, bloom, bloom_hits, id_text, only_ids, row_keyed, stage
+from varloom.llm.common import FEW, bloom, bloom_hits, held, id_text, only_ids, row_keyed
 from varloom.llm.hashing import CHUNK, U, block_words, fmix_sum, shingles
 from varloom.llm.prefix_sets import I64, bits_agree, counted_tokens, may_match, shared_enough
 
@@ -305,16 +305,16 @@ def _line_sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Staged (key, doc_id, line_no) of the later lines whose pair reaches the threshold. pairs: x, y (key, doc_id, line_no); y is earlier."""
-    pairs = stage(pairs, "lines-pairs")
+    """Held (key, doc_id, line_no) of the later lines whose pair reaches the threshold. pairs: x, y (key, doc_id, line_no); y is earlier."""
+    pairs = held(pairs)
     both = pairs.select(F.explode(F.array("x", "y")).alias("p")).select("p.doc_id", "p.line_no").distinct()
-    sets = stage(_line_sets(docs, stage(both, "lines-wanted")), "lines-sets")
+    sets = held(_line_sets(docs, held(both)))
     for side in "xy":
         pairs = pairs.join(sets.select(F.col("doc_id").alias(f"{side}_doc"), F.col("line_no").alias(f"{side}_line"), F.col("set").alias(f"s{side}")),
                            (F.col(f"{side}.doc_id") == F.col(f"{side}_doc")) & (F.col(f"{side}.line_no") == F.col(f"{side}_line")))
     i = F.size(F.array_intersect("sx", "sy")).cast("long")
     hit = pairs.filter(100 * i >= 75 * (F.size("sx") + F.size("sy") - i))
-    return stage(hit.select("x.*").distinct(), "lines-settled")
+    return held(hit.select("x.*").distinct())
 
 
 def _passing(pairs: DataFrame) -> DataFrame:
@@ -327,7 +327,7 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sets, gone): the first line of every set, and the lines that go, both (doc_id, line_no); a line may be gone more than once."""
     docs = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
     table, total = counted_tokens(docs, lambda batches: (line_tokens(data)[1] for _, _, data in Blocks(batches)))
-    rows = stage(_settled(_rows(docs, table, max(BUCKETS, total // TOKENS))), "lines-rows")
+    rows = held(_settled(_rows(docs, table, max(BUCKETS, total // TOKENS))))
     sets = rows.filter(F.col("kind") == SET).select("key", "n", F.col("token").alias("bits"), F.col("doc").alias("doc_id"), F.col("line").alias("line_no"))
     gone = rows.filter(F.col("kind") == GONE).select(F.col("doc").alias("doc_id"), F.col("line").alias("line_no"))
 
@@ -336,9 +336,9 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     post = post.filter(rows["kind"] == POSTING)
     if not hot.isEmpty():
         post = post.unionByName(hot.distinct())
-    post = stage(post.join(sets, ["key", "n"])
+    post = held(post.join(sets, ["key", "n"])
                  .select("token", "n", "pos", "bits", F.struct("key", "doc_id", "line_no").alias("at"), F.struct("doc_id", "line_no").alias("place"),
-                         F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int").alias("band")), "lines-postings")
+                         F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int").alias("band")))
     size = post.count()
     left, settled = post, None
     waiting = _open_pairs(post, post)
@@ -347,7 +347,7 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             break
         new = _verified(_passing(_star(post, left, seed)), docs)
         settled = new if settled is None else settled.unionByName(new)
-        left = stage(_unsettled(left, new), "lines-left")
+        left = held(_unsettled(left, new))
         before, waiting = waiting, _open_pairs(post, left)
         if seed and 2 * waiting > before:  # nothing that pivots settle
             break
@@ -394,7 +394,7 @@ def _open_pairs(post: DataFrame, left: DataFrame) -> int:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the later matches taken out of ``text``, and n_lines, n_removed (in place of columns of that name)."""
     gone = _found(docs)[1].groupBy("doc_id").agg(F.array_distinct(F.collect_list(F.col("line_no").cast("int"))).alias("__gone"))
-    gone = stage(gone, "lines-gone")
+    gone = held(gone)
     if (gone.agg(F.sum(F.size("__gone") + 1)).first()[0] or 0) <= FEW:
         gone = F.broadcast(gone)  # some 30 MB at most; beyond that both sides are shuffled, the texts too
 

@@ -11,7 +11,7 @@ group against one pivot per (token, length band) and label what is linked;
 pairs are then enumerated only between different labels. Exact copies share
 one node from the start.
 
-Steps, each one Spark job over a staged table:
+Steps, each one Spark job over a held table:
 
 1. read the texts: bounded frequency table of shingles (for the order);
 2. read the texts: one node row per document and the prefix of each group,
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import components, id_text, neighbour_labels, only_ids, row_keyed, stage
+from varloom.llm.common import components, held, id_text, neighbour_labels, only_ids, row_keyed
 from varloom.llm.hashing import set_hash, shingles, words
 from varloom.llm.prefix_sets import SCHEMA, PostingRows, frequent_tokens, in_order, may_match, prefix_length, shared_enough, shared_postings, signed
 
@@ -102,14 +102,14 @@ def _list_batch(ids, sets):
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Staged pairs (a, b) of nodes whose whole sets reach the threshold."""
-    pairs = stage(pairs, "ngram-pairs")
-    nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ngram-pair-nodes")
-    sets = stage(_sets(docs, nodes, k), "ngram-sets")
+    """Held pairs (a, b) of nodes whose whole sets reach the threshold."""
+    pairs = held(pairs)
+    nodes = held(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    sets = held(_sets(docs, nodes, k))
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a"))
     i = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return stage(both.filter(100 * i >= 75 * (F.size("sa") + F.size("sb") - i)).select("a", "b"), "ngram-links")
+    return held(both.filter(100 * i >= 75 * (F.size("sa") + F.size("sb") - i)).select("a", "b"))
 
 
 def links(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
@@ -120,23 +120,23 @@ def links(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
     """
     docs = id_text(docs)
     table = frequent_tokens(docs, lambda data: iter((shingle_set(data, k),)))
-    rows = stage(shared_postings(_group_rows(docs, k, table)), "ngram-rows")
+    rows = held(shared_postings(_group_rows(docs, k, table)))
     members = rows.filter("doc is not null").select(
         F.col("doc").alias("doc_id"), F.shiftright("np", 32).alias("n"), F.col("token").alias("a"),
         F.col("np").bitwiseAND(0xFFFFFFFF).alias("b"), "key")
     identity = members.filter("n > 0").groupBy("a", "b", "n", "key").agg(F.min("doc_id").alias("node"))
-    nodes = stage(identity, "ngram-nodes")
+    nodes = held(identity)
     groups = nodes.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("m"))
 
     post = rows.filter("doc is null").select("token", "key", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(0xFFFFFFFF).alias("pos"))
-    post = stage(post.join(groups, "key")
-                 .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int")), "ngram-postings")
+    post = held(post.join(groups, "key")
+                 .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))).cast("int")))
 
     # members of a group against its leader and groups against pivots, then all that is left between labels
     inside = nodes.join(groups.filter("m > 1"), "key").filter("node <> leader").select(
         F.col("leader").alias("a"), F.col("node").alias("b"))
     found = _verified(_star(post, None).union(inside).distinct(), docs, k)
-    labels = neighbour_labels(found, "ngram-labels")
+    labels = neighbour_labels(found)
     size = post.count()
     open_ = _open_lists(post, nodes, labels)
     left = _open_pairs(open_)
@@ -144,22 +144,22 @@ def links(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
         if left <= OPEN * size:
             break
         found = found.union(_verified(_star(open_, seed), docs, k))
-        labels = neighbour_labels(found, "ngram-labels")
+        labels = neighbour_labels(found)
         open_ = _open_lists(open_, nodes, labels)
         before, left = left, _open_pairs(open_)
         if 2 * left > before:  # pivots no longer settle much: what is left is unlike
             break
     found = found.union(_verified(_cross(open_, nodes, labels), docs, k))
-    labels = components(found, name="ngram-cc")
+    labels = components(found)
     return members.join(nodes, ["a", "b", "n", "key"], "left"), labels
 
 
 def _open_lists(post: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Staged postings of tokens under which several labels meet; lo and hi: smallest and largest label in the group."""
+    """Held postings of tokens under which several labels meet; lo and hi: smallest and largest label in the group."""
     label = (_named(nodes, labels).groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")))
     post = post.select("token", "key", "n", "pos", "leader", "band").join(label, "key")
     several = post.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("token")
-    return stage(post.join(several, "token", "left_semi"), "ngram-open")
+    return held(post.join(several, "token", "left_semi"))
 
 
 def _named(nodes: DataFrame, labels: DataFrame) -> DataFrame:

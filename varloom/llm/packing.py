@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import id_text, only_ids, row_keyed, stage
+from varloom.llm.common import held, id_text, only_ids, row_keyed
 from varloom.llm.word_ids import id_bytes, id_parts, packed
 
 CAPACITY, END = 4096, 2
@@ -291,7 +291,7 @@ def _slices(docs: DataFrame, cuts: DataFrame, path: str, end: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)],
                                                  ["doc_id", "h", "start", "length", "ids_crc32"])
 
-    wanted = stage(cuts.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "length")).alias("cuts")), "pack-cuts")
+    wanted = held(cuts.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "length")).alias("cuts")))
     texts = only_ids(docs, wanted.select("doc_id")).withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"])
     return (texts.join(wanted, ["doc_id", "h"]).select("doc_id", "h", "text", "cuts")
             .mapInArrow(scan, "doc_id long, h long, start long, length long, ids_crc32 long"))
@@ -305,11 +305,11 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -
     """
     docs = id_text(docs)
     spark = docs.sparkSession
-    encoded = stage(_encoded(docs, path, capacity, end), "pack-encoded")
+    encoded = held(_encoded(docs, path, capacity, end))
 
     # global rank by (rest, doc_id): a range partitioning and the sizes of its parts
-    dealt = stage(encoded.repartitionByRange("rest", "doc_id", "h").sortWithinPartitions("rest", "doc_id", "h")
-                  .withColumn("part", F.spark_partition_id()).withColumn("m", F.monotonically_increasing_id()), "pack-ranked")
+    dealt = held(encoded.repartitionByRange("rest", "doc_id", "h").sortWithinPartitions("rest", "doc_id", "h")
+                  .withColumn("part", F.spark_partition_id()).withColumn("m", F.monotonically_increasing_id()))
     parts = dealt.groupBy("part").agg(F.count("*").alias("n"), F.min("m").alias("first"))
     parts = parts.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ranked = dealt.join(F.broadcast(parts.select("part", "base", "first")), "part").withColumn("rank", F.col("base") + F.col("m") - F.col("first"))
@@ -335,8 +335,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -
                          pa.array(t["rank"][row])],
                         ["doc_id", "h", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "rank"])
 
-    placed = stage(ranked.filter("rest > 0").select("doc_id", "h", "doc_tokens", "rest", "rest_crc", "rank").mapInArrow(
-        place, "doc_id long, h long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, rank long"), "pack-placed")
+    placed = held(ranked.filter("rest > 0").select("doc_id", "h", "doc_tokens", "rest", "rest_crc", "rank").mapInArrow(
+        place, "doc_id long, h long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, rank long"))
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     # a sequence of a pattern holds at most `capacity` pieces
     inside = Window.partitionBy("sequence_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import id_text, row_keyed, stage
+from varloom.llm.common import held, id_text, row_keyed
 
 #: kind -> pattern, in the order of the output (Java syntax).
 KINDS = {
@@ -131,8 +131,8 @@ def _contexts(docs: DataFrame) -> DataFrame:
 
 def learn(places: DataFrame) -> DataFrame:
     """(v, kind) of new strings. ``places``: kind, v, contexts; rows without a kind are candidates."""
-    edges = stage(places.select("kind", "v", F.explode("contexts").alias("context"))
-                  .groupBy("context", "v").agg(F.max("kind").alias("kind")), "pii-graph")
+    edges = held(places.select("kind", "v", F.explode("contexts").alias("context"))
+                  .groupBy("context", "v").agg(F.max("kind").alias("kind")))
     known = edges.filter("kind is not null").groupBy("v").agg(F.min("kind").alias("known"))
     found = None
     while True:  # every round but the last one makes at least one more string known
@@ -145,7 +145,7 @@ def learn(places: DataFrame) -> DataFrame:
                .groupBy("v", "known").agg(F.count("*").alias("vouchers"), F.max("score").alias("score"))
                .filter(F.col("vouchers") >= VOUCHERS)
                .groupBy("v").agg(F.max_by("known", F.struct("vouchers", "score", "known")).alias("known")))
-        new = stage(new, "pii-found")
+        new = held(new)
         if new.isEmpty():
             return found
         found = new if found is None else found.unionByName(new)
@@ -155,7 +155,7 @@ def learn(places: DataFrame) -> DataFrame:
 def find(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, ...) and the arrays ``base`` and ``spans`` of structs (kind, s, e)."""
     full = base_spans(docs)
-    places = stage(_contexts(full.select("doc_id", "text", *(f"b_{k}" for k in KINDS))), "pii-places")
+    places = held(_contexts(full.select("doc_id", "text", *(f"b_{k}" for k in KINDS))))
     found = learn(places)
     rank = F.create_map(*(F.lit(x) for pair in zip(KINDS, range(len(KINDS)), strict=True) for x in pair))
     order = lambda arr: F.transform(F.array_sort(F.transform(arr, lambda x: F.struct(
